@@ -58,7 +58,7 @@ FROM {src}
 WHERE TRY_CAST(o_custkey AS INTEGER) IS NOT NULL AND TRY_CAST(o_totalprice AS DOUBLE) IS NOT NULL"""
 
 
-_PAYLOAD_SQL = "to_json({" + ", ".join(f"'{c}': {c}" for c in TEXT_COLUMNS) + "})"
+_PAYLOAD_SQL = "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in TEXT_COLUMNS) + "}) AS VARCHAR)"
 
 # -------------------------------------------------------------- reading
 
