@@ -44,9 +44,11 @@ def typed_projection(columns: list[str], types: dict, *, int_policy: str = "lega
 
 def split_castable(df: DataFrame, types: dict, *, int_policy: str = "legacy",
                    prefix: str = "not_numeric_") -> tuple[DataFrame, DataFrame]:
-    """(typed rows, failures) where failures = input columns + ``rule``, one
-    row per failing column."""
+    """(typed rows, failures) where failures = input columns + ``_rule``, one
+    row per failing column (underscore: the rule is not part of the record,
+    so ``quarantine.from_rows(failures, F.col("_rule"), ...)`` keeps it out
+    of the payload)."""
     tagged = tag_failures(df, types, int_policy=int_policy, prefix=prefix)
     ok = tagged.where(F.size(FAILED) == 0).select(*typed_projection(df.columns, types, int_policy=int_policy))
-    bad = tagged.where(F.size(FAILED) > 0).select(*df.columns, F.explode(FAILED).alias("rule"))
+    bad = tagged.where(F.size(FAILED) > 0).select(*df.columns, F.explode(FAILED).alias("_rule"))
     return ok, bad
