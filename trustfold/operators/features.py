@@ -18,9 +18,9 @@ is what lets the plan stay small at any scale:
    frames give NULL, then zero).  A partition holds one entity's days plus
    its snapshot dates: bounded by the calendar, not by the data.
 
-   Strategy ``"join"`` is the interval-join form: daily rows joined to the
-   snapshots on entity and day range, then summed per snapshot and left
-   joined back for zero-fill.  The snapshot side is broadcast only when its
+   Strategy ``"join"`` is the interval-join form: every snapshot expanded to
+   the N days of its window, equi-joined to the daily rows on (entity, day),
+   summed per snapshot and left joined back for zero-fill.  The snapshot side is broadcast only when its
    row count has been checked against ``broadcast_max_rows``; otherwise the
    join is a shuffle join that AQE may still turn into a broadcast from the
    measured size.
@@ -171,46 +171,44 @@ def window_metrics(
         side = valid
         if broadcast_max_rows is not None and valid.count() <= broadcast_max_rows:
             side = F.broadcast(valid)
-        d = daily.alias("d")
-        s = side.alias("s")
-        cond = (
-            (F.col(f"d.{key}") == F.col(f"s.{key}"))
-            & (F.col(f"d.{day}") >= F.date_sub(F.col(f"s.{as_of}"), horizon_days))
-            & (F.col(f"d.{day}") < F.col(f"s.{as_of}"))
-        )
-        matched = d.join(s, cond, "inner").select(
-            F.col(f"s.{key}").alias(key), F.col(f"s.{as_of}").alias(as_of),
-            *[F.col(f"d.{n}").alias(n) for n in names],
-        )
+        days = window_days(side, key=key, as_of=as_of, day=day, horizon_days=horizon_days)
+        matched = daily.join(days, [key, day], "inner")
         sums = matched.groupBy(key, as_of).agg(*[F.sum(n).alias(n) for n in names])
         return _finish(snaps.join(sums, [key, as_of], "left"), key, as_of, metrics, ratios)
 
     raise ValueError(f"unknown strategy {strategy!r}; use 'window' or 'join'")
 
 
+def window_days(snapshots: DataFrame, *, key: str, as_of: str, day: str, horizon_days: int) -> DataFrame:
+    """Each snapshot expanded to the N days of its window: (key, as_of, day).
+
+    Joining on (key, day) is then an exact equi-join: no range predicate,
+    no candidate pairs per entity, and the join keys spread a busy entity
+    over its days.  The expansion is N rows per snapshot (N fixed).
+    """
+    return snapshots.select(
+        key, as_of,
+        F.explode(F.sequence(F.date_sub(F.col(as_of), horizon_days), F.date_sub(F.col(as_of), 1))).alias(day),
+    )
+
+
 def events_in_window(events: DataFrame, snapshots: DataFrame, *, key: str, day: str, as_of: str,
                      horizon_days: int) -> DataFrame:
     """The interval join itself: every event paired with each snapshot of its
     entity whose window contains it, plus ``days_before`` (1..N).
 
     Meant for audits of the window edges.  The output is event-sized (an
-    event can match several snapshots), so it is an equi join on the entity
-    with the day range as residual; the snapshot side is not hinted.
+    event can match several snapshots); it is computed as an equi-join on
+    (entity, day) against the snapshots' window days.
     """
     snaps = snapshots.select(key, as_of).where(
         F.col(key).isNotNull() & F.col(as_of).isNotNull()
     ).distinct()
-    pruned = prune_to_snapshots(events, snaps, day=day, as_of=as_of, horizon_days=horizon_days)
-    e = pruned.alias("e")
-    s = snaps.alias("s")
-    cond = (
-        (F.col(f"e.{key}") == F.col(f"s.{key}"))
-        & (F.col(f"e.{day}") >= F.date_sub(F.col(f"s.{as_of}"), horizon_days))
-        & (F.col(f"e.{day}") < F.col(f"s.{as_of}"))
-    )
-    return e.join(s, cond, "inner").select(
-        "e.*", F.col(f"s.{as_of}").alias(as_of),
-        F.datediff(F.col(f"s.{as_of}"), F.col(f"e.{day}")).alias("days_before"),
+    pruned = prune_to_snapshots(events.where(F.col(key).isNotNull()), snaps, day=day, as_of=as_of,
+                                horizon_days=horizon_days)
+    days = window_days(snaps, key=key, as_of=as_of, day=day, horizon_days=horizon_days)
+    return pruned.join(days, [key, day], "inner").withColumn(
+        "days_before", F.datediff(F.col(as_of), F.col(day))
     )
 
 
