@@ -9,6 +9,9 @@ together (a shared reader would shift values between columns silently).
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -26,16 +29,25 @@ def batch_paths(root: str, batches: list[str], template: str = "{root}/{batch}")
     return [template.format(root=root.rstrip("/"), batch=b.strip()) for b in batches if b.strip()]
 
 
+def as_metadata_uri(uri: str) -> str:
+    """A file URI in the spelling of ``_metadata.file_path`` (percent-encoded,
+    ``file:/x`` rather than ``file:///x``)."""
+    return re.sub(r"^file:///", "file:/", uri)
+
+
+def as_read_path(uri: str) -> str:
+    """A ``_metadata.file_path`` URI turned back into a path a reader accepts."""
+    return unquote(uri)
+
+
 def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every data file under ``paths`` (``source_file`` URI, ``size``).
+    """Every data file under ``paths`` (``source_file``), empty files included.
 
-    Uses the binary-file source with the content column pruned, so only
-    file metadata is touched.
+    Taken from the reader's file index: one entry per file (bounded by the
+    number of files, not their content), in the ``_metadata`` spelling.
     """
-    return (
-        spark.read.format("binaryFile").load(paths)
-        .select(F.col("path").alias("source_file"), F.col("length").alias("size"))
-    )
+    files = sorted({as_metadata_uri(u) for u in spark.read.text(paths).inputFiles()})
+    return spark.createDataFrame([(f,) for f in files], "source_file string")
 
 
 def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -81,7 +93,8 @@ def read_layout(spark: SparkSession, files: list[str], header: list[str],
     of every file is skipped.  Extra columns are dropped.
     """
     schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(header))])
-    df = spark.read.csv(files, schema=schema, header=True, enforceSchema=True, mode="PERMISSIVE")
+    df = spark.read.csv([as_read_path(f) for f in files], schema=schema, header=True, enforceSchema=True,
+                        mode="PERMISSIVE")
     pos = column_positions(header, expected)
     return df.select(
         *[F.col(f"_c{p}").alias(name) for p, name in zip(pos, expected)],
