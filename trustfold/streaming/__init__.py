@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The reference has no streaming source, sink, watermark or stateful
+operator: weekly batches arrive as an explicit list of dated paths and are
+processed as a batch run (``plans.trusted.build_trusted``).  No streaming
+capability is offered here.
+"""
