@@ -120,3 +120,47 @@ def test_path_with_space(spark, tmp_path):
                         scratch=str(tmp_path / "tagged"))
     assert out.trusted.count() == 1
     assert out.trusted.select(F.col("_source_file")).first()[0].endswith("a.csv")
+
+
+def test_header_methods_agree_and_unreadable_files_fall_back(spark, tmp_path):
+    import trustfold.sources.batches as sb
+
+    (tmp_path / "sp ace").mkdir()
+    files = [
+        _write(tmp_path / "sp ace" / "a.csv", '﻿"id", Tenure ,"a,b"\r\n1,2,3\r\n'),
+        _write(tmp_path / "b.csv", ""),
+        _write(tmp_path / "c.csv", "\nid,x\n"),
+        _write(tmp_path / "d.csv", "id,x"),
+    ]
+
+    def headers(method):
+        return {r.source_file.rsplit("/", 1)[1]: list(r.header)
+                for r in sb.read_headers(spark, files, method=method).collect()}
+
+    want = {"a.csv": ["id", " Tenure ", "a,b"], "b.csv": [], "c.csv": [], "d.csv": ["id", "x"]}
+    assert headers("tasks") == want
+    assert headers("scan") == want
+    assert headers("auto") == want
+    # a file the tasks cannot read (here: no line end within the byte limit)
+    # is read again by the scan
+    rows = {r.source_file.rsplit("/", 1)[1]: r.read for r in sb.first_lines_in_tasks(
+        spark, sb.list_files(spark, files), max_bytes=10).collect()}
+    assert rows == {"a.csv": False, "b.csv": True, "c.csv": True, "d.csv": True}
+    got = {r.source_file.rsplit("/", 1)[1]: list(r.header)
+           for r in sb.read_headers(spark, files, max_bytes=10).collect()}
+    assert got == want
+
+
+def test_first_line_reads_only_the_line(tmp_path):
+    from trustfold.sources.batches import _first_line
+
+    p = tmp_path / "big.csv"
+    p.write_text("h1,h2\n" + "1,2\n" * 100000)
+    assert _first_line(p.as_uri()) == "h1,h2"
+    q = tmp_path / "long.csv"
+    q.write_text("x" * 5000)
+    assert _first_line(q.as_uri()) == "x" * 5000
+    import pytest
+
+    with pytest.raises(ValueError):
+        _first_line(q.as_uri(), limit=100)

@@ -40,26 +40,81 @@ def as_read_path(uri: str) -> str:
     return unquote(uri)
 
 
-def list_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Every data file under ``paths`` (``source_file``), empty files included.
+def list_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Every data file under ``paths``, empty files included, as URIs in the
+    ``_metadata.file_path`` spelling.
 
-    Taken from the reader's file index: one entry per file (bounded by the
-    number of files, not their content), in the ``_metadata`` spelling.
-    """
-    files = sorted({as_metadata_uri(u) for u in spark.read.text(paths).inputFiles()})
-    return spark.createDataFrame([(f,) for f in files], "source_file string")
-
-
-def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First line of every file under ``paths``, split CSV-aware into the
-    exact column names (quotes removed, BOM stripped).
-
-    One job for all files.  Only rows of each file's first split take part,
-    and the first line is chosen per file with a partial ``min_by`` (one row
-    per file per task crosses the shuffle).  Empty files have no first line:
-    they come back with an empty header, so every contract column is
-    reported missing instead of failing the run.
+    Taken from the reader's file index (the listing Spark does for any
+    read): one entry per file, bounded by the number of files, not their
+    content.
     """
+    return sorted({as_metadata_uri(u) for u in spark.read.text(paths).inputFiles()})
+
+
+# Longest header line read from a file before giving up on it (fixed value).
+HEADER_MAX_BYTES = 1 << 20
+_HEADER_SCHEMA = "source_file string, line string, read boolean"
+
+
+def _first_line(uri: str, limit: int = HEADER_MAX_BYTES) -> str | None:
+    """First line of one file (NULL when the file is empty), reading only as
+    many bytes as the line needs.  Lines end at ``\\n``, ``\\r`` or ``\\r\\n``,
+    as in Spark's text reader; compressed files are decompressed by extension."""
+    from pyarrow import fs as pafs
+
+    # the URI is in the percent-encoded ``_metadata`` spelling, which Arrow decodes
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    buf = bytearray()
+    with filesystem.open_input_stream(path, compression="detect") as stream:
+        while len(buf) <= limit:
+            chunk = stream.read(min(64 * 1024, limit + 1 - len(buf)))
+            if not chunk:
+                break
+            buf += chunk
+            ends = [i for i in (buf.find(b"\n"), buf.find(b"\r")) if i >= 0]
+            if ends:
+                return bytes(buf[: min(ends)]).decode("utf-8", errors="replace")
+    if len(buf) > limit:
+        raise ValueError(f"no line end in the first {limit} bytes of {uri}")
+    return bytes(buf).decode("utf-8", errors="replace") if buf else None
+
+
+def _first_lines_of(limit: int):
+    """``mapInPandas`` body: the first line of every file of a batch of file
+    URIs; ``read`` is False where the file could not be read here (a file
+    system Arrow does not know, or no line end within ``limit`` bytes)."""
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            lines, ok = [], []
+            for uri in pdf["source_file"]:
+                try:
+                    lines.append(_first_line(uri, limit))
+                    ok.append(True)
+                except Exception:  # noqa: BLE001 - reported through ``read``
+                    lines.append(None)
+                    ok.append(False)
+            yield pd.DataFrame({"source_file": pdf["source_file"], "line": lines, "read": ok})
+
+    return run
+
+
+def first_lines_in_tasks(spark: SparkSession, files: list[str],
+                         max_bytes: int = HEADER_MAX_BYTES) -> DataFrame:
+    """First line of each file, read by executor tasks (the file list is
+    spread over the cluster; every task opens its files and reads only the
+    bytes of the first line).  Columns: source_file, line, read."""
+    n = max(1, min(len(files), spark.sparkContext.defaultParallelism))
+    listing = spark.createDataFrame([(f,) for f in files], "source_file string")
+    return listing.repartition(n).mapInPandas(_first_lines_of(max_bytes), _HEADER_SCHEMA)
+
+
+def first_lines_by_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """First line of each file through Spark's text scan (works on every file
+    system Spark can read, but reads every byte of every file: splits cannot
+    be skipped by ``_metadata.file_block_start``).  Empty files get no row."""
     lines = (
         spark.read.text(paths)
         .select(
@@ -70,13 +125,48 @@ def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
         .where(F.col("block_start") == 0)
         .withColumn("seq", F.monotonically_increasing_id())
     )
-    first = lines.groupBy("source_file").agg(F.min_by("value", "seq").alias("line"))
+    return lines.groupBy("source_file").agg(F.min_by("value", "seq").alias("line"))
+
+
+def read_headers(spark: SparkSession, paths: list[str], method: str = "auto",
+                 max_bytes: int = HEADER_MAX_BYTES) -> DataFrame:
+    """First line of every file under ``paths``, split CSV-aware into the
+    exact column names (quotes removed, BOM stripped).
+
+    ``method``:
+
+    * ``"tasks"``: executor tasks open each file and read its first line
+      only, so the check costs a few bytes per file whatever the data size;
+    * ``"scan"``: Spark's text scan of all files (one job, any file system,
+      but it reads the data in full);
+    * ``"auto"`` (default): tasks first; files the tasks could not open (a
+      file system only the JVM knows, a first line longer than
+      ``max_bytes``) are read again by the scan.  The one
+      row per file is collected on the way (the router collects it anyway).
+
+    Empty files have no first line: they come back with an empty header, so
+    every contract column is reported missing instead of failing the run.
+    """
+    if method not in ("auto", "tasks", "scan"):
+        raise ValueError("method must be 'auto', 'tasks' or 'scan'")
+    files = list_files(spark, paths)
+    if method == "scan":
+        first = first_lines_by_scan(spark, paths)
+    elif method == "tasks":
+        first = first_lines_in_tasks(spark, files, max_bytes).select("source_file", "line")
+    else:
+        rows = first_lines_in_tasks(spark, files, max_bytes).collect()
+        failed = [r["source_file"] for r in rows if not r["read"]]
+        first = spark.createDataFrame([(r["source_file"], r["line"]) for r in rows if r["read"]],
+                                      "source_file string, line string")
+        if failed:
+            first = first.unionByName(first_lines_by_scan(spark, [as_read_path(f) for f in failed]))
     names = F.transform(
         F.split(F.regexp_replace(F.col("line"), "^\ufeff", ""), _CSV_SPLIT),
         lambda t: F.regexp_replace(F.regexp_replace(t, r'^"(.*)"$', "$1"), '""', '"'),
     )
-    files = list_files(spark, paths).select("source_file")
-    return files.join(first, "source_file", "left").select(
+    listing = spark.createDataFrame([(f,) for f in files], "source_file string")
+    return listing.join(first, "source_file", "left").select(
         "source_file",
         F.when(F.col("line").isNull() | (F.col("line") == ""), F.array().cast("array<string>"))
         .otherwise(names).alias("header"),
