@@ -93,9 +93,10 @@ def _header_errors_sql() -> str:
 
 
 def header_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File-level rejects: one row per rejected batch folder, header and rule."""
-    out = trusted_run(spark, sf_dir)
-    return out.file_errors.select(
+    """File-level rejects: one row per rejected batch folder, header and rule
+    (only the header check runs; no data row is read)."""
+    _, file_errors, _ = route_files(spark, staged_batches(spark, sf_dir), ORDER_CONTRACT, unit="folder")
+    return file_errors.select(
         F.regexp_extract("source_file", r"batch=([^/]+)$", 1).alias("batch"), "rule",
         F.col("column").alias("column_name"),
         F.to_json(F.struct(F.col("header").alias("header"))).alias("original_record"),
