@@ -105,9 +105,11 @@ def prune_to_snapshots(events: DataFrame, snapshots: DataFrame, *, day: str, as_
     eager job; when the snapshot set is empty both bounds are NULL and the
     filter keeps nothing.
     """
-    lo = snapshots.select(F.date_sub(F.min(as_of), horizon_days)).scalar()
-    hi = snapshots.select(F.max(as_of)).scalar()
-    return events.where((F.col(day) >= lo) & (F.col(day) < hi))
+    # one subquery for both bounds: the snapshot source is aggregated once
+    bounds = snapshots.select(
+        F.struct(F.date_sub(F.min(as_of), horizon_days).alias("lo"), F.max(as_of).alias("hi"))
+    ).scalar()
+    return events.where((F.col(day) >= bounds["lo"]) & (F.col(day) < bounds["hi"]))
 
 
 def daily_rollup(events: DataFrame, *, key: str, day: str, metrics: list[Metric]) -> DataFrame:
