@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from trustfold.bindings.registry import register
 from trustfold.bindings.usage import (
+    HOT_USAGE_EVENTS_SQL,
     USAGE_EVENTS_SQL,
     USAGE_METRICS,
     USAGE_RATIOS,
     WEEKLY_AS_OF,
+    hot_usage_events,
     table,
     usage_events,
     usage_metrics_sql,
@@ -109,6 +111,20 @@ def pit_usage_90d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("pit_usage_90d", usage_metrics_sql(_BATCH_SNAPS_SQL, 90), covers=("JN-1",))(pit_usage_90d)
 
+
+
+def pit_hot_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly snapshots over events where one entity holds a third of all
+    events: the daily roll-up leaves that entity one row per day before the
+    shuffle, so its window partition is as small as anyone's."""
+    return window_metrics(hot_usage_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
+                          day="day", as_of="as_of", horizon_days=14, metrics=USAGE_METRICS,
+                          ratios=USAGE_RATIOS)
+
+
+register("pit_hot_entity", usage_metrics_sql(_BATCH_SNAPS_SQL, 14, HOT_USAGE_EVENTS_SQL),
+         covers=("JN-1", "AGG-1", "P-6"))(pit_hot_entity)
+
 # ----------------------------------------------------------- window edges
 
 

@@ -9,7 +9,7 @@ from trustfold.bindings.order_batches import ORDER_CONTRACT, RAW_TEXT_CTE, TEXT_
 from trustfold.bindings.q_profile import LINE_COLUMNS, LINEITEM_TEXT_SQL, lineitem_text, staged_lines
 from trustfold.bindings.q_trusted import RUN
 from trustfold.bindings.registry import register
-from trustfold.operators.dedup import split_conflicts
+from trustfold.operators.dedup import split_conflicts, tag_versions
 from trustfold.operators.lineage import map_label, stamp, with_origin
 from trustfold.operators.quarantine import from_rows
 from trustfold.operators.strict_types import split_castable
@@ -88,6 +88,37 @@ register("dedup_conflicts", _LINE_DEDUP_CTES + "SELECT d.* FROM d JOIN v USING (
          covers=("VAL-9", "WIN-1", "Q-6"))(dedup_conflicts)
 
 
+def _hot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line text with one hot key: every line of an order whose key is a
+    multiple of 3 becomes a version of key ``hot`` in file ``ship_hot``, so
+    one (file, key) group holds a third of all lines (no line is dropped)."""
+    lt = _lines(spark, sf_dir)
+    hot = F.col("l_orderkey").cast("bigint") % 3 == 0
+    return lt.withColumns({"_file": F.when(hot, F.lit("ship_hot")).otherwise(F.col("_file")),
+                           "l_key": F.when(hot, F.lit("hot")).otherwise(F.col("l_key"))})
+
+
+def dedup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct line with the number of versions of its key in its file,
+    when one key holds a third of all lines: the version count is a partial
+    aggregate (one row per key and task crosses the shuffle) and the hot
+    group reaches the rows through a join AQE can split, not a window buffer."""
+    t = tag_versions(_hot_lines(spark, sf_dir), key="l_key", origin="_file")
+    return t.withColumnRenamed("_file", "file").withColumnRenamed("__versions", "n_versions")
+
+
+_HOT = "CAST(l_orderkey AS BIGINT) % 3 = 0"
+register("dedup_hot_key", f"""WITH lt0 AS ({LINEITEM_TEXT_SQL}),
+lt AS (SELECT CASE WHEN {_HOT} THEN 'ship_hot' ELSE file END AS file,
+              CASE WHEN {_HOT} THEN 'hot' ELSE l_key END AS l_key,
+              l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_returnflag, l_linestatus, l_shipdate
+       FROM lt0),
+d AS (SELECT DISTINCT * FROM lt),
+v AS (SELECT file, l_key, count(*) AS n FROM d GROUP BY ALL)
+SELECT d.*, v.n AS n_versions FROM d JOIN v USING (file, l_key)""",
+         covers=("VAL-8", "VAL-9", "WIN-1"))(dedup_hot_key)
+
+
 def lineage_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the line CSVs with their folder of origin and the run stamp."""
     lines = with_origin(staged_lines(spark, sf_dir), "_source_folder", level="folder")

@@ -73,11 +73,11 @@ FROM events
 """
 
 
-def usage_metrics_sql(snaps_sql: str, horizon: int) -> str:
+def usage_metrics_sql(snaps_sql: str, horizon: int, events_sql: str = USAGE_EVENTS_SQL) -> str:
     """Oracle SQL: window metrics for the snapshot relation ``snaps_sql``
-    (columns entity_id, as_of) over ``USAGE_EVENTS_SQL``."""
+    (columns entity_id, as_of) over ``events_sql`` (the usage model)."""
     return f"""
-WITH ev AS ({USAGE_EVENTS_SQL}),
+WITH ev AS ({events_sql}),
 snaps AS (SELECT DISTINCT entity_id, as_of FROM ({snaps_sql}) s0),
 m AS (
   SELECT s.entity_id, s.as_of,
@@ -101,3 +101,19 @@ SELECT entity_id, as_of,
        CASE WHEN n_calls > 0 THEN CAST(n_dropped AS DOUBLE) / n_calls END AS drop_rate
 FROM m
 """
+
+
+def hot_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usage events with one hot entity: every event of a user whose id is
+    a multiple of 3 is re-keyed to entity 0, so entity 0 holds about a third
+    of all events (no event is dropped)."""
+    ev = usage_events(spark, sf_dir)
+    k = F.col("entity_id")
+    return ev.withColumn("entity_id", F.when(k % 3 == 0, F.lit(0).cast("bigint")).otherwise(k))
+
+
+HOT_USAGE_EVENTS_SQL = f"""
+SELECT CASE WHEN entity_id % 3 = 0 THEN CAST(0 AS BIGINT) ELSE entity_id END AS entity_id,
+       event_ts, kind, duration_s, mb, dropped, day
+FROM ({USAGE_EVENTS_SQL}) u
+"""
