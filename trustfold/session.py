@@ -19,13 +19,17 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Return the shared scratch root (``spark.checkpoint.dir``).
+    """Return the shared scratch root (``spark.checkpoint.dir``, or the
+    folder given to ``SparkContext.setCheckpointDir``).
 
-    Sets a fresh local folder only when the setting is missing and the
-    master is local; on a cluster a missing setting is an error, because a
+    Sets a fresh local folder only when both are missing and the master is
+    local; on a cluster a missing setting is an error, because a
     machine-local folder would not be visible to the other executors.
     """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
+    if not root:
+        # a folder set through SparkContext.setCheckpointDir counts as well
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master or ""
         if not master.startswith("local"):
@@ -33,7 +37,7 @@ def scratch_root(spark: SparkSession) -> str:
                 f"{_CHECKPOINT_KEY} is not set; set it to a folder every executor can reach"
             )
         root = tempfile.mkdtemp(prefix="trustfold-scratch-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
+        # (the conf key itself cannot be changed on a running session)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -41,8 +45,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder name below the scratch root (not created)."""
-    tail = "/".join(p.strip("/") for p in parts if p)
-    return f"{scratch_root(spark)}/trustfold/{tail}/{uuid.uuid4().hex}".replace("//", "/")
+    # join the parts without touching the root: it may be a URI (``gs://b/ck``)
+    segments = [p.strip("/") for p in ("trustfold", *parts, uuid.uuid4().hex) if p and p.strip("/")]
+    return "/".join([scratch_root(spark), *segments])
 
 
 def materialize(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
