@@ -40,6 +40,16 @@ def test_not_null_check_refuses_bad_slice(spark):
         check_not_null(bad)
 
 
+def test_null_in_not_null_column_fails_publish_and_keeps_ledger(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    run = Run("A", "2026-08-03T00:00:00Z")
+    publish_ledger(_rejects(spark, run, 3), path)
+    bad = _rejects(spark, run, 2).withColumn("rule", F.when(F.col("record_key") == "1", None).otherwise(F.col("rule")))
+    with pytest.raises(Exception, match="NOT NULL: rule"):
+        publish_ledger(bad, path)
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_invalid_json_fails_publish(spark, tmp_path):
     bad = _rejects(spark, Run("A", "2026-08-03T00:00:00Z"), 1).withColumn("original_record", F.lit("{oops"))
     with pytest.raises(Exception):

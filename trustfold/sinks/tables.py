@@ -7,9 +7,10 @@
   in the new rows (dynamic partition overwrite, set on the writer, not on
   the session).  Other stages and runs are kept; a re-run of the same run
   replaces its slice; an empty re-run changes nothing.
-* ``publish_ledger``: refuses a slice with NULLs in NOT NULL columns, then
+* ``publish_ledger``: refuses a slice with NULLs in NOT NULL columns and
   stores the original record as VARIANT (``parse_json``: a record that is
-  not valid JSON fails the publish instead of landing as text).
+  not valid JSON fails the publish instead of landing as text); both checks
+  run inside the write job, and a failed job leaves the ledger as it was.
 
 Unlike a warehouse transaction, a parquet overwrite is not atomic across
 partitions; readers may see a half-written slice while the job runs.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustfold.operators.quarantine import LEDGER_COLUMNS, null_violations
+from trustfold.operators.quarantine import LEDGER_COLUMNS, NOT_NULL_COLUMNS, null_violations
 
 LEDGER_PARTITIONS = ("stage", "run_id")
 
@@ -56,11 +57,21 @@ def check_not_null(ledger: DataFrame) -> None:
         raise ValueError(f"ledger slice violates NOT NULL: {bad}")
 
 
+def _guarded(c: str):
+    """The column, or a failed task when a NOT NULL column holds a NULL."""
+    if c not in NOT_NULL_COLUMNS:
+        return F.col(c)
+    return F.when(F.col(c).isNull(), F.raise_error(F.lit(f"ledger slice violates NOT NULL: {c}"))) \
+        .otherwise(F.col(c)).alias(c)
+
+
 def publish_ledger(ledger: DataFrame, path: str) -> str:
-    """Validate and publish one run's rejects into the shared ledger."""
-    check_not_null(ledger)
+    """Validate and publish one run's rejects into the shared ledger, in one
+    pass: the NOT NULL check and the JSON parse run inside the write, so a
+    bad row fails the job, and a failed dynamic-overwrite job commits no
+    partition (the ledger keeps its previous slice)."""
     typed = ledger.select(
-        *[F.parse_json("original_record").alias("original_record") if c == "original_record" else F.col(c)
+        *[F.parse_json("original_record").alias("original_record") if c == "original_record" else _guarded(c)
           for c in LEDGER_COLUMNS]
     )
     return replace_run_slice(typed, path)
