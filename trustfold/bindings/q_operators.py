@@ -1,4 +1,5 @@
-"""Single-operator queries on text frames derived in memory (no files)."""
+"""Single-operator queries: typing and labels on the order text derived in memory,
+duplicate resolution on the lineitem text read back from its CSV folders."""
 
 from __future__ import annotations
 
@@ -6,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustfold.bindings.order_batches import ORDER_CONTRACT, RAW_TEXT_CTE, TEXT_COLUMNS, order_text
-from trustfold.bindings.q_profile import LINE_COLUMNS, LINEITEM_TEXT_SQL, lineitem_text, staged_lines
+from trustfold.bindings.q_profile import LINE_COLUMNS, LINEITEM_TEXT_SQL, staged_lines
 from trustfold.bindings.q_trusted import RUN
 from trustfold.bindings.registry import register
 from trustfold.operators.dedup import split_conflicts, tag_versions
@@ -67,7 +68,9 @@ v AS (SELECT file, l_key, count(*) AS n FROM d GROUP BY ALL)
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineitem_text(spark, sf_dir).withColumnRenamed("file", "_file")
+    """The lineitem text as read back from its CSV folders (one folder per
+    ship year; the folder name is the unit, kept as a lineage column)."""
+    return staged_lines(spark, sf_dir).withColumnRenamed("file", "_file")
 
 
 def dedup_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
