@@ -164,3 +164,12 @@ def test_first_line_reads_only_the_line(tmp_path):
 
     with pytest.raises(ValueError):
         _first_line(q.as_uri(), limit=100)
+
+
+def test_ragged_rows_pad_short_and_drop_extra_fields(spark, tmp_path):
+    # a short row is padded with NULLs (its typed column then fails typing);
+    # a long row keeps the contract's fields and loses the extra ones
+    out = _run(spark, tmp_path, {"a.csv": "id,tenure,charges\na,1\nb,2,3.5,zzz\n"})
+    assert [(r.id, r.tenure, r.charges) for r in out.trusted.collect()] == [("b", 2, 3.5)]
+    rejects = [(r.record_key, r.rule, json.loads(r.original_record)) for r in out.quarantine.collect()]
+    assert rejects == [("a", "not_numeric_charges", {"id": "a", "tenure": "1", "charges": None})]

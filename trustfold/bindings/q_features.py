@@ -69,7 +69,7 @@ def pit_usage_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 register(
     "pit_usage_fixed",
     usage_metrics_sql("SELECT c_custkey AS entity_id, DATE '2024-01-29' AS as_of FROM customer", 14),
-    covers=("PRJ-3", "FLT-1", "JN-1", "JN-2", "AGG-1", "AGG-2", "AGG-3", "AGG-18", "PRJ-5"),
+    covers=("PRJ-3", "FLT-1", "JN-1", "JN-2", "AGG-1", "AGG-2", "AGG-3", "AGG-4", "AGG-18", "PRJ-5", "Q-20", "Q-25"),
 )(pit_usage_fixed)
 
 # ---------------------------------------------------------- per-row as-of
