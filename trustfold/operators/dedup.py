@@ -50,15 +50,23 @@ def collapse_identical(df: DataFrame, *, origin: str = "_source_file", unit: str
     )
 
 
+def count_versions(collapsed: DataFrame, *, key: str, origin: str = "_source_file", unit: str = "file",
+                   name: str = "__versions") -> DataFrame:
+    """Add the number of versions of each row's key within its unit to rows
+    that are already collapsed (one row per distinct record and unit)."""
+    d = collapsed.withColumn("__unit", _unit_col(origin, unit))
+    counts = d.groupBy("__unit", key).agg(F.count(F.lit(1)).alias(name))
+    l, r = d.alias("l"), counts.alias("r")
+    cond = F.col("l.__unit").eqNullSafe(F.col("r.__unit")) & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
+    return l.join(r, cond, "inner").select(*[F.col(f"l.{c}") for c in collapsed.columns], F.col(f"r.{name}"))
+
+
 def tag_versions(df: DataFrame, *, key: str, origin: str = "_source_file", unit: str = "file",
                  name: str = "__versions") -> DataFrame:
     """Collapse identical rows and add the number of versions of each row's
     key within its unit."""
-    d = collapse_identical(df, origin=origin, unit=unit).withColumn("__unit", _unit_col(origin, unit))
-    counts = d.groupBy("__unit", key).agg(F.count(F.lit(1)).alias(name))
-    l, r = d.alias("l"), counts.alias("r")
-    cond = (F.col("l.__unit") == F.col("r.__unit")) & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    return l.join(r, cond, "inner").select(*[F.col(f"l.{c}") for c in df.columns], F.col(f"r.{name}"))
+    return count_versions(collapse_identical(df, origin=origin, unit=unit), key=key, origin=origin, unit=unit,
+                          name=name)
 
 
 def split_conflicts(df: DataFrame, *, key: str, origin: str = "_source_file",
