@@ -166,3 +166,27 @@ def test_oracle_matches_on_smoke_data(spark):
         want = sorted(json.dumps([str(r[i]) for i in order], sort_keys=True) for r in cur.fetchall())
         assert len(got) == len(want), name
         assert got == want, name
+
+
+def test_oracle_matches_under_another_session_time_zone(spark):
+    """The driver's session may not run in UTC: results must not depend on it."""
+    duckdb = pytest.importorskip("duckdb")
+    import __spark_entry__ as ent
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ["customer", "events", "orders", "lineitem"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in ["lineage_stamp", "daily_activity", "pit_usage_by_batch", "typed_ok"]:
+            df = ent.queries()[name](spark, sf)
+            got = sorted(json.dumps([str(x) for x in r]) for r in df.select(sorted(df.columns)).collect())
+            cur = con.execute(ent.oracle_sql()[name])
+            cols = [d[0] for d in cur.description]
+            order = sorted(range(len(cols)), key=lambda i: cols[i])
+            want = sorted(json.dumps([str(r[i]) for i in order]) for r in cur.fetchall())
+            assert got == want, name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -129,7 +129,9 @@ def lineage_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(
         F.regexp_extract("_source_folder", r"file=(.*)$", 1).alias("file"), "l_key",
         F.col("_run_id").alias("run_id"),
-        F.date_format("_ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"),
+        # rendered in UTC whatever the session time zone
+        F.date_format(F.to_utc_timestamp("_ingested_at", F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+        .alias("ingested_at"),
     )
 
 
