@@ -173,3 +173,17 @@ def test_ragged_rows_pad_short_and_drop_extra_fields(spark, tmp_path):
     assert [(r.id, r.tenure, r.charges) for r in out.trusted.collect()] == [("b", 2, 3.5)]
     rejects = [(r.record_key, r.rule, json.loads(r.original_record)) for r in out.quarantine.collect()]
     assert rejects == [("a", "not_numeric_charges", {"id": "a", "tenure": "1", "charges": None})]
+
+
+def test_scan_fallback_takes_the_first_line_of_a_split_file(spark, tmp_path):
+    from trustfold.sources.batches import first_lines_by_scan
+
+    big = _write(tmp_path / "big.csv", "h1,h2\n" + "".join(f"{i},{i}\n" for i in range(200000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        df = spark.read.text(big)
+        assert df.rdd.getNumPartitions() > 10
+        assert [r.line for r in first_lines_by_scan(spark, [big]).collect()] == ["h1,h2"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
