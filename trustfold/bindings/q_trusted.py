@@ -158,8 +158,7 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trustfold.operators.report import reconcile as reconcile_op
 
     out = trusted_run(spark, sf_dir)
-    layouts, _, _ = route_files(spark, staged_batches(spark, sf_dir), ORDER_CONTRACT, unit="folder")
-    raw = read_accepted(spark, layouts, ORDER_CONTRACT).withColumn("batch", batch_of())
+    raw = out.raw.withColumn("batch", batch_of())
     return reconcile_op(
         raw=raw, tagged=out.tagged.withColumn("batch", batch_of()),
         trusted=out.trusted.withColumn("batch", batch_of()),

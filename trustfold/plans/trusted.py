@@ -43,6 +43,7 @@ class TrustedOutput:
     verdicts: DataFrame  # source_file, header, errors (one row per file)
     file_errors: DataFrame  # source_file (file or folder), rule, column, header
     tagged: DataFrame  # materialised: distinct rows + __versions + __failed_rules
+    raw: DataFrame  # accepted files as read (lazy; re-reads the files when used)
 
 
 def route_files(spark: SparkSession, paths: list[str], contract: Contract, unit: str = "file"):
@@ -107,4 +108,4 @@ def build_trusted(spark: SparkSession, paths: list[str], contract: Contract, run
     type_rejects = from_rows(bad_types, F.col("__rule"), run, key=contract.key, origin=ORIGIN)
     files = from_file_errors(file_errors, run)
     quarantine = union_all([files, conflicts, type_rejects])
-    return TrustedOutput(trusted, quarantine, verdicts, file_errors, tagged)
+    return TrustedOutput(trusted, quarantine, verdicts, file_errors, tagged, raw)
