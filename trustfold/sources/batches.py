@@ -137,6 +137,8 @@ def read_headers(spark: SparkSession, paths: list[str], method: str = "auto",
 
     * ``"tasks"``: executor tasks open each file and read its first line
       only, so the check costs a few bytes per file whatever the data size;
+      a file they cannot read gets an empty header (so it is rejected with
+      every contract column missing, never read as data);
     * ``"scan"``: Spark's text scan of all files (one job, any file system,
       but it reads the data in full);
     * ``"auto"`` (default): tasks first; files the tasks could not open (a
