@@ -10,9 +10,11 @@ Order of the rules, per run:
    per failing column); a conflicting key is only reported as a conflict;
 5. label mapped (when the contract has one), lineage stamped.
 
-Steps 3-4 produce one tagged frame that is written once to the shared
-scratch folder; the trusted rows and the rejects are both read from it, so
-the raw files are scanned once and both outputs describe the same rows.
+The raw files are parsed once: the collapsed rows (step 3's first half) are
+written to the shared scratch folder, and the version count and its join
+read them back.  Steps 3-4 then produce one tagged frame, also written
+once; the trusted rows and the rejects are both read from it, so both
+outputs describe the same rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustfold.operators.contracts import Contract, header_errors
-from trustfold.operators.dedup import tag_versions
+from trustfold.operators.dedup import collapse_identical, count_versions
 from trustfold.operators.lineage import map_label, stamp
 from trustfold.operators.quarantine import (
     Run,
@@ -89,10 +91,15 @@ def build_trusted(spark: SparkSession, paths: list[str], contract: Contract, run
     layouts, file_errors, verdicts = route_files(spark, paths, contract, unit)
     raw = read_accepted(spark, layouts, contract)
 
-    tagged = tag_versions(raw, key=contract.key, origin=ORIGIN, unit=unit)
+    root = scratch or scratch_path(spark, "trusted", run.run_id)
+    # the collapsed rows are written once: counting versions and joining the
+    # counts back both read that table (the version count only its unit and
+    # key columns) instead of parsing the raw files and shuffling them twice
+    collapsed = materialize(collapse_identical(raw, origin=ORIGIN, unit=unit), path=f"{root}/collapsed")
+    tagged = count_versions(collapsed, key=contract.key, origin=ORIGIN, unit=unit)
     tagged = tag_failures(tagged, contract.types, int_policy=contract.int_policy,
                           prefix=contract.type_rule_prefix)
-    tagged = materialize(tagged, path=scratch or scratch_path(spark, "tagged", run.run_id))
+    tagged = materialize(tagged, path=f"{root}/tagged")
 
     cols = list(contract.columns) + [ORIGIN]
     single = F.col("__versions") == 1
