@@ -23,6 +23,14 @@ from pyspark.sql import functions as F
 INT_POLICIES = ("legacy", "strict")
 
 _INTEGRAL = {"int", "integer", "bigint", "long", "smallint", "short", "tinyint", "byte"}
+# The bytes Spark's string-to-number cast trims from both ends
+# (ASCII control characters, space, DEL; measured on Spark 4.1), and the text
+# its non-ANSI integer cast accepts once trimmed: a sign, digits, and an
+# optional fraction of digits that is dropped.
+_WS = r"[\x00-\x20\x7F]"
+_TRIM_ALL = rf"\A{_WS}+|{_WS}+\z"
+_LEGACY_INT = r"\A[+-]?[0-9]*(\.[0-9]*)?\z"
+_SIGN_ONLY = r"\A[+-]?\z"
 
 
 def _c(col: str | Column) -> Column:
@@ -35,11 +43,14 @@ def cast_text(col: str | Column, dtype: str, int_policy: str = "legacy") -> Colu
         raise ValueError(f"int_policy must be one of {INT_POLICIES}, got {int_policy!r}")
     c = _c(col)
     if dtype.lower() in _INTEGRAL and int_policy == "legacy":
-        t = F.trim(c)
-        # ".5" / "-." -> "0"; "5.7" / "5." -> "5"; everything else untouched
-        c = (
-            F.when(t.rlike(r"^[+-]?\.[0-9]*$"), F.lit("0"))
-            .otherwise(F.regexp_replace(t, r"\.[0-9]*$", ""))
+        # the cast trims control characters too (tabs, newlines), not only
+        # the spaces ``trim`` removes
+        t = F.regexp_replace(c, _TRIM_ALL, "")
+        whole = F.regexp_extract(t, r"\A([+-]?[0-9]*)", 1)
+        # "5.7" / "5." -> "5"; ".5" / "-." / "." -> "0"; "" / "+" / "3 .5" -> NULL
+        c = F.when(
+            t.rlike(_LEGACY_INT) & ~t.rlike(_SIGN_ONLY),
+            F.when(whole.rlike(_SIGN_ONLY), F.lit("0")).otherwise(whole),
         )
     return c.try_cast(dtype)
 
