@@ -58,6 +58,16 @@ def test_header_ok_any_order_case_and_spaces(spark):
     assert _errors(spark, [" TENURE ", "Id", "charges", "extra"], ["id", "tenure", "charges"]) == []
 
 
+def test_header_blanks_are_stripped_like_python_strip(spark):
+    from trustfold.operators.contracts import column_positions
+
+    header = ["ID\t", "\u3000tenure\u00a0", "charges\r", "\ttenure "]
+    # the same normalisation on both sides: Spark finds the repeat, Python the positions
+    assert _errors(spark, header, ["id", "tenure", "charges"]) == [("repeated_header", "tenure")]
+    assert _errors(spark, header[:3], ["id", "tenure", "charges"]) == []
+    assert column_positions(header[:3], ["id", "tenure", "charges"]) == [0, 1, 2]
+
+
 def test_header_missing_in_contract_order(spark):
     assert _errors(spark, ["charges"], ["id", "tenure", "charges"]) == [
         ("missing_column", "id"), ("missing_column", "tenure")]

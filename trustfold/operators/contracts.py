@@ -1,7 +1,8 @@
 """Header contracts: is a file's header usable, and where is each column?
 
-Names are compared in normalised form (blanks trimmed, lower case); the
-exact names are kept for the reject record.  Two rules block a file:
+Names are compared in normalised form (blanks trimmed as Python's ``strip``
+does, lower case); the exact names are kept for the reject record.  Two
+rules block a file:
 
 * ``repeated_header``: a normalised name appears more than once.  One error
   per repeated name, in order of first appearance.
@@ -52,8 +53,19 @@ class Contract:
                 raise ValueError(f"{c} is not a contract column")
 
 
+# Fixed value: the characters Python's ``str.strip()`` removes (``str.isspace``),
+# so a name is normalised alike in Spark expressions and in Python code
+# (Spark's ``trim`` removes spaces only).
+_BLANKS = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+_STRIP = rf"\A{_BLANKS}+|{_BLANKS}+\z"
+
+
+def _strip(c: Column) -> Column:
+    return F.regexp_replace(c, _STRIP, "")
+
+
 def _norm(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    return F.lower(_strip(c))
 
 
 def header_errors(headers: DataFrame, expected: list[str] | tuple[str, ...]) -> DataFrame:
@@ -72,7 +84,7 @@ def header_errors(headers: DataFrame, expected: list[str] | tuple[str, ...]) ->
         repeated,
         lambda n: F.struct(
             F.lit(REPEATED).alias("rule"),
-            F.trim(F.element_at("header", F.array_position(norm, n).cast("int"))).alias("column"),
+            _strip(F.element_at("header", F.array_position(norm, n).cast("int"))).alias("column"),
         ),
     )
     expected_arr = F.array(*[F.lit(e) for e in expected])
