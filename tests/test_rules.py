@@ -199,3 +199,12 @@ def test_lineage_one_instant_per_run(spark):
     assert out.select("_ingested_at").distinct().count() == 1
     # the same frame evaluated twice keeps the same instant
     assert out.select("_ingested_at").first()[0] == out.select("_ingested_at").first()[0]
+
+
+def test_folder_unit_is_the_folder_path_not_its_name(spark):
+    rows = [("k", "v1", "/a/batch=1/part-0.csv"), ("k", "v2", "/b/batch=1/part-0.csv"),
+            ("j", "same", "/a/batch=1/part-0.csv"), ("j", "same", "/b/batch=1/part-1.csv")]
+    df = spark.createDataFrame(rows, "key string, v string, _source_file string")
+    ok, bad = split_conflicts(df, key="key", unit="folder")
+    # same-named folders under two roots are two batches: no conflict, no collapse
+    assert bad.count() == 0 and ok.count() == 4

@@ -23,6 +23,14 @@ def parent_name(path: str | Column) -> Column:
     return F.element_at(F.split(p, "/"), -2)
 
 
+def parent_path(path: str | Column) -> Column:
+    """Full path of the folder that holds the file (``gs://b/x/batch=1`` for
+    ``gs://b/x/batch=1/part-0.csv``): unlike the folder *name*, it tells two
+    same-named folders under different roots apart."""
+    p = F.col(path) if isinstance(path, str) else path
+    return F.regexp_replace(p, "/[^/]*$", "")
+
+
 def record_json(cols: list[str]) -> Column:
     """Compact JSON of the named columns, keeping NULL fields as ``null``."""
     return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustfold.functions.text import parent_name
+from trustfold.functions.text import parent_path
 
 UNITS = ("file", "folder")
 
@@ -31,7 +31,7 @@ UNITS = ("file", "folder")
 def _unit_col(origin: str, unit: str):
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}")
-    return F.col(origin) if unit == "file" else parent_name(origin)
+    return F.col(origin) if unit == "file" else parent_path(origin)
 
 
 def collapse_identical(df: DataFrame, *, origin: str = "_source_file", unit: str = "file") -> DataFrame:
