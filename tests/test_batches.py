@@ -187,3 +187,22 @@ def test_scan_fallback_takes_the_first_line_of_a_split_file(spark, tmp_path):
         assert [r.line for r in first_lines_by_scan(spark, [big]).collect()] == ["h1,h2"]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_gzipped_batch_files(spark, tmp_path):
+    import gzip
+
+    a = tmp_path / "a.csv.gz"
+    with gzip.open(a, "wt", encoding="utf-8") as f:
+        f.write("charges, TENURE ,id\n2.5,1,a\n3.5,x,b\n")
+    b = tmp_path / "b.csv.gz"
+    with gzip.open(b, "wt", encoding="utf-8") as f:
+        f.write("id,tenure\nz,1\n")
+    from trustfold.sources.batches import read_headers
+
+    heads = {r.source_file.rsplit("/", 1)[1]: list(r.header) for r in read_headers(spark, [str(a), str(b)]).collect()}
+    assert heads == {"a.csv.gz": ["charges", " TENURE ", "id"], "b.csv.gz": ["id", "tenure"]}
+    out = build_trusted(spark, [str(a), str(b)], CONTRACT, RUN, scratch=str(tmp_path / "s"))
+    assert [(r.id, r.tenure, r.charges) for r in out.trusted.collect()] == [("a", 1, 2.5)]
+    rules = sorted((r.rule, r.record_key) for r in out.quarantine.collect())
+    assert rules == [("missing_column", None), ("not_numeric_tenure", "b")]
