@@ -112,6 +112,15 @@ def prune_to_snapshots(events: DataFrame, snapshots: DataFrame, *, day: str, as_
     return events.where((F.col(day) >= bounds["lo"]) & (F.col(day) < bounds["hi"]))
 
 
+def _require_dates(df: DataFrame, column: str, what: str) -> None:
+    """Windows count calendar days: a timestamp or text column would group
+    per instant or compare as text, so anything but a date is refused (a
+    schema check, no job)."""
+    dtype = dict(df.dtypes).get(column)
+    if dtype != "date":
+        raise TypeError(f"{what}.{column} must be a date column, got {dtype}; cast it first")
+
+
 def daily_rollup(events: DataFrame, *, key: str, day: str, metrics: list[Metric]) -> DataFrame:
     """One row per (entity, day) holding every metric's partial aggregate."""
     return events.groupBy(key, day).agg(*[m.partial() for m in metrics])
@@ -139,6 +148,8 @@ def window_metrics(
     """
     if horizon_days < 1:
         raise ValueError("horizon_days must be at least 1")
+    _require_dates(events, day, "events")
+    _require_dates(snapshots, as_of, "snapshots")
     metrics = list(metrics)
     ratios = list(ratios)
     snaps = snapshots.select(key, as_of).distinct()
@@ -203,6 +214,8 @@ def events_in_window(events: DataFrame, snapshots: DataFrame, *, key: str, day:
     event can match several snapshots); it is computed as an equi-join on
     (entity, day) against the snapshots' window days.
     """
+    _require_dates(events, day, "events")
+    _require_dates(snapshots, as_of, "snapshots")
     snaps = snapshots.select(key, as_of).where(
         F.col(key).isNotNull() & F.col(as_of).isNotNull()
     ).distinct()
