@@ -136,3 +136,39 @@ def test_hot_key_gold_join_keeps_every_row(spark):
     assert len(rows) == 1800
     want = _brute(events, [("hot", START + timedelta(days=31))], 14)[("hot", START + timedelta(days=31))]
     assert {(r.n_calls, r.secs) for r in rows if r.key == "hot"} == {want}
+
+
+def test_hot_key_join_back_is_split_by_aqe(spark):
+    """The version-count join-back is a sort-merge join that AQE splits when
+    one key dominates (thresholds lowered here so the test data counts as
+    skewed; on a cluster the defaults apply)."""
+    keys = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        rows = [("hot", f"v{i}", "f1") for i in range(6000)] + [(f"k{i}", "v", "f1") for i in range(600)]
+        df = spark.createDataFrame(rows, "key string, v string, _file string").repartition(8)
+        from trustfold.operators.dedup import tag_versions
+
+        out = tag_versions(df, key="key", origin="_file")
+        got = {r["key"]: r["__versions"] for r in out.collect()}  # runs ``out`` itself: its plan is final
+        assert got["hot"] == 6000 and got["k1"] == 1
+        plan = _plan(out)
+        # the hot key's partition of the join is read in several splits
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
