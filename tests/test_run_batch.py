@@ -41,3 +41,13 @@ def test_run_batch_end_to_end_and_rerun(spark, tmp_path):
     assert rules == ["missing_column", "not_numeric_tenure"]
     totals = out.gold_totals["weekly"].first()
     assert (totals.n_rows, totals.sum_n_calls, totals.zero_n_calls) == (2, 2, 0)
+
+
+def test_clean_run_has_an_empty_quarantine(spark, tmp_path):
+    w = tmp_path / "w.csv"
+    w.write_text("id,tenure,batch_date\na,1,2026-08-03\n")
+    events = spark.createDataFrame([("a", "call", date(2026, 8, 1))], "id string, kind string, day date")
+    out = run_batch(spark, {"weekly": Source((str(w),), WEEKLY, as_of_column="batch_date")}, events,
+                    str(tmp_path / "out"), Run("run-c", "2026-08-04T06:00:00Z"), metrics=METRICS, horizon_days=7)
+    counts = {r.table_name: r.n_rows for r in out.summary.collect()}
+    assert counts == {"trusted_weekly": 1, "gold_weekly": 1, "quarantine": 0}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustfold.bindings.order_batches import ALL_BATCHES, TRUST_CTES
-from trustfold.bindings.q_features import CUSTOMER_BATCHES_SQL, _gold_sql, gold_profile
+from trustfold.bindings.q_features import CUSTOMER_BATCHES_SQL, _gold_sql, customer_batches, gold_profile
 from trustfold.bindings.q_trusted import (
     RUN,
     _ROW_REJECTS_SQL,
@@ -15,8 +17,11 @@ from trustfold.bindings.q_trusted import (
     trusted_run,
 )
 from trustfold.bindings.registry import register
+from trustfold.bindings.usage import USAGE_METRICS, USAGE_RATIOS, WEEKLY_AS_OF, usage_events
+from trustfold.operators.contracts import Contract
 from trustfold.operators.quarantine import Run
 from trustfold.operators.report import profile_summary, rule_counts, table_counts
+from trustfold.plans.batch import Source, run_batch
 from trustfold.session import scratch_path
 from trustfold.sinks.tables import publish_ledger, replace_table
 
@@ -107,3 +112,49 @@ register(
 FROM ({_gold_sql(CUSTOMER_BATCHES_SQL, "CAST(batch_date AS DATE)", 14)}) g""",
     covers=("SNK-8",),
 )(run_summary)
+
+# ------------------------------------------------------------ whole batch run
+
+WEEKLY_CONTRACT = Contract(
+    columns=("entity_id", "c_name", "c_mktsegment", "c_acctbal", "batch_date"),
+    key="entity_id",
+    types={"entity_id": "bigint", "c_acctbal": "double"},
+)
+_weekly_lock = threading.Lock()
+_weekly: dict[tuple[str, str], list[str]] = {}
+
+
+def staged_weekly_batches(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The customer weekly batches written as CSV folders, one per batch date
+    (``week=<date>``, several part files each), once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _weekly_lock:
+        if key not in _weekly:
+            root = scratch_path(spark, "weekly_batches")
+            text = customer_batches(spark, sf_dir).select(
+                *[F.col(c).cast("string").alias(c) for c in WEEKLY_CONTRACT.columns],
+                F.col("batch_date").alias("week"))
+            text.write.partitionBy("week").option("header", True).csv(root)
+            _weekly[key] = [f"{root}/week={d}" for d in WEEKLY_AS_OF]
+        return _weekly[key]
+
+
+def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch run in one call: the weekly CSV batches through the trust
+    stage, the ledger slice, gold with 14 days of usage from the written trusted
+    table, and the row counts of what was written."""
+    src = Source(tuple(staged_weekly_batches(spark, sf_dir)), WEEKLY_CONTRACT, unit="folder",
+                 as_of_column="batch_date")
+    out = run_batch(spark, {"weekly": src}, usage_events(spark, sf_dir), scratch_path(spark, "batch_run"),
+                    Run(run_id="run-weekly", started_at="2026-08-31T06:00:00Z"), metrics=USAGE_METRICS,
+                    ratios=USAGE_RATIOS, horizon_days=14)
+    return out.summary
+
+
+register(
+    "batch_run",
+    f"""SELECT 'trusted_weekly' AS table_name, count(*) AS n_rows FROM ({CUSTOMER_BATCHES_SQL}) b
+UNION ALL SELECT 'gold_weekly', count(*) FROM ({CUSTOMER_BATCHES_SQL}) b
+UNION ALL SELECT 'quarantine', CAST(0 AS BIGINT)""",
+    covers=("VAL-15", "JN-3", "SNK-1", "SNK-4", "SNK-7", "SRC-5"),
+)(batch_run)

@@ -25,7 +25,7 @@ from trustfold.operators.quarantine import Run, union_all
 from trustfold.operators.report import profile_summary, table_counts
 from trustfold.plans.gold import build_gold
 from trustfold.plans.trusted import build_trusted
-from trustfold.sinks.tables import publish_ledger, replace_table
+from trustfold.sinks.tables import publish_ledger, read_ledger, replace_table
 
 
 @dataclass(frozen=True)
@@ -91,7 +91,8 @@ def run_batch(
 
     tables = {f"trusted_{n}": spark.read.parquet(p) for n, p in trusted_paths.items()}
     tables.update({f"gold_{n}": spark.read.parquet(p) for n, p in gold_paths.items()})
-    tables["quarantine"] = spark.read.parquet(ledger).where(F.col("run_id") == run.run_id)
+    # a clean run publishes no reject: read_ledger copes with a ledger without files
+    tables["quarantine"] = read_ledger(spark, ledger).where(F.col("run_id") == run.run_id)
     totals = {}
     if summary_metric:
         totals = {n: profile_summary(spark.read.parquet(p), summary_metric, f"gold_{n}")

@@ -18,10 +18,11 @@ partitions; readers may see a half-written slice while the job runs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, VariantType
 
-from trustfold.operators.quarantine import LEDGER_COLUMNS, NOT_NULL_COLUMNS, null_violations
+from trustfold.operators.quarantine import LEDGER_COLUMNS, LEDGER_SCHEMA, NOT_NULL_COLUMNS, null_violations
 
 LEDGER_PARTITIONS = ("stage", "run_id")
 
@@ -75,3 +76,24 @@ def publish_ledger(ledger: DataFrame, path: str) -> str:
           for c in LEDGER_COLUMNS]
     )
     return replace_run_slice(typed, path)
+
+
+# The ledger as published: the original record stored as VARIANT.
+PUBLISHED_LEDGER_SCHEMA = StructType([
+    StructField(f.name, VariantType(), True) if f.name == "original_record" else f for f in LEDGER_SCHEMA.fields
+])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists (one file-system metadata call on the driver)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The published ledger with its fixed schema.  A ledger that has only seen
+    clean runs has no data file (or no folder) yet: it reads as empty instead
+    of failing schema inference."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], PUBLISHED_LEDGER_SCHEMA)
+    return spark.read.schema(PUBLISHED_LEDGER_SCHEMA).parquet(path).select(*LEDGER_COLUMNS)
