@@ -23,7 +23,7 @@ from trustfold.operators.quarantine import Run
 from trustfold.operators.report import profile_summary, rule_counts, table_counts
 from trustfold.plans.batch import Source, run_batch
 from trustfold.session import scratch_path
-from trustfold.sinks.tables import publish_ledger, replace_table
+from trustfold.sinks.tables import publish_ledger, read_ledger, replace_table
 
 RUN_A = Run(run_id="run-A", started_at="2026-08-03T06:00:00Z")
 RUN_B = Run(run_id="run-B", started_at="2026-08-10T06:00:00Z")
@@ -37,7 +37,7 @@ def published_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ledger")
     for run, batches in ((RUN_A, BATCHES_A), (RUN_B, BATCHES_B), (RUN_B_AGAIN, BATCHES_B)):
         publish_ledger(trusted_run(spark, sf_dir, run, batches).quarantine, path)
-    return spark.read.parquet(path)
+    return read_ledger(spark, path)
 
 
 _ALL_REJECTS_SQL = f"""{TRUST_CTES},
