@@ -24,3 +24,29 @@ with recursive w as (
 )
 select doc_id, len(s)::bigint as n_shingles, min(b) as component_id from s join reach on a = doc_id group by doc_id, s
 """
+
+DECONTAMINATE = f"""
+with recursive d as (
+  select row_number() over () as r, doc_id, {_ALNUM.format("coalesce(text, '')")} as w from documents
+), b as (
+  select item_id, {_ALNUM.format("coalesce(text, '')")} as w from benchmark
+), win as (
+  select distinct item_id, len(w[i:i + 9]) as n, array_to_string(w[i:i + 9], ' ') as t
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)
+), lens as (
+  select distinct n from win
+), grams as (
+  select r, n, i, array_to_string(w[i:i + n - 1], ' ') as t
+  from (select r, n, w, unnest(range(1, len(w) - n + 2)) as i from d, lens)
+), found as (
+  select distinct r, i, n, item_id from grams join win using (n, t)
+), hit as (
+  select r, count(*) as n_hit from (select distinct r, unnest(range(i, i + n)) as p from found) group by r
+), its as (
+  select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+  from (select distinct r, item_id::varchar as item_id from found where item_id is not null) group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (r) left join its using (r)
+"""

@@ -18,6 +18,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir, "doc_id", "text"), words=4, num=85, den=100)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.decontaminate import contamination_digest
+
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return contamination_digest(documents(spark, sf_dir, "doc_id", "text"), items, window=10)
+
+
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
+    "op10_decontaminate": (op10_decontaminate, oracles.DECONTAMINATE),
 }
