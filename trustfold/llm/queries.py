@@ -18,6 +18,12 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir, "doc_id", "text"), words=4, num=85, den=100)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.mixing import taken_words
+
+    return taken_words(documents(spark, sf_dir, "doc_id", "text", "source"), weights=(5, 2, 1), share=1.0, max_repeats=3)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trustfold.llm.decontaminate import contamination_digest
 
@@ -27,5 +33,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
+    "op8_mixing": (op8_mixing, None),
     "op10_decontaminate": (op10_decontaminate, oracles.DECONTAMINATE),
 }
