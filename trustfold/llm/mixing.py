@@ -186,7 +186,7 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
             cut[r["key"]] = r["x"]["range"] << shift
             gap[r["key"]] -= r["x"]["total"] - r["x"]["size"]
         live = sorted(r["key"] for r in first_over)
-    # closing documents: of those left, again and again the one whose size comes nearest to the gap
+    # closing documents: of those left, again and again the one that fills most of the gap; past it only if none fits and that comes nearer
     close: dict[str, list[int]] = {k: [] for k in rest}
     for _ in range(CLOSING):
         short = sorted(k for k in gap if gap[k] > 0)
@@ -196,7 +196,7 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
                        "close": pa.array([close[k] for k in short], pa.list_(pa.int64()))})
         left = rows.join(state, "key").filter("hash >= cut and not array_contains(close, hash) and size > 0 and size < 2 * gap")
         best = (left.groupBy("key", "hash", "gap").agg(F.sum("size").alias("size")).filter("size < 2 * gap")
-                .groupBy("key").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "hash", "size")).alias("x")).collect())
+                .groupBy("key").agg(F.min(F.struct((F.col("size") > F.col("gap")).alias("over"), F.abs(F.col("size") - F.col("gap")).alias("off"), "hash", "size")).alias("x")).collect())
         if not best:
             break
         fits = {r["key"]: r["x"] for r in best}
