@@ -12,6 +12,12 @@ from trustfold.llm.tables import documents
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.sharding import Tree, sharded
+
+    return sharded(documents(spark, sf_dir, "doc_id", "text"), tree=Tree.even(2, 4, 5))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trustfold.llm.jaccard_join import jaccard_components
 
@@ -32,6 +38,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Builder, str | None]] = {
+    "op6_sharding": (op6_sharding, None),
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
     "op8_mixing": (op8_mixing, None),
     "op10_decontaminate": (op10_decontaminate, oracles.DECONTAMINATE),
