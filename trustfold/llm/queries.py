@@ -12,6 +12,13 @@ from trustfold.llm.tables import documents
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.toxicity import toxicity_scores
+
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity_scores(documents(spark, sf_dir, "doc_id", "text"), labels)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trustfold.llm.sharding import Tree, sharded
 
@@ -38,6 +45,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Builder, str | None]] = {
+    "op1_toxicity": (op1_toxicity, None),
     "op6_sharding": (op6_sharding, None),
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
     "op8_mixing": (op8_mixing, None),
