@@ -58,70 +58,121 @@ FEATURES = ("seed_density", "seed_any", "learned_density", "learned_any", "learn
 
 _WORD = re.compile(r"[^\W_]+(?:['’*@$!|][^\W_]+)*")
 _MASKED = re.compile(r"[^\W\d_]+[*@$!|01345]+[^\W\d_]+")
-_STRETCH = re.compile(r"(\w)\1{2,}")
 _LETTERS = re.compile(r"(?:\b\w[ .\-_*]){3,}\w\b")
 _SPLIT_MARKS = re.compile(r"['’*@$!|]")
 
+# kinds of characters
+_OTHER, _LOWER, _UPPER, _DIGIT, _SPACE = range(5)
+_kinds: list[np.ndarray] = []
+
+
+def _kind_table() -> np.ndarray:
+    """Kind of every character of the basic plane (the last entry stands for those beyond)."""
+    if not _kinds:
+        _kinds.append(np.array([_SPACE if c.isspace() else _UPPER if c.isupper() else _LOWER if c.isalpha() else _DIGIT if c.isdigit() else _OTHER
+                                for c in map(chr, range(0x10000))] + [_OTHER], np.uint8))
+    return _kinds[0]
+
 
 def words_in(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def features(text: str | None, learned: dict[str, float]) -> list[float]:
-    """The values of FEATURES for one whole text (null counts as empty)."""
-    text = text or ""
-    if not text:
-        return [0.0] * len(FEATURES)
-    words = words_in(text)
-    n, chars = max(1, len(words)), len(text)
-    counts = Counter(words)
-    seed = masked = obfuscated = second = shown = 0
-    weight = top = 0.0
-    hot: set[str] = set()
-    for w, c in counts.items():
-        plain = w
-        if not w.isalpha():
-            if _SPLIT_MARKS.search(w) or any(ch.isdigit() for ch in w):
+class Reader:
+    """Features of texts under one learned lexicon; what a token says is worked out once and kept (``KEEP`` tokens at most)."""
+
+    KEEP = 200_000
+
+    def __init__(self, learned: dict[str, float]):
+        self.learned, self.tokens = learned, {}
+
+    def _token(self, token: str) -> tuple:
+        """(words, letters in them, second person, seed, learned, weight, obfuscated, masked, single letter) of a lower-case token."""
+        words = _WORD.findall(token)
+        second = seed = known = obfuscated = masked = 0
+        weight = 0.0
+        for w in words:
+            plain = w
+            if not w.isalpha() and (_SPLIT_MARKS.search(w) or any(c.isdigit() for c in w)):
                 plain = w.translate(_PLAIN)
-                masked += c * (_MASKED.search(w) is not None)
-        if w in SECOND:
-            second += c
-        known = learned.get(w) or (learned.get(plain) if plain != w else None)
-        if w in SEEDS or plain in SEEDS:
-            seed += c
-            hot.add(w)
-        if known:
-            shown += c
-            weight += c * known
-            top = max(top, known)
-            hot.add(w)
-        if plain != w and w in hot:
-            obfuscated += c
-    near = 0
-    if hot and second:
-        at = [i for i, w in enumerate(words) if w in SECOND]
-        marks = np.array(at)
-        for i in (i for i, w in enumerate(words) if w in hot):
-            near += bool(np.min(np.abs(marks - i)) <= 5)
-    letters = sum(map(str.isalpha, text)) or 1
-    tokens = text.split()
-    shout = sum(t.isupper() and len(t) > 2 for t in tokens)
-    lines = text.count("\n") + 1
-    punct = chars - letters - sum(map(str.isdigit, text)) - sum(map(str.isspace, text))
-    return [seed / n, float(seed > 0), shown / n, float(shown > 0), weight / n, top, near / n, second / n,
-            sum(map(str.isupper, text)) / letters, shout / max(1, len(tokens)), punct / chars, sum(map(str.isdigit, text)) / chars,
-            text.count("!") / n, text.count("?") / n, obfuscated / n, masked / n, float(len(_LETTERS.findall(text))) / n,
-            len(_STRETCH.findall(text)) / n, max(counts.values(), default=0) / n, len(counts) / n,
-            sum(map(len, words)) / n, float(np.log1p(len(words))), float(np.log1p(chars)), chars / lines]
+                masked += _MASKED.search(w) is not None
+            second += w in SECOND
+            value = self.learned.get(w) or self.learned.get(plain)
+            bad = w in SEEDS or plain in SEEDS
+            seed += bad
+            if value:
+                known += 1
+                weight = max(weight, value)
+            obfuscated += plain != w and bool(bad or value)
+        told = (second, seed, known, weight, obfuscated, masked) if second or seed or known or masked else None
+        return len(words), sum(map(len, words)), told, len(token) == 1 and token.isalpha()
+
+    def __call__(self, text: str | None) -> list[float]:
+        """The values of FEATURES for one whole text (null counts as empty)."""
+        if not text:
+            return [0.0] * len(FEATURES)
+        points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+        kinds = _kind_table()[np.minimum(points, 0x10000)]
+        other, lower, upper, digit, space = np.bincount(kinds, minlength=5).tolist()
+        same = points[1:] == points[:-1]
+        stretched = int(np.count_nonzero(same[1:] & same[:-1] & ((kinds[2:] == _LOWER) | (kinds[2:] == _UPPER))))
+        tokens = text.lower().split()
+        counts = Counter(tokens)
+        known = self.tokens
+        n = size = second = seed = shown = obfuscated = masked = single = 0
+        weight = top = 0.0
+        hot = False
+        for token, c in counts.items():
+            told = known.get(token)
+            if told is None:
+                told = self._token(token)
+                if len(known) < self.KEEP:  # frequent tokens come early
+                    known[token] = told
+            n += c * told[0]
+            size += c * told[1]
+            single += c if told[3] else 0
+            if told[2]:
+                you, bad, value, w, hidden, mask = told[2]
+                second += c * you
+                seed += c * bad
+                shown += c * value
+                weight += c * w
+                top = max(top, w)
+                obfuscated += c * hidden
+                masked += c * mask
+                hot = hot or bad or value
+        near = self._near(tokens) if hot and second else 0
+        shout = sum(t.isupper() and len(t) > 2 for t in text.split()) if upper > 2 else 0
+        chars, letters, n, m = len(text), max(1, lower + upper), max(1, n), max(1, len(tokens))
+        apart = len(_LETTERS.findall(text)) if single > 3 else 0
+        return [seed / n, float(seed > 0), shown / n, float(shown > 0), weight / n, top, near / n, second / n,
+                upper / letters, shout / m, other / chars, digit / chars, text.count("!") / n, text.count("?") / n,
+                obfuscated / n, masked / n, apart / n, stretched / chars, max(counts.values(), default=0) / m, len(counts) / m,
+                size / n, float(np.log1p(n)), float(np.log1p(chars)), chars / (text.count("\n") + 1)]
+
+    def _near(self, tokens: list[str]) -> int:
+        """Lexicon words with a second-person word at most five tokens away."""
+        told = [self.tokens.get(t) or self._token(t) for t in tokens]
+        you = np.array([i for i, x in enumerate(told) if x[2] and x[2][0]])
+        bad = np.array([i for i, x in enumerate(told) if x[2] and (x[2][1] or x[2][2])])
+        right = np.searchsorted(you, bad)
+        before = bad - you[np.maximum(right - 1, 0)]
+        after = you[np.minimum(right, len(you) - 1)] - bad
+        return int(np.count_nonzero(((right > 0) & (before <= 5)) | ((right < len(you)) & (after <= 5))))
+
+
+def features(text: str | None, learned: dict[str, float]) -> list[float]:
+    """The values of FEATURES for one text."""
+    return Reader(learned)(text)
 
 
 def _score_features(learned):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = learned.value
+        read = Reader(learned.value)
         for b in batches:
             texts = b.column(b.num_columns - 1)
             for at in range(0, b.num_rows, 256):
-                rows = [features(t.as_py(), known) for t in texts[at : at + 256]]
+                rows = [read(t.as_py()) for t in texts[at : at + 256]]
                 flat = pa.array([x for r in rows for x in r], pa.float64())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, len(FEATURES), dtype=np.int32)), flat)
                 part = b.slice(at, len(rows))
