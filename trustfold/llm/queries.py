@@ -19,6 +19,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(documents(spark, sf_dir, "doc_id", "text"), labels)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from trustfold.llm.token_counts import token_counts
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    return token_counts(documents(spark, sf_dir, "doc_id", "text"), definition, limit=512)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trustfold.llm.sharding import Tree, sharded
 
@@ -46,6 +56,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
+    "op5_token_counts": (op5_token_counts, None),
     "op6_sharding": (op6_sharding, None),
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
     "op8_mixing": (op8_mixing, None),

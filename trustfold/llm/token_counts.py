@@ -30,7 +30,6 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,42 +75,42 @@ class PreTokenizer:
         names = sorted((t["content"] for t in special), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, names))) if names else None
         self.names = names
-        self.units: dict[str, tuple[str, ...]] = {}
+        self.cuts: dict[str, tuple[str, ...]] = {}
 
-    def _unit(self, unit: str) -> tuple[str, ...]:
-        known = self.units.get(unit)
+    def cut(self, unit: str) -> tuple[str, ...]:
+        """The pre-tokens of a unit (none of an empty one)."""
+        known = self.cuts.get(unit)
         if known is None:
             known = _plain_words(unit) or tuple(unit[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(unit))
-            if len(self.units) < KEEP:  # frequent units come early; later rare ones are cut again
-                self.units[unit] = known
+            if len(self.cuts) < KEEP:  # frequent units come early; later rare ones are cut again
+                self.cuts[unit] = known
         return known
 
-    def _count(self, part: str, out: Counter) -> None:
-        if not part:
-            return
-        if _INNER.search(part):
-            units = Counter(_UNIT.split(part))
-        else:
-            first, *rest = part.split(" ")
-            units = Counter({" " + u: c for u, c in Counter(rest).items()})
-            if first:
-                units[first] += 1
-        for unit, c in units.items():
-            for p in self._unit(unit):
-                out[p] += c
+    def units(self, text: str) -> tuple[list[str], list[str], int]:
+        """A text as (whole units, units without their leading space, special strings)."""
+        parts, special = [text], 0
+        if self.special is not None and any(n in text for n in self.names):
+            parts = self.special.split(text)
+            special = len(parts) - 1
+        whole, spaced = [], []
+        for part in parts:
+            if _INNER.search(part):
+                whole += _UNIT.split(part)
+            elif part:
+                first, *rest = part.split(" ")
+                whole.append(first)
+                spaced += rest
+        return whole, spaced, special
 
     def __call__(self, text: str | None) -> tuple[Counter, int]:
         """(frequencies of pre-tokens, special strings) of a text."""
         out: Counter = Counter()
-        if not text:
-            return out, 0
-        if self.special is None or not any(n in text for n in self.names):
-            self._count(text, out)
-            return out, 0
-        parts = self.special.split(text)
-        for p in parts:
-            self._count(p, out)
-        return out, len(parts) - 1
+        whole, spaced, special = self.units(text or "")
+        for units, lead in ((Counter(whole), ""), (Counter(spaced), " ")):
+            for unit, c in units.items():
+                for p in self.cut(lead + unit):
+                    out[p] += c
+        return out, special
 
     def pieces(self, pretoken: str) -> int:
         """Pieces of one pre-token: cut on its own it stays whole."""
@@ -120,14 +119,26 @@ class PreTokenizer:
 
 def _vocabulary(definition):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, total = PreTokenizer(definition.value), Counter()
+        read = PreTokenizer(definition.value)
+        whole, spaced = Counter(), Counter()
+
+        def emptied() -> pa.RecordBatch:
+            total: Counter = Counter()
+            for units, lead in ((whole, ""), (spaced, " ")):
+                for unit, c in units.items():
+                    for p in read.cut(lead + unit):
+                        total[p] += c
+                units.clear()
+            return _frequencies(total)
+
         for b in batches:
             for text in b.column(0):
-                total.update(read(text.as_py())[0])
-                if len(total) > KEEP:
-                    yield _frequencies(total)
-                    total = Counter()
-        yield _frequencies(total)
+                first, rest, _ = read.units(text.as_py() or "")
+                whole.update(first)
+                spaced.update(rest)
+                if len(whole) + len(spaced) > KEEP:
+                    yield emptied()
+        yield emptied()
 
     return run
 
@@ -149,28 +160,41 @@ def _pieces(definition):
 def _per_document(definition, head):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read, known = PreTokenizer(definition.value), head.value
+        told: dict[str, tuple[int, tuple[str, ...]]] = {}
+
+        def unit_of(unit: str) -> tuple[int, tuple[str, ...]]:
+            """(pieces of the pre-tokens in the head, the other pre-tokens) of a unit."""
+            cut = read.cut(unit)
+            out = sum(known.get(p, 0) for p in cut), tuple(p for p in cut if p not in known)
+            if len(told) < KEEP:
+                told[unit] = out
+            return out
+
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 size, sums, keys, words, counts, bounds = [], [], [], [], [], [0]
                 for text in part.column(1).to_pylist():
                     text = text or ""
-                    found, total = read(text)
-                    for p, c in found.items():
-                        pieces = known.get(p)
-                        if pieces is None:
-                            words.append(p)
-                            counts.append(c)
-                        else:
-                            total += pieces * c
+                    whole, spaced, total = read.units(text)
+                    tail: dict[str, int] = {}
+                    for units, lead in ((Counter(whole), ""), (Counter(spaced), " ")):
+                        for unit, c in units.items():
+                            unit = lead + unit
+                            pieces, rest = told.get(unit) or unit_of(unit)
+                            total += c * pieces
+                            for p in rest:
+                                tail[p] = tail.get(p, 0) + c
+                    words += tail
+                    counts += tail.values()
+                    bounds.append(len(words))
                     raw = text.encode()
                     size.append(len(raw))
                     keys.append(int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True))
                     sums.append(total)
-                    bounds.append(len(words))
-                tail = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(
                     [pa.array(words, pa.string()), pa.array(counts, pa.int64())], names=["pretoken", "n"]))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.int64()), pa.array(size, pa.int64()), pa.array(sums, pa.int64()), tail],
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.int64()), pa.array(size, pa.int64()), pa.array(sums, pa.int64()), lists],
                                                  names=["id", "text_key", "n_bytes", "n_tokens", "tail"])
 
     return run
