@@ -19,6 +19,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(documents(spark, sf_dir, "doc_id", "text"), labels)
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.winnowing import with_edits
+
+    return with_edits(documents(spark, sf_dir, "doc_id", "text"), k=24, window=64)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -56,6 +62,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
+    "op2_winnowing": (op2_winnowing, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_sharding": (op6_sharding, None),
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
