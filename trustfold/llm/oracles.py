@@ -50,3 +50,20 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
        sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit using (r) left join its using (r)
 """
+
+_B32 = "array_to_string([" + ", ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v[{g + 1}] >> {15 - 5 * i} & 31), 1)" for g in range(8) for i in range(4)) + "], '')"
+
+WARC = f"""
+with p as (
+  select page_id, encode(coalesce(html, '')) as b, sha1(coalesce(html, '')) as h from pages
+), d as (
+  select page_id, octet_length(b) as n, h, [('0x' || substr(h, 1 + 5 * i, 5))::bigint for i in range(8)] as v from p
+), m as (
+  select *, max(page_id) over (partition by h) as top from d
+)
+select page_id, n::bigint as payload_bytes, {_B32} as payload_digest,
+       case when page_id is distinct from top then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from top then top end as refers_to
+from m
+"""

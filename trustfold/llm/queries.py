@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trustfold.llm import oracles
 from trustfold.llm.tables import documents
+from trustfold.session import scratch_path
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(documents(spark, sf_dir, "doc_id", "text", "source"), weights=(5, 2, 1), share=1.0, max_repeats=3)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.warc import round_trip
+
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return round_trip(pages, scratch_path(spark, "llm", "warc"), min_bytes=0)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trustfold.llm.decontaminate import contamination_digest
 
@@ -67,5 +75,6 @@ QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op6_sharding": (op6_sharding, None),
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
     "op8_mixing": (op8_mixing, None),
+    "op9_warc": (op9_warc, oracles.WARC),
     "op10_decontaminate": (op10_decontaminate, oracles.DECONTAMINATE),
 }
