@@ -26,6 +26,16 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_edits(documents(spark, sf_dir, "doc_id", "text"), k=24, window=64)
 
 
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.url_filter import Rule, judge, rules_table
+
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return judge(pages, rules_table(spark, [Rule.of(*r) for r in URL_RULES]))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -71,6 +81,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_winnowing": (op2_winnowing, None),
+    "op4_url_filter": (op4_url_filter, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_sharding": (op6_sharding, None),
     "op7_jaccard_join": (op7_jaccard_join, oracles.JACCARD_JOIN),
