@@ -26,6 +26,12 @@ def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_edits(documents(spark, sf_dir, "doc_id", "text"), k=24, window=64)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.licenses import scan
+
+    return scan(documents(spark, sf_dir, "doc_id", "text")).drop("spans")
+
+
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
 
@@ -81,6 +87,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_winnowing": (op2_winnowing, None),
+    "op3_license_scan": (op3_license_scan, None),
     "op4_url_filter": (op4_url_filter, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_sharding": (op6_sharding, None),
