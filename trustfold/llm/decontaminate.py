@@ -270,3 +270,14 @@ def remove_spans(docs: DataFrame, items: DataFrame, *, text_column: str = "text"
             yield b.set_column(at, b.schema.field(at), column)
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, *, text_column: str = "text", length_column: str | None = "n_chars", **options) -> DataFrame:
+    """``remove_spans``, with the length column brought up to date and documents that nothing remains of dropped."""
+    before = fresh(docs, "chars_before")
+    out = remove_spans(docs.withColumn(before, F.char_length(col(text_column))), items, text_column=text_column, **options)
+    cut = F.col(before).isNotNull() & (F.char_length(col(text_column)) < F.col(before))
+    if length_column:
+        kind = docs.schema[length_column].dataType
+        out = out.withColumn(length_column, F.when(cut, F.char_length(col(text_column)).cast(kind)).otherwise(col(length_column)))
+    return out.filter(~cut | (F.trim(col(text_column)) != "")).select(*(col(c) for c in docs.columns))

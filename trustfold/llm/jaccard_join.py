@@ -268,15 +268,9 @@ def _long(name: str) -> T.StructField:
     return T.StructField(name, T.LongType())
 
 
-def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", words: int = 4,
-                       num: int = 85, den: int = 100, block: int = 256) -> DataFrame:
-    """Return per row of ``docs``: id, n_shingles, component_id (links: den * |x and y| >= num * |x or y|)."""
-    spark = docs.sparkSession
-    docs = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
-    texts = docs.select("text")
-    id_type = docs.schema["id"].dataType
-    base = stored(docs.mapInArrow(_nodes("text", words), T.StructType([T.StructField("id", id_type), _long("n"), _long("node")])), "nodes")
-
+def links(texts: DataFrame, *, words: int, num: int, den: int, block: int = 256) -> DataFrame:
+    """(node, root) of every node (digest of a set) that links with another; ``texts`` has the one column text."""
+    spark = texts.sparkSession
     pool = texts.mapInArrow(_prefix_pool("text", words, num, den),
                             T.StructType([_long("token"), _long("node"), T.StructField("short", T.IntegerType())]))
     pool = pool.repartition("token").dropDuplicates(["token", "node"])
@@ -293,19 +287,75 @@ def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", text_colum
     placed = (cells.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
               .select("node", "root", "blocks", F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("blk")))
     placed = stored(placed.join(prefixes, "node"), "cells")
-    count = placed.count()
-    bits = 1 << min(28, max(20, (16 * count).bit_length()))
-    wanted = spark.sparkContext.broadcast(bitmap_of(placed, "node", bits))
+    wanted, bits = _filter(placed)
     sets = texts.mapInArrow(_wanted_sets("text", words, wanted, bits), T.StructType([_long("node"), T.StructField("shingles", T.ArrayType(T.LongType()))]))
     to_check = (sets.join(placed, "node")
                 .withColumn("pair", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, blk) as bi, greatest(x, blk) as bj))")))
                 .select("root", "pair.bi", "pair.bj", "node", "blk", "shingles", "prefix"))
-    links = (to_check.repartition("root", "bi", "bj").sortWithinPartitions("root", "bi", "bj")
+    found = (to_check.repartition("root", "bi", "bj").sortWithinPartitions("root", "bi", "bj")
              .mapInArrow(_verify(num, den), T.StructType([_long("a"), _long("b")])))
-    roots = connected_components(links)
+    return connected_components(found)
+
+
+def _filter(nodes: DataFrame):
+    """A broadcast bitmap of the nodes, and its bits: 16 a node, within fixed bounds."""
+    bits = 1 << min(28, max(20, (16 * nodes.count()).bit_length()))
+    return nodes.sparkSession.sparkContext.broadcast(bitmap_of(nodes, "node", bits)), bits
 
+
+def _base(docs: DataFrame, words: int) -> DataFrame:
+    """Stored (id, n, node) of documents with columns id and text."""
+    return stored(docs.mapInArrow(_nodes("text", words), T.StructType([docs.schema["id"], _long("n"), _long("node")])), "nodes")
+
+
+def jaccard_components(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", words: int = 4,
+                       num: int = 85, den: int = 100, block: int = 256) -> DataFrame:
+    """Return per row of ``docs``: id, n_shingles, component_id (links: den * |x and y| >= num * |x or y|)."""
+    docs = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
+    base = _base(docs, words)
+    roots = links(docs.select("text"), words=words, num=num, den=den, block=block)
     classed = (base.join(roots.select("node", "root"), "node", "left")
                .select("id", "n", "node", F.coalesce("root", "node").alias("class")))
     least = classed.filter("n > 0").groupBy("class").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     return (classed.join(least, (classed["class"] == least["class"]) & (classed["n"] > 0), "left")
             .select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id")))
+
+
+def _tagged(at: int, column: str, k: int, wanted, bits: int, repeated: bool):
+    """Rows whose node may have company (``repeated``, with their node behind them), or the others."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = wanted.value
+        for b in slices(batches, column):
+            ids = digests(shingle_sets(chunk_of(b.column(at)), k))
+            mask = in_bitmap(bitmap, ids, bits) & (ids != 0)
+            keep = pa.array(mask if repeated else ~mask)
+            rows = b.filter(keep)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids[mask])], names=[*rows.schema.names, "node"]) if repeated else rows
+
+    return run
+
+
+def one_of_each(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", words: int = 5, num: int = 80,
+                den: int = 100, block: int = 256) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id (nulls last), then the smallest text.
+
+    Rows without words stay.  Only texts that may have company are shuffled,
+    one a task and set of shingles, so a large group of copies stays cheap.
+    """
+    plain = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
+    base = _base(plain, words)
+    roots = links(plain.select("text"), words=words, num=num, den=den, block=block).checkpoint()
+    copies = base.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("node")
+    wanted, bits = _filter(copies.union(roots.select("node")).distinct())
+    at = docs.columns.index(text_column)
+    alone = docs.mapInArrow(_tagged(at, text_column, words, wanted, bits, False), docs.schema)
+    row = F.struct(*(F.col(f"_{i}") for i in range(len(docs.columns))))
+    renamed = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
+    rank = F.struct(F.col(f"_{docs.columns.index(id_column)}").isNull(), F.col(f"_{docs.columns.index(id_column)}"), F.col(f"_{at}"))
+    company = renamed.mapInArrow(_tagged(at, f"_{at}", words, wanted, bits, True), T.StructType([*renamed.schema.fields, _long("node")]))
+    best = (company.groupBy("node").agg(F.min_by(F.struct(rank.alias("rank"), row.alias("row")), rank).alias("x"))
+            .join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("class"))
+            .agg(F.min_by("x", F.col("x.rank")).alias("x")))
+    kept = best.select(*(F.col("x.row").getField(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
+    return alone.union(kept)

@@ -84,6 +84,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(documents(spark, sf_dir, "doc_id", "text"), items, window=10)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_winnowing": (op2_winnowing, None),
@@ -95,4 +101,5 @@ QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op8_mixing": (op8_mixing, None),
     "op9_warc": (op9_warc, oracles.WARC),
     "op10_decontaminate": (op10_decontaminate, oracles.DECONTAMINATE),
+    "pipeline": (pipeline, None),
 }
