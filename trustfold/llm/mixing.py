@@ -16,8 +16,8 @@
    times, and once more those with the smallest seeded hash, up to the rest.
    The cut is found by sums over hash ranges (4096, then 4096 in the range
    that holds the cut, then single hashes), never by ordering a pattern's
-   documents in one task.  A few more documents (``CLOSING``), each the one whose
-   size fits the remaining gap best, close it.
+   documents in one task.  Of the ``AROUND`` documents on either side
+   of the cut those are taken whose sizes add up nearest to what is asked.
 
 Selection depends on the seed and on a row's id and text only, so reruns
 agree.  Cases: null or wordless texts have size 0 and nothing taken; a null
@@ -28,7 +28,7 @@ text are taken or left together; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -41,16 +41,19 @@ from trustfold.llm.tables import col, fresh, stored
 MAX_PATTERNS = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 _BITS = 60
-#: Most closing documents of a pattern.
-CLOSING = 8
+#: Documents on either side of a pattern's cut among which the best fitting choice is made.
+AROUND = 12
 
 
 def targets(sizes: dict[str | None, int], weights: Sequence[float] = (5, 2, 1), share: float = 1.0,
-            max_repeats: int = 3) -> dict[str | None, float]:
-    """Target per source: by weight (repeating, sources by code point, null last), at most max_repeats times the size."""
+            max_repeats: int = 3, whole: int | None = None) -> dict[str | None, float]:
+    """Target per source: by weight (repeating, sources by code point, null last), at most max_repeats times the size.
+
+    They add up to ``share`` of ``whole`` (the sum of the sizes unless given: overlapping sources hold less), as far as the limits allow.
+    """
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, out, free = share * sum(sizes.values()), {}, list(order)
+    left, out, free = share * (sum(sizes.values()) if whole is None else whole), {}, list(order)
     while free:
         unit = left / sum(weight[s] for s in free)
         full = [s for s in free if unit * weight[s] > max_repeats * sizes[s]]
@@ -122,9 +125,25 @@ def min_cost_flow(patterns: list[tuple[tuple, int]], quotas: dict, max_repeats:
     return taken
 
 
+def nearest_sum(sizes: list[int], goal: int) -> list[bool]:
+    """A choice of the sizes whose sum is nearest to ``goal`` (in steps of goal / 2**18 where that is above 1)."""
+    unit = max(1, goal >> 18)
+    small, aim = [s // unit for s in sizes], goal // unit
+    mask, reach = (1 << (2 * aim + 2)) - 1, [1]
+    for s in small:
+        reach.append((reach[-1] | reach[-1] << s) & mask)
+    at = next(x for d in range(aim + 2) for x in (aim - d, aim + d) if x >= 0 and reach[-1] >> x & 1)
+    picked = [False] * len(sizes)
+    for i in range(len(sizes) - 1, -1, -1):
+        if not reach[i] >> at & 1:
+            picked[i] = True
+            at -= small[i]
+    return picked
+
+
 @dataclass
 class Mix:
-    """``plan``: per pattern key its full copies, the hash cut and the closing hashes; ``sources``: name -> (size, target)."""
+    """``plan``: per pattern key its full copies, the hash cut, hashes taken beyond it and left out before it; ``sources``: name -> (size, target)."""
 
     plan: DataFrame
     sources: dict[str | None, tuple[int, float]]
@@ -159,7 +178,7 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
     for r in sums:
         for s in r["members"]:
             sizes[s] = sizes.get(s, 0) + r["size"]
-    goal = targets(sizes, weights, share, max_repeats) if sizes else {}
+    goal = targets(sizes, weights, share, max_repeats, sum(r["size"] for r in sums))
     taken = min_cost_flow([(tuple(r["members"]), r["size"]) for r in sums], {s: round(t) for s, t in goal.items()}, max_repeats)
     copies = [t // r["size"] if r["size"] else 0 for t, r in zip(taken, sums)]
     rest = {r["key"]: t - k * r["size"] for t, k, r in zip(taken, copies, sums)}
@@ -186,35 +205,36 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
             cut[r["key"]] = r["x"]["range"] << shift
             gap[r["key"]] -= r["x"]["total"] - r["x"]["size"]
         live = sorted(r["key"] for r in first_over)
-    # closing documents: of those left, again and again the one that fills most of the gap; past it only if none fits and that comes nearer
+    # around the cut, the choice of documents whose sizes add up nearest to what is asked
     close: dict[str, list[int]] = {k: [] for k in rest}
-    for _ in range(CLOSING):
-        short = sorted(k for k in gap if gap[k] > 0)
-        if not short:
-            break
-        state = table({"key": short, "cut": pa.array([cut[k] for k in short], pa.int64()), "gap": pa.array([gap[k] for k in short], pa.int64()),
-                       "close": pa.array([close[k] for k in short], pa.list_(pa.int64()))})
-        left = rows.join(state, "key").filter("hash >= cut and not array_contains(close, hash) and size > 0 and size < 2 * gap")
-        best = (left.groupBy("key", "hash", "gap").agg(F.sum("size").alias("size")).filter("size < 2 * gap")
-                .groupBy("key").agg(F.min(F.struct((F.col("size") > F.col("gap")).alias("over"), F.abs(F.col("size") - F.col("gap")).alias("off"), "hash", "size")).alias("x")).collect())
-        if not best:
-            break
-        fits = {r["key"]: r["x"] for r in best}
-        for k in short:
-            if k in fits:
-                close[k].append(fits[k]["hash"])
-                gap[k] -= fits[k]["size"]
-            else:
-                gap[k] = 0
+    away: dict[str, list[int]] = {k: [] for k in rest}
+    short = sorted(k for k in gap if gap[k] > 0)
+    if short:
+        state = table({"key": short, "cut": pa.array([cut[k] for k in short], pa.int64())})
+        near = (rows.join(state, "key").filter("size > 0").groupBy("key", "hash", "cut").agg(F.sum("size").alias("size"))
+                .withColumn("inside", F.col("hash") < F.col("cut")))
+        near = (near.withColumn("place", F.expr("row_number() over (partition by key, inside order by abs(hash - cut), hash)"))
+                .filter(F.col("place") <= AROUND).select("key", "hash", "size", "inside").collect())
+        around: dict[str, list] = {k: [] for k in short}
+        for r in sorted(near, key=lambda r: r["hash"]):
+            around[r["key"]].append((r["hash"], r["size"], r["inside"]))
+        for k, some in around.items():
+            picked = nearest_sum([size for _, size, _ in some], gap[k] + sum(size for _, size, inside in some if inside))
+            close[k] = [h for (h, _, inside), yes in zip(some, picked) if yes and not inside]
+            away[k] = [h for (h, _, inside), yes in zip(some, picked) if inside and not yes]
     keys = [r["key"] for r in sums]
     plan = table({"key": pa.array(keys, pa.string()), "copies": pa.array(copies, pa.int64()),
                   "cut": pa.array([cut[k] if rest[k] else 0 for k in keys], pa.int64()),
-                  "close": pa.array([close[k] for k in keys], pa.list_(pa.int64()))})
+                  "close": pa.array([close[k] for k in keys], pa.list_(pa.int64())),
+                  "away": pa.array([away[k] for k in keys], pa.list_(pa.int64()))})
     return Mix(plan, {s: (sizes[s], goal[s]) for s in sizes}, rows)
 
 
-def _copies() -> Column:
-    return F.col("copies") + ((F.col("hash") < F.col("cut")) | F.array_contains("close", F.col("hash"))).cast("long")
+def _copies(name: Callable[[str], str] = str) -> Column:
+    """Copies of a row joined to its pattern's plan; ``name`` gives the names of the plan's columns there."""
+    h, cut, close, away, copies = (F.col(name(x)) for x in ("hash", "cut", "close", "away", "copies"))
+    once_more = ((h < cut) & ~F.array_contains(away, h)) | F.array_contains(close, h)
+    return copies + once_more.cast("long")
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
@@ -236,9 +256,9 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     m = mix(docs, **options)
     c = _row_columns(docs, options.get("id_column", "doc_id"), options.get("text_column", "text"),
                      options.get("source_column", "source"), options.get("seed", 17))
-    key, hash_, cut, close, copies = (fresh(docs, f"mix_{x}") for x in ("key", "hash", "cut", "close", "copies"))
-    plan = m.plan.select(F.col("key").alias(key), F.col("cut").alias(cut), F.col("close").alias(close), F.col("copies").alias(copies))
-    out = docs.withColumns({key: c["key"], hash_: c["hash"]}).join(plan, key)
-    times = F.col(copies) + ((F.col(hash_) < F.col(cut)) | F.array_contains(close, F.col(hash_))).cast("long")
-    return (out.filter((times > 0)).withColumn(copies, F.explode(F.sequence(F.lit(1), times)))
+    names = {x: fresh(docs, f"mix_{x}") for x in ("key", "hash", *m.plan.columns)}
+    plan = m.plan.toDF(*(names[x] for x in m.plan.columns))
+    out = docs.withColumns({names["key"]: c["key"], names["hash"]: c["hash"]}).join(plan, names["key"])
+    times = _copies(names.get)
+    return (out.filter(times > 0).withColumn(names["copies"], F.explode(F.sequence(F.lit(1), times)))
             .select(*(col(x) for x in docs.columns)))
