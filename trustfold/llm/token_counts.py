@@ -7,7 +7,7 @@ pre-tokens, and each pre-token into pieces that depend on nothing else.  So
    distinct pre-token), and the tokenizer's own model says how many pieces
    each distinct one has, once;
 2. a second pass makes the pre-token frequencies of every document.  The
-   ``head_size`` most frequent pre-tokens (a fixed number, broadcast) are
+   most frequent pre-tokens (``head_size`` at most, broadcast) are
    looked up on the spot, which leaves one partial sum per document; the
    others, the long tail, are joined to the table of pieces;
 3. sums of frequency times pieces per document.  No token ids are made.
@@ -201,15 +201,14 @@ def _per_document(definition, head):
 
 
 def token_counts(docs: DataFrame, definition: str, *, id_column: str = "doc_id", text_column: str = "text",
-                 limit: int = 512, head_size: int = 500_000) -> DataFrame:
+                 limit: int = 512, head_size: int = 300_000) -> DataFrame:
     """Return per row: id, n_bytes, n_tokens, over_limit, for the tokenizer of the JSON text ``definition``."""
     spark = docs.sparkSession
     docs = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(definition)
     vocabulary = docs.select("text").mapInArrow(_vocabulary(shared), "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
     pieces = stored(vocabulary.mapInArrow(_pieces(shared), "pretoken string, n long, pieces int"), "pieces")
-    top = pieces.orderBy(F.desc("n"), "pretoken").limit(head_size).select("pretoken", "pieces").toPandas()
-    head = spark.sparkContext.broadcast(dict(zip(top["pretoken"].tolist(), top["pieces"].tolist())))
+    head = spark.sparkContext.broadcast(_head(pieces, head_size))
     tail_type = T.ArrayType(T.StructType([T.StructField("pretoken", T.StringType()), T.StructField("n", T.LongType())]))
     long = T.LongType()
     rows = docs.mapInArrow(_per_document(shared, head), T.StructType(
@@ -221,6 +220,20 @@ def token_counts(docs: DataFrame, definition: str, *, id_column: str = "doc_id",
     return _summed(exploded, pieces, id_column, limit)
 
 
+def _head(pieces: DataFrame, most: int) -> dict[str, int]:
+    """Pieces of the most frequent pre-tokens: all from a frequency on, so that there are at most ``most``."""
+    step = F.floor(8 * F.log2(F.col("n"))).cast("int")  # at most 8 * 63 steps
+    sizes = {r["step"]: r["c"] for r in pieces.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    least, room = max(sizes, default=0) + 1, most
+    for s in sorted(sizes, reverse=True):
+        room -= sizes[s]
+        if room < 0:
+            break
+        least = s
+    top = pieces.filter(step >= least).select("pretoken", "pieces").toArrow()
+    return dict(zip(top["pretoken"].to_pylist(), top["pieces"].to_pylist()))
+
+
 def _summed(exploded: DataFrame, pieces: DataFrame, id_column: str, limit: int) -> DataFrame:
     """Join the tail rows to their pieces and add all up; head rows meet no pre-token and are spread by a key of their own."""
     keyed = exploded.select("id", "text_key", F.col("x.n").alias("n"), F.col("x.n_bytes").alias("n_bytes"),
