@@ -217,8 +217,7 @@ def with_edits(docs: DataFrame, *, id_column: str = "doc_id", text_column: str =
              .groupBy("range").agg(F.max("id").alias("id"), F.min(F.coalesce("text", F.lit(""))).alias("text")))
     rows = (placed.select("range", "id", F.lit(False).alias("carry"), "text")
             .union(first.select(last.alias("range"), "id", F.lit(True).alias("carry"), "text")))
-    rows = (rows.withColumn("ordered", F.coalesce("text", F.lit(""))).repartition(parts, "range")
-            .sortWithinPartitions(F.asc("range"), F.asc("carry"), F.desc_nulls_last("id"), F.asc("ordered")).drop("ordered"))
+    rows = rows.repartition(parts, "range").sortWithinPartitions(F.asc("range"), F.asc("carry"), F.desc_nulls_last("id"), F.coalesce("text", F.lit("")).asc())
     out = T.StructType([T.StructField("id", T.LongType()), T.StructField("n_chars", T.LongType()),
                         *(T.StructField(c, T.StringType()) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")),
                         T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
