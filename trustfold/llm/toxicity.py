@@ -49,7 +49,7 @@ dumm dummkopf trottel abschaum widerlich wertlos lügner feigling hass
 #: Second person, in the languages of the seeds (fixed values).
 SECOND = frozenset("you your yours yourself u ur tú tu usted vosotros te toi vous ton votre du dich dir dein ihr euch euer sie".split())
 #: Signs and digits that stand for letters (fixed values).
-_PLAIN = str.maketrans("013457@$!|", "oleastasil"[:10])
+_PLAIN = str.maketrans("013457@$!|", "oieastasil")
 
 FEATURES = ("seed_density", "seed_any", "learned_density", "learned_any", "learned_weight", "learned_max", "near_second",
             "second_density", "upper_share", "shout_share", "punct_share", "digit_share", "exclaim_density", "question_density",
