@@ -1,0 +1,108 @@
+"""WARC writing, reading, pushdown and skipping."""
+
+import base64
+import gzip
+import hashlib
+import io
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from trustfold.llm import warc
+from trustfold.session import scratch_path
+
+PAGES = [(1, "http://a/", "<p>one</p>"), (2, "http://b/", "<p>two\r\n\r\nWARC/1.1\r\n</p>"), (3, "http://c/", "<p>one</p>"), (9, None, ""), (4, "http://d/", None),
+         (5, "http://ü/", "<p>ünï</p>" * 5000), (None, "http://e/", "<p>one</p>"), (3, "http://c/", "<p>one</p>"), (None, "http://f/", "only")]
+
+
+@pytest.fixture
+def pages(spark):
+    return spark.createDataFrame([(*p, "x") for p in PAGES], "page_id long, url string, html string, payload string")
+
+
+def expected(min_bytes):
+    top = {}
+    for i, _, h in PAGES:
+        if i is not None:
+            top[h or ""] = max(i, top.get(h or "", i))
+    count = {h: sum((x or "") == h for _, _, x in PAGES) for h in {x or "" for _, _, x in PAGES}}
+    out = []
+    for i, _, h in PAGES:
+        raw = (h or "").encode()
+        again = len(raw) >= min_bytes and count[h or ""] > 1 and (h or "") in top and i != top[h or ""]
+        out.append((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if again else "response", top[h or ""] if again else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("min_bytes", [0, 5])
+def test_round_trip(spark, pages, min_bytes):
+    got = warc.round_trip(pages, scratch_path(spark, "warc"), min_bytes=min_bytes)
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == expected(min_bytes)
+
+
+def test_filters_are_pushed_down_and_agree_with_spark(spark, pages):
+    warc.register(spark)
+    path = scratch_path(spark, "warc")
+    warc.records(pages).write.format("warc").mode("append").save(path)
+    whole = spark.read.format("warc").load(path).cache()
+    assert whole.count() == len(PAGES)
+    for f in ("record_type = 'revisit'", "record_type in ('response', 'x') and content_length > 100", "target_uri is null", "refers_to is not null",
+              "target_uri like 'http://c%'", "payload_length > 5", "record_type <> 'revisit'", "upper(record_type) = 'REVISIT'"):
+        assert spark.read.format("warc").load(path).filter(f).count() == whole.filter(f).count(), f
+
+
+class Watched(io.BytesIO):
+    taken = 0
+
+    def read(self, n=-1):
+        out = super().read(n)
+        self.taken += len(out)
+        return out
+
+
+def row(kind, n, payload):
+    return {"record_type": kind, "record_id": f"<urn:record:{n}>", "payload": payload}
+
+
+def test_unwanted_payloads_are_stepped_over():
+    big = os.urandom(1 << 20)
+    records = [row("response", i, big) for i in range(5)] + [row("response", 7, b"small")]
+    only = lambda r: r["record_id"] == "<urn:record:7>"
+    packed = Watched(b"".join(warc.gzip_member(warc.record_bytes(r)) for r in records))
+    assert [warc.split_http(b, h) for _, h, b in warc._gzip_records(packed, only)] == [(5, b"small")]
+    assert packed.taken < 100_000
+    plain = Watched(b"".join(warc.record_bytes(r) for r in records))
+    assert [warc.split_http(b, h) for _, h, b in warc._plain_records(plain, only)] == [(5, b"small")]
+    assert plain.taken < 100_000
+
+
+def test_members_are_ordinary_gzip_and_foreign_archives_are_read(spark, tmp_path):
+    records = [warc.record_bytes(row("response", i, b"p" * i)) for i in range(40)]
+    assert gzip.decompress(b"".join(map(warc.gzip_member, records))) == b"".join(records)
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:x>\r\nX-Long: a\r\n b\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(info) + b"".join(map(gzip.compress, records)))
+    (tmp_path / "b.warc").write_bytes(info + b"".join(records))
+    (tmp_path / "other.txt").write_text("no archive")
+    warc.register(spark)
+    read = lambda: spark.read.format("warc").option("partition_bytes", 1).load(str(tmp_path))
+    assert read().count() == 82
+    assert sorted(r[0] for r in read().filter("record_type = 'response'").select(F.octet_length("payload")).collect()) == sorted([*range(40)] * 2)
+    assert [bytes(r["payload"]) for r in read().filter("record_type = 'warcinfo'").collect()] == [b"abc", b"abc"]
+
+
+def test_files_without_a_commit_are_not_read(spark, pages):
+    warc.register(spark)
+    path = scratch_path(spark, "warc")
+    warc.records(pages).write.format("warc").mode("append").save(path)
+    fs, root = warc._place(path)
+    with fs.open_output_stream(f"{root}/part-lost.warc.gz", compression=None) as f:
+        f.write(warc.gzip_member(warc.record_bytes(row("response", 99, b"lost"))))
+    assert spark.read.format("warc").load(path).count() == len(PAGES)
+    warc.records(pages.limit(1)).write.format("warc").mode("append").save(path)
+    assert spark.read.format("warc").load(path).count() == len(PAGES) + 1
+
+
+def test_empty_table(spark, pages):
+    assert warc.round_trip(pages.limit(0), scratch_path(spark, "warc")).count() == 0
