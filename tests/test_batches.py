@@ -122,48 +122,63 @@ def test_path_with_space(spark, tmp_path):
     assert out.trusted.select(F.col("_source_file")).first()[0].endswith("a.csv")
 
 
-def test_header_methods_agree_and_unreadable_files_fall_back(spark, tmp_path):
-    import trustfold.sources.batches as sb
-
+def test_first_lines_of_odd_files(spark, tmp_path):
     (tmp_path / "sp ace").mkdir()
     files = [
-        _write(tmp_path / "sp ace" / "a.csv", '﻿"id", Tenure ,"a,b"\r\n1,2,3\r\n'),
+        _write(tmp_path / "sp ace" / "a.csv", '\ufeff"id", Tenure ,"a,b"\r\n1,2,3\r\n'),
         _write(tmp_path / "b.csv", ""),
         _write(tmp_path / "c.csv", "\nid,x\n"),
         _write(tmp_path / "d.csv", "id,x"),
     ]
+    got = {r.source_file.rsplit("/", 1)[1]: list(r.header) for r in read_headers(spark, files).collect()}
+    assert got == {"a.csv": ["id", " Tenure ", "a,b"], "b.csv": [], "c.csv": [], "d.csv": ["id", "x"]}
+
+
+def test_names_with_pattern_characters_are_read_literally(spark, tmp_path):
+    body = "id,tenure,charges\n"
+    names = ["a[1].csv", "a1.csv", "b{x,y}.csv", "bx.csv", "c*.csv", "cc.csv", "d?.csv", "de.csv"]
+    out = _run(spark, tmp_path, {n: body + f"k{i},1,1\n" + (f"m{i},2,2\n" if i % 2 == 0 else "") for i, n in enumerate(names)})
+    assert sorted(r.id for r in out.trusted.collect()) == sorted([f"k{i}" for i in range(8)] + [f"m{i}" for i in range(0, 8, 2)])
+    assert out.quarantine.count() == 0
+
+
+def test_codecs_of_spark(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1", "2.5"), ("b", "2", "3.5")], "id string, tenure string, charges string").coalesce(1)
+    for codec in ("deflate", "gzip", "bzip2", "snappy", "lz4"):
+        path = str(tmp_path / codec)
+        df.write.option("header", True).option("compression", codec).csv(path)
+        out = build_trusted(spark, [path], CONTRACT, RUN, scratch=str(tmp_path / f"s_{codec}"))
+        assert (out.trusted.count(), out.quarantine.count()) == (2, 0), codec
+
+
+def test_wide_quoted_and_very_long_headers(spark, tmp_path):
+    for n in (3000, 10000):
+        names = [f'"extra, {i}"' for i in range(n)]
+        path = _write(tmp_path / f"w{n}.csv", ",".join(["id", "tenure", "charges", *names]) + "\n" + "a,1,2.5" + ",x" * n + "\n")
+        assert read_headers(spark, [path]).first().header[-1] == f"extra, {n - 1}"
+    path = _write(tmp_path / "long.csv", "id,tenure,charges," + "x" * (2 << 20) + "\na,1,2.5,y\n")
+    out = build_trusted(spark, [path], CONTRACT, RUN, scratch=str(tmp_path / "s_long"))
+    assert (out.trusted.count(), out.quarantine.count()) == (1, 0)
+
+
+def test_a_read_error_fails_the_run(spark, tmp_path):
+    import gzip
 
-    def headers(method):
-        return {r.source_file.rsplit("/", 1)[1]: list(r.header)
-                for r in sb.read_headers(spark, files, method=method).collect()}
-
-    want = {"a.csv": ["id", " Tenure ", "a,b"], "b.csv": [], "c.csv": [], "d.csv": ["id", "x"]}
-    assert headers("tasks") == want
-    assert headers("scan") == want
-    assert headers("auto") == want
-    # a file the tasks cannot read (here: no line end within the byte limit)
-    # is read again by the scan
-    rows = {r.source_file.rsplit("/", 1)[1]: r.read for r in sb.first_lines_in_tasks(
-        spark, sb.list_files(spark, files), max_bytes=10).collect()}
-    assert rows == {"a.csv": False, "b.csv": True, "c.csv": True, "d.csv": True}
-    got = {r.source_file.rsplit("/", 1)[1]: list(r.header)
-           for r in sb.read_headers(spark, files, max_bytes=10).collect()}
-    assert got == want
-
-
-def test_first_line_reads_only_the_line(tmp_path):
-    from trustfold.sources.batches import _first_line
-
-    p = tmp_path / "big.csv"
-    p.write_text("h1,h2\n" + "1,2\n" * 100000)
-    assert _first_line(p.as_uri()) == "h1,h2"
-    q = tmp_path / "long.csv"
-    q.write_text("x" * 5000)
-    assert _first_line(q.as_uri()) == "x" * 5000
     import pytest
 
-    with pytest.raises(ValueError):
-        _first_line(q.as_uri(), limit=100)
+    whole = gzip.compress(b"id,tenure,charges\n" + b"a,1,2\n" * 1000)
+    (tmp_path / "broken.csv.gz").write_bytes(b"\x1f\x8b\x08\x00" + whole[4:20])
+    with pytest.raises(Exception):
+        build_trusted(spark, [str(tmp_path / "broken.csv.gz")], CONTRACT, RUN, scratch=str(tmp_path / "s")).trusted.count()
+
+
+def test_the_caller_session_is_left_alone(spark, tmp_path):
+    from pyspark.sql import SparkSession
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    read_headers(spark, [_write(tmp_path / "a.csv", "id\n1\n")]).collect()
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert SparkSession.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
 
 
 def test_ragged_rows_pad_short_and_drop_extra_fields(spark, tmp_path):
@@ -175,20 +190,6 @@ def test_ragged_rows_pad_short_and_drop_extra_fields(spark, tmp_path):
     assert rejects == [("a", "not_numeric_charges", {"id": "a", "tenure": "1", "charges": None})]
 
 
-def test_scan_fallback_takes_the_first_line_of_a_split_file(spark, tmp_path):
-    from trustfold.sources.batches import first_lines_by_scan
-
-    big = _write(tmp_path / "big.csv", "h1,h2\n" + "".join(f"{i},{i}\n" for i in range(200000)))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
-    try:
-        df = spark.read.text(big)
-        assert df.rdd.getNumPartitions() > 10
-        assert [r.line for r in first_lines_by_scan(spark, [big]).collect()] == ["h1,h2"]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
 def test_gzipped_batch_files(spark, tmp_path):
     import gzip
 

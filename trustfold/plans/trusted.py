@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trustfold.functions.text import parent_path
 from trustfold.operators.contracts import Contract, header_errors
 from trustfold.operators.dedup import collapse_identical, count_versions
 from trustfold.operators.lineage import map_label, stamp
@@ -50,35 +51,30 @@ class TrustedOutput:
 
 def route_files(spark: SparkSession, paths: list[str], contract: Contract, unit: str = "file"):
     """Header verdict of every file, accepted files grouped by exact layout,
-    and the file-level rejects.  Only one row per file reaches the driver.
+    and the file-level rejects.  The contract is checked once per layout; the
+    driver sees the distinct layouts and, of the accepted files, a name and a
+    layout number each.
 
     With ``unit="folder"`` a folder is one batch drop: if any of its files
     fails the header check the whole folder is rejected (a partial batch
     would lose rows silently), and the rejects are reported once per
     folder, distinct header and rule, with the folder as source.
     """
-    verdicts = header_errors(read_headers(spark, paths), contract.columns)
-    rows = verdicts.collect()
-
-    def unit_of(uri: str) -> str:
-        return uri if unit == "file" else uri.rstrip("/").rsplit("/", 1)[0]
-
-    bad_units = {unit_of(r["source_file"]) for r in rows if r["errors"]}
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for r in rows:
-        if unit_of(r["source_file"]) not in bad_units:
-            layouts.setdefault(tuple(r["header"]), []).append(r["source_file"])
-    errors = sorted({
-        (unit_of(r["source_file"]), e["rule"], e["column"], tuple(r["header"]))
-        for r in rows for e in r["errors"]
-    })
-    schema = "source_file string, rule string, column string, header array<string>"
-    file_errors = spark.createDataFrame([(a, b, c, list(d)) for a, b, c, d in errors], schema)
-    verdict_df = spark.createDataFrame(
-        [(r["source_file"], list(r["header"]), [(e["rule"], e["column"]) for e in r["errors"]]) for r in rows],
-        "source_file string, header array<string>, errors array<struct<rule:string,column:string>>",
-    )
-    return layouts, file_errors, verdict_df
+    heads = read_headers(spark, paths)
+    distinct = heads.select("header").distinct().withColumn("source_file", F.lit(""))
+    checked = header_errors(distinct, contract.columns).select("header", "errors").collect()
+    kind = "header array<string>, errors array<struct<rule:string,column:string>>, layout int"
+    layouts = spark.createDataFrame([(r["header"], r["errors"], i) for i, r in enumerate(checked)], kind)
+    verdicts = heads.join(F.broadcast(layouts), "header")  # one row a layout
+    named = verdicts.withColumn("unit", F.col("source_file") if unit == "file" else parent_path("source_file"))
+    bad = named.where(F.size("errors") > 0)
+    accepted = named.join(bad.select("unit").distinct(), "unit", "left_anti").select("source_file", "layout").collect()
+    files: dict[tuple[str, ...], list[str]] = {}
+    for r in accepted:
+        files.setdefault(tuple(checked[r["layout"]]["header"]), []).append(r["source_file"])
+    file_errors = bad.select(F.col("unit").alias("source_file"), F.explode("errors").alias("e"), "header").select(
+        "source_file", "e.rule", "e.column", "header").distinct()
+    return files, file_errors, verdicts.select("source_file", "header", "errors")
 
 
 def read_accepted(spark: SparkSession, layouts: dict, contract: Contract) -> DataFrame:

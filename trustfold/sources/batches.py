@@ -9,20 +9,21 @@ together (a shared reader would shift values between columns silently).
 
 from __future__ import annotations
 
+import csv
 import re
+import sys
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from trustfold.operators.contracts import column_positions
+from trustfold.session import materialize, scratch_path
 
 ORIGIN = "_source_file"
 
-# A header split on commas outside double quotes (quote-aware CSV split).
-_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
 
 def batch_paths(root: str, batches: list[str], template: str = "{root}/{batch}") -> list[str]:
     """Paths of the named batches (e.g. ``{root}/clients_{batch}.csv``)."""
@@ -35,144 +36,88 @@ def as_metadata_uri(uri: str) -> str:
     return re.sub(r"^file:///", "file:/", uri)
 
 
+def literal_path(path: str) -> str:
+    """A path as a reader takes it literally: Spark reads ``[ ] { } * ? \\``
+    in a path as a pattern, so a name that holds them needs escapes."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def as_read_path(uri: str) -> str:
-    """A ``_metadata.file_path`` URI turned back into a path a reader accepts."""
-    return unquote(uri)
+    """A ``_metadata.file_path`` URI turned back into a path a reader accepts
+    and takes literally."""
+    return literal_path(unquote(uri))
 
 
 def list_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Every data file under ``paths``, empty files included, as URIs in the
-    ``_metadata.file_path`` spelling.
+    """Every data file under ``paths`` (taken literally), empty files
+    included, as URIs in the ``_metadata.file_path`` spelling.
 
     Taken from the reader's file index (the listing Spark does for any
-    read): one entry per file, bounded by the number of files, not their
-    content.
+    read): one name per file, bounded by the number of files, not their
+    content.  The names have to be known to give each file its reader.
     """
-    return sorted({as_metadata_uri(u) for u in spark.read.text(paths).inputFiles()})
-
-
-# Longest header line read from a file before giving up on it (fixed value).
-HEADER_MAX_BYTES = 1 << 20
-_HEADER_SCHEMA = "source_file string, line string, read boolean"
-
-
-def _first_line(uri: str, limit: int = HEADER_MAX_BYTES) -> str | None:
-    """First line of one file (NULL when the file is empty), reading only as
-    many bytes as the line needs.  Lines end at ``\\n``, ``\\r`` or ``\\r\\n``,
-    as in Spark's text reader; compressed files are decompressed by extension."""
-    from pyarrow import fs as pafs
-
-    # the URI is in the percent-encoded ``_metadata`` spelling, which Arrow decodes
-    filesystem, path = pafs.FileSystem.from_uri(uri)
-    buf = bytearray()
-    with filesystem.open_input_stream(path, compression="detect") as stream:
-        while len(buf) <= limit:
-            chunk = stream.read(min(64 * 1024, limit + 1 - len(buf)))
-            if not chunk:
-                break
-            buf += chunk
-            ends = [i for i in (buf.find(b"\n"), buf.find(b"\r")) if i >= 0]
-            if ends:
-                return bytes(buf[: min(ends)]).decode("utf-8", errors="replace")
-    if len(buf) > limit:
-        raise ValueError(f"no line end in the first {limit} bytes of {uri}")
-    return bytes(buf).decode("utf-8", errors="replace") if buf else None
-
-
-def _first_lines_of(limit: int):
-    """``mapInPandas`` body: the first line of every file of a batch of file
-    URIs; ``read`` is False where the file could not be read here (a file
-    system Arrow does not know, or no line end within ``limit`` bytes)."""
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            lines, ok = [], []
-            for uri in pdf["source_file"]:
-                try:
-                    lines.append(_first_line(uri, limit))
-                    ok.append(True)
-                except Exception:  # noqa: BLE001 - reported through ``read``
-                    lines.append(None)
-                    ok.append(False)
-            yield pd.DataFrame({"source_file": pdf["source_file"], "line": lines, "read": ok})
-
-    return run
-
-
-def first_lines_in_tasks(spark: SparkSession, files: list[str],
-                         max_bytes: int = HEADER_MAX_BYTES) -> DataFrame:
-    """First line of each file, read by executor tasks (the file list is
-    spread over the cluster; every task opens its files and reads only the
-    bytes of the first line).  Columns: source_file, line, read."""
-    n = max(1, min(len(files), spark.sparkContext.defaultParallelism))
-    listing = spark.createDataFrame([(f,) for f in files], "source_file string")
-    return listing.repartition(n).mapInPandas(_first_lines_of(max_bytes), _HEADER_SCHEMA)
-
-
-def first_lines_by_scan(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """First line of each file through Spark's text scan (works on every file
-    system Spark can read, but reads every byte of every file: splits cannot
-    be skipped by ``_metadata.file_block_start``).  Empty files get no row."""
-    lines = (
-        spark.read.text(paths)
-        .select(
-            F.col("value"),
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-        )
-        .where(F.col("block_start") == 0)
-        .withColumn("seq", F.monotonically_increasing_id())
-    )
-    return lines.groupBy("source_file").agg(F.min_by("value", "seq").alias("line"))
+    return sorted({as_metadata_uri(u) for u in spark.read.text([literal_path(p) for p in paths]).inputFiles()})
+
 
+#: A file is never split and never shares a task while its first line is read (bytes; above any file's size).
+_WHOLE_FILE = 1 << 40
 
-def read_headers(spark: SparkSession, paths: list[str], method: str = "auto",
-                 max_bytes: int = HEADER_MAX_BYTES) -> DataFrame:
-    """First line of every file under ``paths``, split CSV-aware into the
-    exact column names (quotes removed, BOM stripped).
 
-    ``method``:
+def _first_row(batches):
+    """The first row of a task's rows; the rest of the file is not asked for."""
+    for b in batches:
+        if b.num_rows:
+            yield b.slice(0, 1)
+            return
 
-    * ``"tasks"``: executor tasks open each file and read its first line
-      only, so the check costs a few bytes per file whatever the data size;
-      a file they cannot read gets an empty header (so it is rejected with
-      every contract column missing, never read as data);
-    * ``"scan"``: Spark's text scan of all files (one job, any file system,
-      but it reads the data in full);
-    * ``"auto"`` (default): tasks first; files the tasks could not open (a
-      file system only the JVM knows, a first line longer than
-      ``max_bytes``) are read again by the scan.  The one
-      row per file is collected on the way (the router collects it anyway).
 
-    Empty files have no first line: they come back with an empty header, so
-    every contract column is reported missing instead of failing the run.
+def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """First line of each file: source_file, line (no row for an empty file).
+
+    Spark's own text reader opens the files, so every file system and codec
+    it knows works, and a read error fails the run.  Each file is one task
+    that stops after its first line, however long that line is: the cost is
+    a file opened, not a pass over the data.  The reader's split sizes belong
+    to a session of its own; the caller's settings stay as they are.
+    """
+    own = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(key, str(_WHOLE_FILE))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    rows = own.read.text([as_read_path(f) for f in files]).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
+    path = scratch_path(spark, "first_lines")
+    rows.mapInArrow(_first_row, rows.schema).write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def split_header(line: str | None) -> list[str]:
+    """Exact column names of a CSV header line (quotes removed, BOM stripped); none of an empty line."""
+    line = (line or "").removeprefix("\ufeff")
+    if not line:
+        return []
+    csv.field_size_limit(sys.maxsize)
+    return next(csv.reader([line]))
+
+
+def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Exact header of every file under ``paths``: source_file, header.
+
+    Only *distinct* first lines come to the driver and are split there, one
+    for each layout however many files share it.  Empty files have no first
+    line: they come back with an empty header, so every contract column is
+    reported missing instead of failing the run.
     """
-    if method not in ("auto", "tasks", "scan"):
-        raise ValueError("method must be 'auto', 'tasks' or 'scan'")
     files = list_files(spark, paths)
-    if method == "scan":
-        first = first_lines_by_scan(spark, paths)
-    elif method == "tasks":
-        first = first_lines_in_tasks(spark, files, max_bytes).select("source_file", "line")
-    else:
-        rows = first_lines_in_tasks(spark, files, max_bytes).collect()
-        failed = [r["source_file"] for r in rows if not r["read"]]
-        first = spark.createDataFrame([(r["source_file"], r["line"]) for r in rows if r["read"]],
-                                      "source_file string, line string")
-        if failed:
-            first = first.unionByName(first_lines_by_scan(spark, [as_read_path(f) for f in failed]))
-    names = F.transform(
-        F.split(F.regexp_replace(F.col("line"), "^\ufeff", ""), _CSV_SPLIT),
-        lambda t: F.regexp_replace(F.regexp_replace(t, r'^"(.*)"$', "$1"), '""', '"'),
-    )
-    listing = spark.createDataFrame([(f,) for f in files], "source_file string")
-    return listing.join(first, "source_file", "left").select(
-        "source_file",
-        F.when(F.col("line").isNull() | (F.col("line") == ""), F.array().cast("array<string>"))
-        .otherwise(names).alias("header"),
-    )
+    names = StructType([StructField("source_file", StringType())])
+    listing = spark.createDataFrame(pa.table({"source_file": pa.array(files, pa.string())}), names)
+    if not files:
+        return listing.withColumn("header", F.array().cast("array<string>"))
+    first = first_lines(spark, files)
+    lines = [r["line"] for r in first.select("line").distinct().collect()]
+    layouts = spark.createDataFrame(pa.table({"line": pa.array(lines, pa.string()), "header": pa.array([split_header(x) for x in lines], pa.list_(pa.string()))}),
+                                    StructType([StructField("line", StringType()), StructField("header", ArrayType(StringType()))]))
+    found = listing.join(first, "source_file", "left").join(layouts, "line", "left")
+    return materialize(found.select("source_file", F.coalesce("header", F.array().cast("array<string>")).alias("header")), "headers")
 
 
 def read_layout(spark: SparkSession, files: list[str], header: list[str],
@@ -187,6 +132,9 @@ def read_layout(spark: SparkSession, files: list[str], header: list[str],
     schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(header))])
     df = spark.read.csv([as_read_path(f) for f in files], schema=schema, header=True, enforceSchema=True,
                         mode="PERMISSIVE")
+    opened = sorted(as_metadata_uri(u) for u in df.inputFiles())
+    if opened != sorted(files):
+        raise RuntimeError(f"the reader opened other files than were routed to it: {sorted(set(opened) ^ set(files))[:5]}")
     pos = column_positions(header, expected)
     return df.select(
         *[F.col(f"_c{p}").alias(name) for p, name in zip(pos, expected)],
