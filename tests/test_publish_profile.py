@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trustfold.operators import coverage, profile
 from trustfold.operators.quarantine import Run, from_rows
 from trustfold.operators.report import reconcile, rule_counts, table_counts
-from trustfold.sinks.tables import check_not_null, publish_ledger, replace_table
+from trustfold.sinks.tables import check_not_null, clear_run, publish_ledger, read_ledger, replace_table
 
 
 def _rejects(spark, run, n, rule="r1"):
@@ -29,9 +29,23 @@ def test_ledger_rerun_replaces_only_its_slice(spark, tmp_path):
     got = sorted((r.run_id, r.rule, r.n) for r in led.groupBy("run_id", "rule").agg(F.count("*").alias("n")).collect())
     assert got == [("A", "r1", 3), ("B", "r2", 4)]
     assert dict(led.dtypes)["original_record"] == "variant"
-    # an empty re-run leaves the ledger untouched
+    # without a run id an empty publish leaves the ledger untouched; with it the run's slice is cleared
     publish_ledger(_rejects(spark, b, 0), path)
-    assert spark.read.parquet(path).count() == 7
+    assert read_ledger(spark, path).count() == 7
+    publish_ledger(_rejects(spark, b, 0), path, run_id="B")
+    assert [r.run_id for r in read_ledger(spark, path).select("run_id").distinct().collect()] == ["A"]
+
+
+def test_run_ids_with_odd_characters_and_stages_no_longer_written(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    odd, other = Run("2026/08:31 a=b%", "2026-08-03T00:00:00Z"), Run("B", "2026-08-03T00:00:00Z")
+    two = _rejects(spark, odd, 2).unionByName(_rejects(spark, odd, 3).withColumn("stage", F.lit("typing")))
+    publish_ledger(two, path, run_id=odd.run_id)
+    publish_ledger(_rejects(spark, other, 4), path, run_id="B")
+    publish_ledger(_rejects(spark, odd, 1), path, run_id=odd.run_id)
+    got = {(r.run_id, r.stage): r["count"] for r in read_ledger(spark, path).groupBy("run_id", "stage").count().collect()}
+    assert sorted(got.values()) == [1, 4] and clear_run(spark, path, odd.run_id) == 1
+    assert read_ledger(spark, path).count() == 4 and clear_run(spark, str(tmp_path / "none"), "B") == 0
 
 
 def test_not_null_check_refuses_bad_slice(spark):

@@ -14,10 +14,10 @@ from trustfold.bindings.usage import (
     WEEKLY_AS_OF,
     hot_usage_events,
     table,
-    usage_events,
+    staged_events,
     usage_metrics_sql,
 )
-from trustfold.operators.features import events_in_window, window_metrics, with_as_of
+from trustfold.operators.features import window_edge_counts, window_metrics, with_as_of
 from trustfold.plans.gold import build_gold
 
 
@@ -62,7 +62,7 @@ FROM customer WHERE c_custkey % 5 = 0
 def pit_usage_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     snaps = with_as_of(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id")),
                        date="2024-01-29")
-    return window_metrics(usage_events(spark, sf_dir), snaps, key="entity_id", day="day",
+    return window_metrics(staged_events(spark, sf_dir), snaps, key="entity_id", day="day",
                           as_of="as_of", horizon_days=14, metrics=USAGE_METRICS, ratios=USAGE_RATIOS)
 
 
@@ -83,7 +83,7 @@ _BATCH_SNAPS_SQL = f"SELECT entity_id, CAST(batch_date AS DATE) AS as_of FROM ({
 
 
 def pit_usage_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return window_metrics(usage_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
+    return window_metrics(staged_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
                           day="day", as_of="as_of", horizon_days=14, metrics=USAGE_METRICS,
                           ratios=USAGE_RATIOS)
 
@@ -94,7 +94,7 @@ register("pit_usage_by_batch", usage_metrics_sql(_BATCH_SNAPS_SQL, 14),
 
 def pit_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same answer as ``pit_usage_by_batch`` through the interval-join strategy."""
-    return window_metrics(usage_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
+    return window_metrics(staged_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
                           day="day", as_of="as_of", horizon_days=14, metrics=USAGE_METRICS,
                           ratios=USAGE_RATIOS, strategy="join")
 
@@ -104,7 +104,7 @@ register("pit_daily_rollup", usage_metrics_sql(_BATCH_SNAPS_SQL, 14), covers=("P
 
 def pit_usage_90d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The production horizon (90 days) on the weekly snapshots."""
-    return window_metrics(usage_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
+    return window_metrics(staged_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
                           day="day", as_of="as_of", horizon_days=90, metrics=USAGE_METRICS,
                           ratios=USAGE_RATIOS)
 
@@ -125,18 +125,31 @@ def pit_hot_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("pit_hot_entity", usage_metrics_sql(_BATCH_SNAPS_SQL, 14, HOT_USAGE_EVENTS_SQL),
          covers=("JN-1", "AGG-1", "P-6"))(pit_hot_entity)
 
+
+
+def pit_no_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty snapshot set over the whole event table: no day is in range,
+    so nothing is read and no metrics row comes out; events counted beside it."""
+    empty = _batch_snapshots(spark, sf_dir).where(F.col("as_of") > F.to_date(F.lit("9999-01-01")))
+    events = staged_events(spark, sf_dir)
+    got = window_metrics(events, empty, key="entity_id", day="day", as_of="as_of", horizon_days=14,
+                         metrics=USAGE_METRICS, ratios=USAGE_RATIOS)
+    counts = [got.agg(F.lit("metrics").alias("part"), F.count(F.lit(1)).alias("n_rows")),
+              events.agg(F.lit("events").alias("part"), F.count(F.lit(1)).alias("n_rows"))]
+    return counts[0].unionByName(counts[1])
+
+
+register("pit_no_snapshots", """SELECT 'events' AS part, count(*) AS n_rows FROM events
+UNION ALL SELECT 'metrics', count(*) FROM customer WHERE c_custkey IS NULL""", covers=("FLT-2",))(pit_no_snapshots)
+
 # ----------------------------------------------------------- window edges
 
 
 def pit_window_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per (as-of, days before as-of) inside a 7-day window: offsets
     run 1..7, the as-of day itself never appears."""
-    matched = events_in_window(usage_events(spark, sf_dir), _batch_snapshots(spark, sf_dir),
-                               key="entity_id", day="day", as_of="as_of", horizon_days=7)
-    return matched.groupBy("as_of", "days_before").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.countDistinct("entity_id").alias("n_entities"),
-    )
+    return window_edge_counts(staged_events(spark, sf_dir), _batch_snapshots(spark, sf_dir), key="entity_id",
+                              day="day", as_of="as_of", horizon_days=7)
 
 
 register(
@@ -155,10 +168,10 @@ GROUP BY 1, 2
 # ------------------------------------------------------------------- gold
 
 
-def _gold_sql(batches_sql: str, as_of_expr: str, horizon: int) -> str:
+def _gold_sql(batches_sql: str, as_of_expr: str, horizon: int, events_sql: str = USAGE_EVENTS_SQL) -> str:
     return f"""
 WITH t AS (SELECT *, {as_of_expr} AS as_of FROM ({batches_sql}) b),
-f AS ({usage_metrics_sql("SELECT entity_id, as_of FROM t WHERE entity_id IS NOT NULL AND as_of IS NOT NULL", horizon)})
+f AS ({usage_metrics_sql("SELECT entity_id, as_of FROM t WHERE entity_id IS NOT NULL AND as_of IS NOT NULL", horizon, events_sql)})
 SELECT t.entity_id, t.as_of, t.c_name, t.c_mktsegment, t.c_acctbal, t.batch_date,
        f.n_calls, f.call_minutes, f.data_mb, f.n_tickets, f.n_dropped, f.drop_rate
 FROM t LEFT JOIN f ON t.entity_id = f.entity_id AND t.as_of = f.as_of
@@ -166,7 +179,7 @@ FROM t LEFT JOIN f ON t.entity_id = f.entity_id AND t.as_of = f.as_of
 
 
 def gold_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_gold(customer_batches(spark, sf_dir), usage_events(spark, sf_dir), key="entity_id",
+    return build_gold(customer_batches(spark, sf_dir), staged_events(spark, sf_dir), key="entity_id",
                       as_of_column="batch_date", horizon_days=14, metrics=USAGE_METRICS,
                       ratios=USAGE_RATIOS)
 
@@ -177,7 +190,7 @@ register("gold_profile", _gold_sql(CUSTOMER_BATCHES_SQL, "CAST(batch_date AS DAT
 
 def gold_fixed_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One labelled snapshot for all customers (literal as-of, 90-day window)."""
-    return build_gold(customer_batches(spark, sf_dir), usage_events(spark, sf_dir), key="entity_id",
+    return build_gold(customer_batches(spark, sf_dir), staged_events(spark, sf_dir), key="entity_id",
                       as_of_date="2024-01-29", horizon_days=90, metrics=USAGE_METRICS,
                       ratios=USAGE_RATIOS)
 
@@ -186,6 +199,28 @@ register("gold_fixed_date", _gold_sql(CUSTOMER_BATCHES_SQL, "DATE '2024-01-29'",
          covers=("JN-3", "PRJ-3"))(gold_fixed_date)
 
 
+def gold_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted rows keyed by text, as raw batches are, with zero-padded copies
+    of some keys: every row stays one row, and a padded key is another key."""
+    b = customer_batches(spark, sf_dir)
+    k = F.col("entity_id")
+    plain = b.withColumn("entity_id", k.cast("string"))
+    padded = b.where(k % 3 == 0).withColumn("entity_id", F.concat(F.lit("00"), k.cast("string")))
+    return build_gold(plain.unionByName(padded), staged_events(spark, sf_dir), key="entity_id", as_of_column="batch_date",
+                      horizon_days=14, metrics=USAGE_METRICS, ratios=USAGE_RATIOS)
+
+
+_TEXT_KEY_SQL = f"""
+SELECT CAST(entity_id AS VARCHAR) AS entity_id, c_name, c_mktsegment, c_acctbal, batch_date FROM ({CUSTOMER_BATCHES_SQL}) b
+UNION ALL
+SELECT '00' || CAST(entity_id AS VARCHAR), c_name, c_mktsegment, c_acctbal, batch_date FROM ({CUSTOMER_BATCHES_SQL}) b WHERE entity_id % 3 = 0
+"""
+_TEXT_EVENTS_SQL = f"SELECT * REPLACE (CAST(entity_id AS VARCHAR) AS entity_id) FROM ({USAGE_EVENTS_SQL}) u"
+
+register("gold_text_key", _gold_sql(_TEXT_KEY_SQL, "CAST(batch_date AS DATE)", 14, _TEXT_EVENTS_SQL),
+         covers=("JN-3", "Q-8"))(gold_text_key)
+
+
 _BAD_DATES_SQL = f"""
 SELECT entity_id, c_name, c_mktsegment, c_acctbal,
        CASE WHEN entity_id % 13 = 0 THEN 'bad-date' WHEN entity_id % 17 = 0 THEN NULL ELSE batch_date END AS batch_date
@@ -200,7 +235,7 @@ def gold_null_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("entity_id")
     b = b.withColumn("batch_date", F.when(k % 13 == 0, F.lit("bad-date"))
                      .when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("batch_date")))
-    return build_gold(b, usage_events(spark, sf_dir), key="entity_id", as_of_column="batch_date",
+    return build_gold(b, staged_events(spark, sf_dir), key="entity_id", as_of_column="batch_date",
                       horizon_days=14, metrics=USAGE_METRICS, ratios=USAGE_RATIOS)
 
 

@@ -27,7 +27,7 @@ from trustfold.bindings.order_batches import BATCH_LAYOUTS, ORDER_CONTRACT, RAW_
 from trustfold.bindings.q_features import CUSTOMER_BATCHES_SQL, customer_batches
 from trustfold.bindings.q_trusted import staged_batches
 from trustfold.bindings.registry import register
-from trustfold.bindings.usage import USAGE_EVENTS_SQL, table, usage_events
+from trustfold.bindings.usage import USAGE_EVENTS_SQL, staged_events, table, usage_events
 from trustfold.operators import coverage, profile
 from trustfold.session import scratch_path
 from trustfold.sources.batches import read_headers
@@ -48,15 +48,6 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make) -> str:
         return _staged[key]
 
 
-def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usage events as a day-partitioned parquet table (read back)."""
-    def make() -> str:
-        root = scratch_path(spark, "usage_by_day")
-        usage_events(spark, sf_dir).write.partitionBy("day").parquet(root)
-        return root
-    return spark.read.parquet(_once(spark, sf_dir, "events", make))
-
-
 def _dec(col: str):
     cents = F.round(F.col(col) * 100).cast("bigint")
     return F.concat(F.expr(f"cast(round({col} * 100) as bigint) div 100").cast("string"), F.lit("."),
@@ -275,11 +266,19 @@ register(
 
 
 def order_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate quartiles (sketch); checked against exact ones in tests."""
+    """Exact quartiles of every typed column."""
     return profile.numeric_quantiles(order_text(spark, sf_dir), ORDER_CONTRACT.types)
 
 
-register("order_quantiles", None, covers=("AGG-16",))(order_quantiles)
+register(
+    "order_quantiles",
+    _ORD + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, [quantile_disc(x, 0.25), quantile_disc(x, 0.5), quantile_disc(x, 0.75)] AS quantiles FROM (SELECT {cast} AS x FROM raw)"
+        for c, cast in [("o_custkey", "CAST(TRY_CAST(o_custkey AS INTEGER) AS DOUBLE)"),
+                        ("o_totalprice", "TRY_CAST(o_totalprice AS DOUBLE)")]
+    ),
+    covers=("AGG-16",),
+)(order_quantiles)
 
 
 def category_top(spark: SparkSession, sf_dir: str) -> DataFrame:

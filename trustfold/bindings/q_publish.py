@@ -17,7 +17,7 @@ from trustfold.bindings.q_trusted import (
     trusted_run,
 )
 from trustfold.bindings.registry import register
-from trustfold.bindings.usage import USAGE_METRICS, USAGE_RATIOS, WEEKLY_AS_OF, usage_events
+from trustfold.bindings.usage import USAGE_METRICS, USAGE_RATIOS, WEEKLY_AS_OF, staged_events
 from trustfold.operators.contracts import Contract
 from trustfold.operators.quarantine import Run
 from trustfold.operators.report import profile_summary, rule_counts, table_counts
@@ -32,12 +32,26 @@ BATCHES_A = [b for b in ALL_BATCHES if b <= "1999"]
 BATCHES_B = [b for b in ALL_BATCHES if b > "1999"]
 
 
+RUN_C = Run(run_id="run-C", started_at="2026-08-17T06:00:00Z")
+_ledger_lock = threading.Lock()
+_ledgers: dict[tuple[str, str], str] = {}
+
+
 def published_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish run A, run B, then run B again (a retry) into one ledger."""
-    path = scratch_path(spark, "ledger")
-    for run, batches in ((RUN_A, BATCHES_A), (RUN_B, BATCHES_B), (RUN_B_AGAIN, BATCHES_B)):
-        publish_ledger(trusted_run(spark, sf_dir, run, batches).quarantine, path)
-    return read_ledger(spark, path)
+    """Publish run A, run B, run B again (a retry), and run C, which a
+    corrected second attempt leaves without any reject; once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _ledger_lock:
+        if key not in _ledgers:
+            path = scratch_path(spark, "ledger")
+            for run, batches in ((RUN_A, BATCHES_A), (RUN_B, BATCHES_B), (RUN_B_AGAIN, BATCHES_B)):
+                publish_ledger(trusted_run(spark, sf_dir, run, batches).quarantine, path, run_id=run.run_id)
+            first = read_ledger(spark, path).where(F.col("run_id") == RUN_A.run_id)
+            wrong = first.withColumns({"run_id": F.lit(RUN_C.run_id), "original_record": F.to_json("original_record")})
+            publish_ledger(wrong, path, run_id=RUN_C.run_id)
+            publish_ledger(wrong.limit(0), path, run_id=RUN_C.run_id)
+            _ledgers[key] = path
+        return read_ledger(spark, _ledgers[key])
 
 
 _ALL_REJECTS_SQL = f"""{TRUST_CTES},
@@ -46,14 +60,15 @@ rej AS ({_ROW_REJECTS_SQL}
 
 
 def ledger_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger rows per (stage, run, rule) after a retried run: the retry
-    replaced its slice (no doubled rows), the other run is untouched, the
-    record is typed JSON, and the retry's timestamp won."""
+    """Ledger rows per (stage, run, rule) after a retried and a corrected run:
+    the retry replaced its slice (no doubled rows, its timestamp), the
+    corrected run left nothing, the other run is untouched, and the record is
+    typed JSON."""
     led = published_ledger(spark, sf_dir)
     return led.groupBy("stage", "run_id", "rule").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("original_record").alias("n_records"),
-        F.countDistinct("rejected_at").alias("n_timestamps"),
+        F.max(F.unix_seconds("rejected_at")).alias("rejected_at"),
     )
 
 
@@ -61,7 +76,9 @@ register(
     "ledger_rerun",
     f"""{_ALL_REJECTS_SQL}
 SELECT '{RUN.stage}' AS stage, CASE WHEN batch <= '1999' THEN 'run-A' ELSE 'run-B' END AS run_id, rule,
-       count(*) AS n_rows, count(original_record) AS n_records, CAST(1 AS BIGINT) AS n_timestamps
+       count(*) AS n_rows, count(original_record) AS n_records,
+       max(CASE WHEN batch <= '1999' THEN CAST(epoch(TIMESTAMP '2026-08-03 06:00:00') AS BIGINT)
+                ELSE CAST(epoch(TIMESTAMP '2026-08-10 09:30:00') AS BIGINT) END) AS rejected_at
 FROM rej GROUP BY ALL""",
     covers=("SNK-3", "SNK-4", "SNK-5", "Q-19"),
 )(ledger_rerun)
@@ -101,7 +118,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the published gold table, read back from its files (the
     event scan is not repeated for the summary)."""
     path = scratch_path(spark, "gold")
-    replace_table(gold_profile(spark, sf_dir), path, files=4)
+    replace_table(gold_profile(spark, sf_dir), path)
     return profile_summary(spark.read.parquet(path), "n_calls", "gold")
 
 
@@ -145,7 +162,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, and the row counts of what was written."""
     src = Source(tuple(staged_weekly_batches(spark, sf_dir)), WEEKLY_CONTRACT, unit="folder",
                  as_of_column="batch_date")
-    out = run_batch(spark, {"weekly": src}, usage_events(spark, sf_dir), scratch_path(spark, "batch_run"),
+    out = run_batch(spark, {"weekly": src}, staged_events(spark, sf_dir), scratch_path(spark, "batch_run"),
                     Run(run_id="run-weekly", started_at="2026-08-31T06:00:00Z"), metrics=USAGE_METRICS,
                     ratios=USAGE_RATIOS, horizon_days=14)
     return out.summary

@@ -48,10 +48,12 @@ def cast_text(col: str | Column, dtype: str, int_policy: str = "legacy") -> Colu
         t = F.regexp_replace(c, _TRIM_ALL, "")
         whole = F.regexp_extract(t, r"\A([+-]?[0-9]*)", 1)
         # "5.7" / "5." -> "5"; ".5" / "-." / "." -> "0"; "" / "+" / "3 .5" -> NULL
-        c = F.when(
+        text = F.when(
             t.rlike(_LEGACY_INT) & ~t.rlike(_SIGN_ONLY),
             F.when(whole.rlike(_SIGN_ONLY), F.lit("0")).otherwise(whole),
         )
+        # clean cells convert at once; only the others meet the patterns
+        return F.coalesce(c.try_cast(dtype), text.try_cast(dtype))
     return c.try_cast(dtype)
 
 

@@ -12,10 +12,12 @@ The unit is the file (``unit="file"``) or the folder holding it
 
 Plan: the collapse is an aggregate over all columns, so copies meeting in
 one task shrink before the shuffle.  Versions per (unit, key) are counted
-by a second, partially aggregated group-by (one small row per key) and
-joined back.  A key with a third of all rows therefore never sits in one
-window buffer: it streams through a join that AQE can split.  NULL keys of
-one unit count together (NULL-safe join).
+by a second, partially aggregated group-by (one small row per key), and
+only the keys with more than one version are left joined back: conflicts
+are few, so AQE broadcasts them from their measured size and the collapsed
+rows are not shuffled again.  Where conflicts are many, a key with a third
+of all rows streams through a join that AQE can split; it never sits in one
+window buffer.  NULL keys of one unit count together (NULL-safe join).
 """
 
 from __future__ import annotations
@@ -55,10 +57,11 @@ def count_versions(collapsed: DataFrame, *, key: str, origin: str = "_source_fil
     """Add the number of versions of each row's key within its unit to rows
     that are already collapsed (one row per distinct record and unit)."""
     d = collapsed.withColumn("__unit", _unit_col(origin, unit))
-    counts = d.groupBy("__unit", key).agg(F.count(F.lit(1)).alias(name))
+    counts = d.groupBy("__unit", key).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
     l, r = d.alias("l"), counts.alias("r")
     cond = F.col("l.__unit").eqNullSafe(F.col("r.__unit")) & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    return l.join(r, cond, "inner").select(*[F.col(f"l.{c}") for c in collapsed.columns], F.col(f"r.{name}"))
+    return l.join(r, cond, "left").select(*[F.col(f"l.{c}") for c in collapsed.columns],
+                                          F.coalesce(F.col(f"r.{name}"), F.lit(1).cast("bigint")).alias(name))
 
 
 def tag_versions(df: DataFrame, *, key: str, origin: str = "_source_file", unit: str = "file",

@@ -7,7 +7,9 @@ is what lets the plan stay small at any scale:
 
 1. **Prune** the event scan to ``[min(as_of) - N, max(as_of))`` with scalar
    subqueries over the snapshots; on a day-partitioned table they become
-   partition filters, so folders outside the range are never opened.
+   partition filters, so folders outside the range are never opened.  Events
+   of entities without a snapshot go by a semi join before anything is
+   summed (no hint: Spark broadcasts the keys when they are few).
 2. **Roll up per (entity, day)** with partial aggregation before the shuffle.
    However many events a hot entity has, it leaves at most one row per day,
    so no later group can grow with the event volume.
@@ -20,10 +22,14 @@ is what lets the plan stay small at any scale:
 
    Strategy ``"join"`` is the interval-join form: every snapshot expanded to
    the N days of its window, equi-joined to the daily rows on (entity, day),
-   summed per snapshot and left joined back for zero-fill.  The snapshot side is broadcast only when its
-   row count has been checked against ``broadcast_max_rows``; otherwise the
-   join is a shuffle join that AQE may still turn into a broadcast from the
+   summed per snapshot and left joined back for zero-fill.  No side is
+   broadcast by hint; AQE may turn the join into a broadcast from the
    measured size.
+
+Entity keys of the two sides may differ in type (raw batches are text):
+events are read in the snapshots' type, so every snapshot key stays as it is
+and keys that differ as text never become one.  An event key that does not
+convert belongs to no snapshot.
 """
 
 from __future__ import annotations
@@ -121,6 +127,17 @@ def _require_dates(df: DataFrame, column: str, what: str) -> None:
         raise TypeError(f"{what}.{column} must be a date column, got {dtype}; cast it first")
 
 
+def _relevant(events: DataFrame, snapshots: DataFrame, *, key: str, day: str, as_of: str, horizon_days: int) -> DataFrame:
+    """Events that some snapshot can see: days in range, entities with a
+    snapshot, the key in the snapshots' type."""
+    kind = snapshots.schema[key].dataType
+    if events.schema[key].dataType != kind:
+        events = events.withColumn(key, F.col(key).try_cast(kind))
+    pruned = prune_to_snapshots(events.where(F.col(key).isNotNull()), snapshots, day=day, as_of=as_of,
+                                horizon_days=horizon_days)
+    return pruned.join(snapshots.select(key).distinct(), key, "left_semi")
+
+
 def daily_rollup(events: DataFrame, *, key: str, day: str, metrics: list[Metric]) -> DataFrame:
     """One row per (entity, day) holding every metric's partial aggregate."""
     return events.groupBy(key, day).agg(*[m.partial() for m in metrics])
@@ -137,7 +154,6 @@ def window_metrics(
     metrics: list[Metric],
     ratios: list[Ratio] | tuple = (),
     strategy: str = "window",
-    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """One row per distinct (key, as_of) of ``snapshots`` with its window metrics.
 
@@ -156,8 +172,7 @@ def window_metrics(
     valid = snaps.where(F.col(key).isNotNull() & F.col(as_of).isNotNull())
     # events without an entity can never match; dropping them here also keeps
     # a NULL key from becoming one hot partition after the shuffle
-    pruned = prune_to_snapshots(events.where(F.col(key).isNotNull()), valid, day=day, as_of=as_of,
-                                horizon_days=horizon_days)
+    pruned = _relevant(events, valid, key=key, day=day, as_of=as_of, horizon_days=horizon_days)
     daily = daily_rollup(pruned, key=key, day=day, metrics=metrics)
     names = [m.name for m in metrics]
 
@@ -181,10 +196,7 @@ def window_metrics(
         return _finish(framed, key, as_of, metrics, ratios)
 
     if strategy == "join":
-        side = valid
-        if broadcast_max_rows is not None and valid.count() <= broadcast_max_rows:
-            side = F.broadcast(valid)
-        days = window_days(side, key=key, as_of=as_of, day=day, horizon_days=horizon_days)
+        days = window_days(valid, key=key, as_of=as_of, day=day, horizon_days=horizon_days)
         matched = daily.join(days, [key, day], "inner")
         sums = matched.groupBy(key, as_of).agg(*[F.sum(n).alias(n) for n in names])
         return _finish(snaps.join(sums, [key, as_of], "left"), key, as_of, metrics, ratios)
@@ -219,14 +231,33 @@ def events_in_window(events: DataFrame, snapshots: DataFrame, *, key: str, day:
     snaps = snapshots.select(key, as_of).where(
         F.col(key).isNotNull() & F.col(as_of).isNotNull()
     ).distinct()
-    pruned = prune_to_snapshots(events.where(F.col(key).isNotNull()), snaps, day=day, as_of=as_of,
-                                horizon_days=horizon_days)
+    pruned = _relevant(events, snaps, key=key, day=day, as_of=as_of, horizon_days=horizon_days)
     days = window_days(snaps, key=key, as_of=as_of, day=day, horizon_days=horizon_days)
     return pruned.join(days, [key, day], "inner").withColumn(
         "days_before", F.datediff(F.col(as_of), F.col(day))
     )
 
 
+def window_edge_counts(events: DataFrame, snapshots: DataFrame, *, key: str, day: str, as_of: str,
+                       horizon_days: int) -> DataFrame:
+    """Events and entities per (as-of, days before as-of) of the windows.
+
+    Counted from the daily roll-up, so at most one row per entity and day
+    meets the snapshots, never the raw events.
+    """
+    _require_dates(events, day, "events")
+    _require_dates(snapshots, as_of, "snapshots")
+    snaps = snapshots.select(key, as_of).where(
+        F.col(key).isNotNull() & F.col(as_of).isNotNull()
+    ).distinct()
+    pruned = _relevant(events, snaps, key=key, day=day, as_of=as_of, horizon_days=horizon_days)
+    daily = daily_rollup(pruned, key=key, day=day, metrics=[Metric("n_events", "count")])
+    days = window_days(snaps, key=key, as_of=as_of, day=day, horizon_days=horizon_days)
+    return (daily.join(days, [key, day], "inner")
+            .groupBy(as_of, F.datediff(F.col(as_of), F.col(day)).alias("days_before"))
+            .agg(F.sum("n_events").alias("n_events"), F.count(F.lit(1)).alias("n_entities")))
+
+
 def with_as_of(df: DataFrame, *, as_of: str = "as_of", date: str | None = None,
                column: str | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Add the as-of date: one literal for all rows, or parsed per row from a

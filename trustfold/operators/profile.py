@@ -14,9 +14,6 @@ from pyspark.sql.types import StructType
 from trustfold.functions.casting import is_blank, is_dirty, uncastable
 
 
-def _unpivot(df: DataFrame, ids: list[str], cols: list[str], name: str, value: str) -> DataFrame:
-    return df.unpivot(ids, cols, name, value) if ids else df.unpivot([], cols, name, value)
-
 
 # ------------------------------------------------------------ schema/headers
 
@@ -42,13 +39,6 @@ def frequencies(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def top_values(df: DataFrame, col: str, k: int = 20) -> DataFrame:
-    """The k most frequent values of a column (ties broken by value)."""
-    return (
-        df.groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
-        .orderBy(F.desc("n_rows"), F.asc_nulls_first(col)).limit(k)
-    )
-
 
 def top_values_per_column(df: DataFrame, cols: list[str], k: int = 20) -> DataFrame:
     """k most frequent values of each of ``cols`` that exists in ``df``
@@ -146,18 +136,36 @@ def numeric_summary(df: DataFrame, types: dict, *, int_policy: str = "legacy", d
 
 
 def numeric_quantiles(df: DataFrame, types: dict, *, int_policy: str = "legacy",
-                      probs: tuple[float, ...] = (0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
-    """Approximate quantiles per column (bounded sketch, relative rank error
-    ``1/accuracy``; an exact percentile would hold a whole column in one task)."""
+                      probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Exact discrete quantiles per column: the smallest value that at least
+    ``p`` of the values do not exceed (NULL for a column without values).
+
+    No column is ever held in one task: values are counted, the distinct ones
+    dealt out by range, and only one total per range and column tells in which
+    range a rank lies; that range alone is numbered.
+    """
     from trustfold.functions.casting import cast_text
+    from trustfold.session import materialize
 
     cols = [c for c in types if c in df.columns]
-    wide = df.agg(*[F.percentile_approx(cast_text(c, types[c], int_policy).cast("double"), list(probs),
-                                        accuracy).alias(f"q{i}")
-                    for i, c in enumerate(cols)])
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"q{i}").alias("quantiles")) for i, c in enumerate(cols)
-    ])).alias("r")).select("r.*")
+    cells = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), cast_text(c, types[c], int_policy).cast("double").alias("value")) for c in cols
+    ])).alias("r")).select("r.*").where("value IS NOT NULL")
+    counts = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    dealt = materialize(counts.repartitionByRange("column_name", "value").withColumn("part", F.spark_partition_id()), "quantiles")
+    ends = (dealt.groupBy("column_name", "part").agg(F.sum("n").alias("n"))
+            .withColumn("last", F.expr("sum(n) over (partition by column_name order by part)"))
+            .withColumn("total", F.expr("sum(n) over (partition by column_name)")))
+    wanted = (ends.withColumn("p", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("prob")) for i, p in enumerate(probs)])))
+              .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("total") * F.col("p.prob"))))
+              .where("rank > last - n and rank <= last")
+              .select("column_name", "part", F.col("p.i").alias("i"), (F.col("rank") - F.col("last") + F.col("n")).alias("rank")))
+    numbered = dealt.withColumn("seen", F.expr("sum(n) over (partition by column_name, part order by value)"))
+    picked = (numbered.join(wanted, ["column_name", "part"]).where("seen >= rank")
+              .groupBy("column_name", "i").agg(F.min("value").alias("value"))
+              .groupBy("column_name").agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("q")))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column_name"))
+    return names.join(picked, "column_name", "left").select("column_name", F.col("q.value").alias("quantiles"))
 
 
 def dirty_flags(df: DataFrame, types: dict, *, int_policy: str = "legacy", as_double: bool = False) -> DataFrame:

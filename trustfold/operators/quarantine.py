@@ -108,10 +108,6 @@ def from_file_errors(errors: DataFrame, run: Run) -> DataFrame:
     )
 
 
-def empty_ledger(spark) -> DataFrame:
-    return spark.createDataFrame([], LEDGER_SCHEMA)
-
-
 def union_all(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -8,8 +8,9 @@ ledger slice of this run.  Gold is built from the trusted table *as written*
 re-reads files), and the summary is computed from the written tables, so the
 event table is not scanned again for it.
 
-Every write is a full replace (tables) or a slice replace (ledger), so a
-re-run of the same run id leaves the outputs exactly as one run would.
+Every write is a full replace (tables) or a slice replace (ledger: the run's
+earlier slice goes even where the new one has no reject), so a re-run of the
+same run id leaves the outputs exactly as one run would.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from trustfold.operators.contracts import Contract
 from trustfold.operators.features import Metric, Ratio
 from trustfold.operators.quarantine import Run, union_all
-from trustfold.operators.report import profile_summary, table_counts
+from trustfold.operators.report import profile_summary, rule_counts, table_counts
 from trustfold.plans.gold import build_gold
 from trustfold.plans.trusted import build_trusted
 from trustfold.sinks.tables import publish_ledger, read_ledger, replace_table
@@ -47,6 +48,7 @@ class BatchOutputs:
     ledger: str  # quarantine ledger path
     summary: DataFrame  # table, n_rows (+ gold totals when a count metric is named)
     gold_totals: dict[str, DataFrame] = field(default_factory=dict)
+    rejects: DataFrame | None = None  # rule, n_rows of this run, from the published ledger
 
 
 def run_batch(
@@ -77,7 +79,7 @@ def run_batch(
         out = build_trusted(spark, list(src.paths), src.contract, run, unit=src.unit)
         trusted_paths[name] = replace_table(out.trusted, f"{root}/trusted/{name}")
         rejects.append(out.quarantine)
-    publish_ledger(union_all(rejects), ledger)
+    publish_ledger(union_all(rejects), ledger, run_id=run.run_id)
 
     gold_paths: dict[str, str] = {}
     for name, src in sources.items():
@@ -92,9 +94,10 @@ def run_batch(
     tables = {f"trusted_{n}": spark.read.parquet(p) for n, p in trusted_paths.items()}
     tables.update({f"gold_{n}": spark.read.parquet(p) for n, p in gold_paths.items()})
     # a clean run publishes no reject: read_ledger copes with a ledger without files
-    tables["quarantine"] = read_ledger(spark, ledger).where(F.col("run_id") == run.run_id)
+    mine = read_ledger(spark, ledger).where(F.col("run_id") == run.run_id)
+    tables["quarantine"] = mine
     totals = {}
     if summary_metric:
         totals = {n: profile_summary(spark.read.parquet(p), summary_metric, f"gold_{n}")
                   for n, p in gold_paths.items()}
-    return BatchOutputs(trusted_paths, gold_paths, ledger, table_counts(tables), totals)
+    return BatchOutputs(trusted_paths, gold_paths, ledger, table_counts(tables), totals, rule_counts(mine))

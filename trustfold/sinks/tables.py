@@ -5,19 +5,26 @@
 * ``replace_run_slice``: the shared quarantine ledger is partitioned by
   (stage, run id); publishing a run overwrites only the partitions present
   in the new rows (dynamic partition overwrite, set on the writer, not on
-  the session).  Other stages and runs are kept; a re-run of the same run
-  replaces its slice; an empty re-run changes nothing.
+  the session).  Other stages and runs are kept; partitions that the new
+  rows do not reach stay.
+* ``clear_run``: removes a run's slice (all stages, or the named ones).
 * ``publish_ledger``: refuses a slice with NULLs in NOT NULL columns and
   stores the original record as VARIANT (``parse_json``: a record that is
   not valid JSON fails the publish instead of landing as text); both checks
   run inside the write job, and a failed job leaves the ledger as it was.
+  With ``run_id`` the run's slice becomes exactly the given rows: what an
+  earlier attempt of the run left in partitions that this one does not
+  write is removed, also when a corrected run rejects nothing.
 
 Unlike a warehouse transaction, a parquet overwrite is not atomic across
-partitions; readers may see a half-written slice while the job runs.
+partitions; readers may see a half-written slice while the job runs.  A
+publish that dies half-way is repaired by publishing the run again.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, VariantType
@@ -66,7 +73,32 @@ def _guarded(c: str):
         .otherwise(F.col(c)).alias(c)
 
 
-def publish_ledger(ledger: DataFrame, path: str) -> str:
+def _slices(spark: SparkSession, path: str) -> list[tuple[str, str, object]]:
+    """(stage, run id, folder) of every partition of a published ledger (a
+    folder listing on the driver; one entry per stage and run)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+
+    def named(where, column):
+        for status in fs.listStatus(where):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(f"{column}="):
+                yield unquote(name.split("=", 1)[1]), status.getPath()
+
+    return [(stage, run, p) for stage, s in named(folder, "stage") for run, p in named(s, "run_id")]
+
+
+def clear_run(spark: SparkSession, path: str, run_id: str, *, keep_stages: set[str] | frozenset[str] = frozenset()) -> int:
+    """Remove a run's slice from the ledger (but for ``keep_stages``); the number of partitions removed."""
+    gone = [p for stage, run, p in _slices(spark, path) if run == run_id and stage not in keep_stages]
+    for p in gone:
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(gone)
+
+
+def publish_ledger(ledger: DataFrame, path: str, *, run_id: str | None = None) -> str:
     """Validate and publish one run's rejects into the shared ledger, in one
     pass: the NOT NULL check and the JSON parse run inside the write, so a
     bad row fails the job, and a failed dynamic-overwrite job commits no
@@ -75,7 +107,13 @@ def publish_ledger(ledger: DataFrame, path: str) -> str:
         *[F.parse_json("original_record").alias("original_record") if c == "original_record" else _guarded(c)
           for c in LEDGER_COLUMNS]
     )
-    return replace_run_slice(typed, path)
+    replace_run_slice(typed, path)
+    if run_id is not None:
+        spark = ledger.sparkSession
+        # this attempt's partitions were replaced whole; others of the run are of an earlier attempt
+        stages = {r["stage"] for r in ledger.where(F.col("run_id") == run_id).select("stage").distinct().collect()}
+        clear_run(spark, path, run_id, keep_stages=stages)
+    return path
 
 
 # The ledger as published: the original record stored as VARIANT.
