@@ -399,14 +399,12 @@ WHERE {_N_DIRTY} > 0"""),
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled base: the customers with an order in the first batch year
-    (1995), taken from ``orders`` by a semi join; label Yes when the balance
-    is above 4500.  The date range reaches the orders scan as a pushed filter."""
-    first_year = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderdate") >= F.lit("1995-01-01").cast("date"))
-        & (F.col("o_orderdate") < F.lit("1996-01-01").cast("date"))
-    ).select(F.col("o_custkey").alias("c_custkey"))
-    c = table(spark, sf_dir, "customer").join(first_year, "c_custkey", "left_semi")
+    """Labelled base: the customers whose first order of all is of 1995 or
+    earlier, by the minimum over the whole ``orders`` table; label Yes when
+    the balance is above 4500."""
+    early = (table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey"))
+             .agg(F.min("o_orderdate").alias("first")).where(F.col("first") < F.lit("1996-01-01").cast("date")))
+    c = table(spark, sf_dir, "customer").join(early, "c_custkey", "left_semi")
     return c.select(F.col("c_custkey").alias("entity_id"),
                     F.when(F.col("c_acctbal") > 4500, "Yes").otherwise("No").alias("label"))
 
@@ -414,8 +412,8 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 _COVERAGE_BASE_SQL = f"""WITH ev AS ({USAGE_EVENTS_SQL}),
 act AS (SELECT DISTINCT entity_id, day FROM ev),
 lab AS (SELECT c_custkey AS entity_id, CASE WHEN c_acctbal > 4500 THEN 'Yes' ELSE 'No' END AS label
-        FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders
-                                          WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1996-01-01')),
+        FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey
+                                          HAVING min(o_orderdate) < DATE '1996-01-01')),
 bat AS (SELECT DISTINCT entity_id, batch_date FROM ({CUSTOMER_BATCHES_SQL}) b)
 """
 

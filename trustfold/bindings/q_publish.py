@@ -17,7 +17,7 @@ from trustfold.bindings.q_trusted import (
     trusted_run,
 )
 from trustfold.bindings.registry import register
-from trustfold.bindings.usage import USAGE_METRICS, USAGE_RATIOS, WEEKLY_AS_OF, staged_events
+from trustfold.bindings.usage import USAGE_METRICS, USAGE_RATIOS, WEEKLY_AS_OF, staged_events, table
 from trustfold.operators.contracts import Contract
 from trustfold.operators.quarantine import Run
 from trustfold.operators.report import profile_summary, rule_counts, table_counts
@@ -137,41 +137,91 @@ WEEKLY_CONTRACT = Contract(
     key="entity_id",
     types={"entity_id": "bigint", "c_acctbal": "double"},
 )
+BASE_CONTRACT = Contract(columns=("entity_id", "c_name", "c_acctbal", "label"), key="entity_id",
+                         types={"entity_id": "bigint", "c_acctbal": "double"}, label="label")
+BASE_AS_OF = "2024-01-29"
+RUN_DAYS = 14
 _weekly_lock = threading.Lock()
-_weekly: dict[tuple[str, str], list[str]] = {}
+_weekly: dict[tuple[str, str], tuple[list[str], list[str]]] = {}
 
 
-def staged_weekly_batches(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The customer weekly batches written as CSV folders, one per batch date
-    (``week=<date>``, several part files each), once per session."""
+def staged_weekly_batches(spark: SparkSession, sf_dir: str) -> tuple[list[str], list[str]]:
+    """The two raw sources of a run as CSV, once per session: weekly batches
+    (one folder per date, in a folder whose name has pattern characters) and
+    the labelled base (deflate compressed).
+
+    Derived dirt: an unreadable balance (weekly key % 29 = 0, base key % 23 =
+    0), a second version of the row (weekly key % 31 = 0), an identical copy
+    (weekly key % 37 = 0)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     with _weekly_lock:
         if key not in _weekly:
-            root = scratch_path(spark, "weekly_batches")
-            text = customer_batches(spark, sf_dir).select(
-                *[F.col(c).cast("string").alias(c) for c in WEEKLY_CONTRACT.columns],
-                F.col("batch_date").alias("week"))
+            root = scratch_path(spark, "weekly_batches") + "/drop[1]"
+            k = F.col("entity_id")
+            rows = customer_batches(spark, sf_dir).withColumn("copies", F.explode(F.array_compact(F.array(
+                F.lit("row"), F.when(k % 31 == 0, F.lit("version")), F.when(k % 37 == 0, F.lit("copy"))))))
+            rows = rows.withColumns({
+                "c_name": F.when(F.col("copies") == "version", F.concat("c_name", F.lit(" II"))).otherwise(F.col("c_name")),
+                "c_acctbal": F.when(k % 29 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))})
+            text = rows.select(*[F.col(c).cast("string").alias(c) for c in WEEKLY_CONTRACT.columns], F.col("batch_date").alias("week"))
             text.write.partitionBy("week").option("header", True).csv(root)
-            _weekly[key] = [f"{root}/week={d}" for d in WEEKLY_AS_OF]
+            base = scratch_path(spark, "labelled_base")
+            (table(spark, sf_dir, "customer")
+             .select(F.col("c_custkey").cast("string").alias("entity_id"), "c_name",
+                     F.when(F.col("c_custkey") % 23 == 0, F.lit("unknown")).otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"),
+                     F.when(F.col("c_acctbal") > 4500, "Yes").otherwise("No").alias("label"))
+             .write.option("header", True).option("compression", "deflate").csv(base))
+            _weekly[key] = [f"{root}/week={d}" for d in WEEKLY_AS_OF], [base]
         return _weekly[key]
 
 
 def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole batch run in one call: the weekly CSV batches through the trust
-    stage, the ledger slice, gold with 14 days of usage from the written trusted
-    table, and the row counts of what was written."""
-    src = Source(tuple(staged_weekly_batches(spark, sf_dir)), WEEKLY_CONTRACT, unit="folder",
-                 as_of_column="batch_date")
-    out = run_batch(spark, {"weekly": src}, staged_events(spark, sf_dir), scratch_path(spark, "batch_run"),
+    """The whole batch run in one call: the labelled base (literal as-of date)
+    and the weekly CSV batches through the trust stage, the ledger slice, and
+    gold with 14 days of usage from the written trusted tables.  Rows: counts
+    of the written tables, sums of the gold metrics, rejects per rule."""
+    weekly, base = staged_weekly_batches(spark, sf_dir)
+    sources = {"base": Source(tuple(base), BASE_CONTRACT, unit="folder", as_of_date=BASE_AS_OF),
+               "weekly": Source(tuple(weekly), WEEKLY_CONTRACT, unit="folder", as_of_column="batch_date")}
+    out = run_batch(spark, sources, staged_events(spark, sf_dir), scratch_path(spark, "batch_run"),
                     Run(run_id="run-weekly", started_at="2026-08-31T06:00:00Z"), metrics=USAGE_METRICS,
-                    ratios=USAGE_RATIOS, horizon_days=14)
-    return out.summary
+                    ratios=USAGE_RATIOS, horizon_days=RUN_DAYS)
+    sums = [m.name for m in USAGE_METRICS]
+    parts = [out.summary.select(F.lit("rows").alias("part"), F.col("table_name").alias("name"), F.col("n_rows").cast("double").alias("value")),
+             out.rejects.select(F.lit("rejects"), "rule", F.col("n_rows").cast("double"))]
+    for source, path in out.gold.items():
+        totals = spark.read.parquet(path).agg(*[F.sum(m).cast("double").alias(m) for m in sums])
+        parts.append(totals.select(F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("v")) for m in sums])).alias("x"))
+                     .select(F.lit(f"gold_{source}"), "x.m", "x.v"))
+    result = parts[0]
+    for p in parts[1:]:
+        result = result.union(p)
+    return result
+
+
+_WEEKLY_OK = f"SELECT * FROM ({CUSTOMER_BATCHES_SQL}) b WHERE entity_id % 31 <> 0 AND entity_id % 29 <> 0"
+_BASE_OK = f"SELECT c_custkey AS entity_id, c_name, '' AS c_mktsegment, c_acctbal, '{BASE_AS_OF}' AS batch_date FROM customer WHERE c_custkey % 23 <> 0"
+
+
+def _gold_sums(name: str, rows: str) -> str:
+    gold = _gold_sql(rows, "CAST(batch_date AS DATE)", RUN_DAYS)
+    return " UNION ALL ".join(f"SELECT 'gold_{name}' AS part, '{m.name}' AS name, CAST(sum({m.name}) AS DOUBLE) AS value FROM ({gold}) g"
+                              for m in USAGE_METRICS)
 
 
 register(
     "batch_run",
-    f"""SELECT 'trusted_weekly' AS table_name, count(*) AS n_rows FROM ({CUSTOMER_BATCHES_SQL}) b
-UNION ALL SELECT 'gold_weekly', count(*) FROM ({CUSTOMER_BATCHES_SQL}) b
-UNION ALL SELECT 'quarantine', CAST(0 AS BIGINT)""",
-    covers=("VAL-15", "JN-3", "SNK-1", "SNK-4", "SNK-7", "SRC-5"),
+    f"""WITH w AS ({CUSTOMER_BATCHES_SQL}),
+rej AS (SELECT 'conflicting_duplicate_key' AS rule FROM w, (VALUES (1), (2)) v(i) WHERE entity_id % 31 = 0
+        UNION ALL SELECT 'not_numeric_c_acctbal' FROM w WHERE entity_id % 29 = 0 AND entity_id % 31 <> 0
+        UNION ALL SELECT 'not_numeric_c_acctbal' FROM customer WHERE c_custkey % 23 = 0)
+SELECT 'rows' AS part, 'trusted_weekly' AS name, CAST(count(*) AS DOUBLE) AS value FROM ({_WEEKLY_OK}) t
+UNION ALL SELECT 'rows', 'gold_weekly', CAST(count(*) AS DOUBLE) FROM ({_WEEKLY_OK}) t
+UNION ALL SELECT 'rows', 'trusted_base', CAST(count(*) AS DOUBLE) FROM ({_BASE_OK}) t
+UNION ALL SELECT 'rows', 'gold_base', CAST(count(*) AS DOUBLE) FROM ({_BASE_OK}) t
+UNION ALL SELECT 'rows', 'quarantine', CAST(count(*) AS DOUBLE) FROM rej
+UNION ALL SELECT 'rejects', rule, CAST(count(*) AS DOUBLE) FROM rej GROUP BY rule
+UNION ALL {_gold_sums("weekly", _WEEKLY_OK)}
+UNION ALL {_gold_sums("base", _BASE_OK)}""",
+    covers=("VAL-15", "JN-3", "SNK-1", "SNK-4", "SNK-6", "SNK-7", "SRC-1", "SRC-2", "SRC-5"),
 )(batch_run)

@@ -21,6 +21,7 @@ from trustfold.bindings.registry import register
 from trustfold.operators.quarantine import Run
 from trustfold.plans.trusted import TrustedOutput, build_trusted, read_accepted, route_files
 from trustfold.session import scratch_path
+from trustfold.sources.batches import batch_paths
 
 RUN = Run(run_id="run-2026-08-31", started_at="2026-08-31T06:00:00Z")
 _staged: dict[tuple[str, str], list[str]] = {}
@@ -64,8 +65,12 @@ _PAYLOAD_SQL = "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in TEXT_COLUMNS)
 
 
 def csv_name_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the accepted batches read by name (all text, contract order)."""
-    layouts, _, _ = route_files(spark, staged_batches(spark, sf_dir), ORDER_CONTRACT, unit="folder")
+    """Rows of the accepted batches, named one by one, read by name (all text,
+    contract order)."""
+    staged = staged_batches(spark, sf_dir)
+    root = staged[0].rsplit("/", 1)[0]
+    paths = batch_paths(root, [p.rsplit("batch=", 1)[1] for p in staged], "{root}/batch={batch}")
+    layouts, _, _ = route_files(spark, paths, ORDER_CONTRACT, unit="folder")
     raw = read_accepted(spark, layouts, ORDER_CONTRACT)
     return raw.select(batch_of().alias("batch"), *TEXT_COLUMNS)
 
@@ -92,6 +97,25 @@ def _header_errors_sql() -> str:
     return f"SELECT * FROM (VALUES {vals}) t(batch, rule, column_name, original_record)"
 
 
+def all_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run in which no batch passes the header check: an empty trusted table
+    with its columns, and the file-level rejects; the raw rows counted beside."""
+    out = trusted_run(spark, sf_dir, batches=list(REJECTED_BATCHES))
+    n = F.count(F.lit(1)).alias("n_rows")
+    return (out.trusted.agg(F.lit("trusted").alias("part"), n).union(out.quarantine.agg(F.lit("quarantine"), n))
+            .union(order_text(spark, sf_dir).agg(F.lit("raw"), n)))
+
+
+register(
+    "all_rejected",
+    f"""{TRUST_CTES}
+SELECT 'trusted' AS part, count(*) AS n_rows FROM accepted WHERE batch IN ({", ".join("'" + b + "'" for b in REJECTED_BATCHES)})
+UNION ALL SELECT 'quarantine', count(*) FROM ({_header_errors_sql()}) h
+UNION ALL SELECT 'raw', count(*) FROM raw""",
+    covers=("VAL-6",),
+)(all_rejected)
+
+
 def header_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File-level rejects: one row per rejected batch folder, header and rule
     (only the header check runs; no data row is read)."""
