@@ -41,7 +41,7 @@ def test_lexicon_takes_words_of_toxic_documents_only(spark):
 
 @pytest.fixture(scope="module")
 def scored(spark):
-    base = "/root/testdata/sf0.01"
+    base = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
     return t.toxicity_scores(docs, labels).cache(), labels
 
@@ -51,9 +51,9 @@ def test_held_out_accuracy(scored):
     rows = scores.join(labels, "doc_id").select("held_out", "score", "predicted", "toxic", "doc_id").collect()
     held = [r for r in rows if r["held_out"]]
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
-    assert sum(r["predicted"] == r["toxic"] for r in held) / len(held) >= 0.95
+    assert sum(r["predicted"] == r["toxic"] for r in held) / len(held) >= 0.97
     found = [r["predicted"] for r in held if r["toxic"]]
-    assert sum(found) / len(found) >= 0.7
+    assert sum(found) / len(found) >= 0.85
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustfold.llm.tables import bitmap_of, col, connected_components, in_bitmap, stored
+from trustfold.llm.tables import bitmap_of, checkpointed, col, connected_components, in_bitmap, stored
 from trustfold.llm.textarrays import (SPACED, U64, Chunk, chunk_of, gram_hashes, list_array, mix, run_hash, signed,
                                       slices, words_of)
 
@@ -345,7 +345,7 @@ def one_of_each(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     """
     plain = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
     base = _base(plain, words)
-    roots = links(plain.select("text"), words=words, num=num, den=den, block=block).checkpoint()
+    roots = checkpointed(links(plain.select("text"), words=words, num=num, den=den, block=block))
     copies = base.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("node")
     wanted, bits = _filter(copies.union(roots.select("node")).distinct())
     at = docs.columns.index(text_column)

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustfold.session import scratch_path
+from trustfold.session import scratch_path, scratch_root
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -16,6 +16,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder that all executors share (set here only where the cluster names none)."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def bitmap_of(ids: DataFrame, column: str, bits: int) -> np.ndarray:
     """A bitmap of ``bits`` bits (a power of two) in which the low bits of every id are set.
 
@@ -47,8 +53,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     costs at most a round.  The root is the smallest node of the component.
     No edges give no rows.
     """
-    e = (edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-         .distinct().checkpoint())
+    e = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _state(e)
     for _ in range(most_rounds):
         if before[0] == 0:
@@ -61,7 +66,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = (large.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                                                                F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("p"))
                  .select("p.a", "p.b").filter("a <> b").distinct())
-        e = small.checkpoint()
+        e = checkpointed(small)
         now = _state(e)
         if now == before:
             break

@@ -41,7 +41,7 @@ from trustfold.llm.tables import col, fresh, stored
 #: Words of abuse to start from (fixed values); the labels add what they show.
 SEEDS = frozenset("""
 idiot idiots moron morons stupid dumb loser losers scum trash garbage pathetic worthless disgusting clown fool fools jerk
-imbecile shut hate ugly liar coward vermin filth crap damn hell kill die
+imbecile shut hate ugly liar coward vermin filth crap damn hell kill
 idiota imbécil estúpido estúpida basura asqueroso odio mentiroso cobarde
 idiote imbécile stupide ordure dégoûtant nul menteur lâche haine
 dumm dummkopf trottel abschaum widerlich wertlos lügner feigling hass

@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trustfold.llm.tables import col, stored
+from trustfold.llm.tables import checkpointed, col, stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Absolute or protocol-relative link targets: the host part.
@@ -117,8 +117,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, *, rounds: int = 20, damping:
     steps = (edges.select(F.lit("trust").alias("walk"), "src", "dst", "weight")
              .union(edges.select(F.lit("distrust"), "dst", "src", "weight")))
     out = steps.groupBy("walk", "src").agg(F.sum("weight").alias("out"))
-    steps = steps.join(out, ["walk", "src"]).select("walk", "src", "dst", (F.col("weight") / F.col("out")).alias("share")).checkpoint()
-    seeds = seeds.checkpoint()
+    steps = checkpointed(steps.join(out, ["walk", "src"]).select("walk", "src", "dst", (F.col("weight") / F.col("out")).alias("share")))
+    seeds = checkpointed(seeds)
     rank = seeds.select("walk", "host", F.col("weight").alias("rank"))
     for i in range(rounds):
         moved = (rank.withColumnRenamed("host", "src").join(steps, ["walk", "src"])
@@ -129,7 +129,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, *, rounds: int = 20, damping:
                 .select("walk", "host", (F.col("weight") * F.coalesce("back", F.lit(1.0))).alias("rank")))
         rank = moved.union(home).groupBy("walk", "host").agg(F.sum("rank").alias("rank"))
         if (i + 1) % keep_every == 0 or i + 1 == rounds:
-            rank = rank.checkpoint()
+            rank = checkpointed(rank)
     return rank
 
 
@@ -141,17 +141,17 @@ def judge(pages: DataFrame, rules: DataFrame, *, id_column: str = "page_id", url
     urls = stored(rows, "urls")
     found = stored(ruled(urls, rules), "ruled")
     counted = urls.filter("host <> ''").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).join(found, ["host", "path"], "left")
-    per_host = (counted.groupBy("host").agg(F.sum("n").alias("n"), *(
-        F.sum(F.when(F.col("rule_verdict") == v, F.col("n")).otherwise(0)).alias(v) for v in ("allow", "block"))).checkpoint())
+    per_host = checkpointed(counted.groupBy("host").agg(F.sum("n").alias("n"), *(
+        F.sum(F.when(F.col("rule_verdict") == v, F.col("n")).otherwise(0)).alias(v) for v in ("allow", "block"))))
     seeds = per_host.select("host", F.expr("stack(2, 'trust', allow / n, 'distrust', block / n) as (walk, weight)")).filter("weight > 0")
     sums = seeds.groupBy("walk").agg(F.sum("weight").alias("total"))
     seeds = seeds.join(sums, "walk").select("walk", "host", (F.col("weight") / F.col("total")).alias("weight"))
-    edges = host_edges(pages.select(host_of(url).alias("host"), col(html_column).cast("string").alias("html")), parent_weight).checkpoint()
+    edges = checkpointed(host_edges(pages.select(host_of(url).alias("host"), col(html_column).cast("string").alias("html")), parent_weight))
     rank = propagate(edges, seeds, rounds=rounds, damping=damping)
     ranks = (rank.groupBy("host").agg(*(F.sum(F.when(F.col("walk") == w, F.col("rank")).otherwise(0.0)).alias(w) for w in ("trust", "distrust"))))
     hosts = rank.select("host").distinct().count()
-    bad = ranks.select("host", "trust", "distrust", (
-        (F.col("distrust") >= ratio * F.col("trust")) & (F.col("distrust") * hosts >= floor)).alias("blocked")).checkpoint()
+    bad = checkpointed(ranks.select("host", "trust", "distrust", (
+        (F.col("distrust") >= ratio * F.col("trust")) & (F.col("distrust") * hosts >= floor)).alias("blocked")))
     return (urls.join(found, ["host", "path"], "left").join(bad, "host", "left")
             .select(F.col("id").alias(id_column), "host", "path", "rule",
                     F.coalesce("rule_verdict", F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),

@@ -53,10 +53,9 @@ def gram_hashes(points: np.ndarray, k: int) -> np.ndarray:
     return mix((sums[k:] - sums[:-k]) * powers(n - k + 1, True)) >> U64(64 - HASH_BITS)
 
 
-def chosen(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Positions chosen by winnowing over the grams of one text (or tile)."""
+def _least(hashes: np.ndarray, w: int) -> np.ndarray:
+    """For every window of w hashes the position of the smallest, the rightmost in a tie."""
     n = len(hashes)
-    w = min(window, n)
     # smallest hash first, then the largest position: both in one number
     least = (hashes << U64(64 - HASH_BITS)) | (_POSITION - np.arange(n, dtype=np.uint64))
     span = 1
@@ -65,10 +64,19 @@ def chosen(hashes: np.ndarray, window: int) -> np.ndarray:
         span *= 2
     if span < w:
         least = np.minimum(least[: n - w + 1], least[w - span : w - span + n - w + 1])
-    at = (_POSITION - (least & _POSITION)).astype(np.int64)
+    return (_POSITION - (least & _POSITION)).astype(np.int64)
+
+
+def _changes(at: np.ndarray) -> np.ndarray:
+    """Without the repetitions of neighbouring windows."""
     return at[np.concatenate([[True], at[1:] != at[:-1]])]
 
 
+def chosen(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Positions chosen by winnowing over the grams of one text (or tile)."""
+    return _changes(_least(hashes, min(window, len(hashes))))
+
+
 def winnow_one(points: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of one text; long texts in tiles that overlap by a window."""
     if not len(points):
@@ -115,18 +123,9 @@ def _together(texts, which, out, k, window) -> None:
     points = _points("".join(texts[i] for i in which))
     bounds = np.concatenate([[0], np.cumsum([len(texts[i]) for i in which])])
     hashes = gram_hashes(points, k)
-    n, w = len(hashes), window
-    least = (hashes << U64(64 - HASH_BITS)) | (_POSITION - np.arange(n, dtype=np.uint64))
-    span = 1
-    while 2 * span <= w:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < w:
-        least = np.minimum(least[: n - w + 1], least[w - span : w - span + n - w + 1])
-    at = (_POSITION - (least & _POSITION)).astype(np.int64)
+    at = _least(hashes, window)
     for i, lo, hi in zip(which, bounds[:-1].tolist(), bounds[1:].tolist()):
-        mine = at[lo : hi - k - w + 2]  # windows that lie in this text
-        mine = mine[np.concatenate([[True], mine[1:] != mine[:-1]])]
+        mine = _changes(at[lo : hi - k - window + 2])  # windows that lie in this text
         out[i] = mine - lo, hashes[mine]
 
 
