@@ -40,14 +40,14 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In,
-                                    InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, StringContains, StringEndsWith,
+                                    InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith,
                                     StringStartsWith, WriterCommitMessage)
 
 from trustfold.llm.tables import col
@@ -226,20 +226,26 @@ class Predicate:
     column: str
     kind: type
     value: object = None
+    negated: bool = False
 
     def __call__(self, row: dict) -> bool:
         v = row[self.column]
-        if self.kind is IsNull:
-            return v is None
-        return v is not None and (self.kind is IsNotNull or _TESTS[self.kind](v, self.value))
+        if self.kind in (IsNull, IsNotNull):
+            return (v is None) == ((self.kind is IsNull) != self.negated)
+        return v is not None and _TESTS[self.kind](v, self.value) != self.negated
 
 
 def predicate_of(f: Filter) -> Predicate | None:
-    if len(f.attribute) != 1 or f.attribute[0] not in (*HEADERS, "content_length"):
+    """The predicate of a filter on one header column, or of its negation; None for filters that Spark has to apply."""
+    if isinstance(f, Not):
+        inner = predicate_of(f.child)
+        return inner and replace(inner, negated=not inner.negated)
+    column = getattr(f, "attribute", ())
+    if len(column) != 1 or column[0] not in (*HEADERS, "content_length"):
         return None
     if type(f) in (IsNull, IsNotNull):
-        return Predicate(f.attribute[0], type(f))
-    return Predicate(f.attribute[0], type(f), f.value) if type(f) in _TESTS else None
+        return Predicate(column[0], type(f))
+    return Predicate(column[0], type(f), f.value) if type(f) in _TESTS else None
 
 
 # ---------------------------------------------------------------- source
