@@ -26,6 +26,7 @@ from trustfold.operators.quarantine import Run, union_all
 from trustfold.operators.report import profile_summary, rule_counts, table_counts
 from trustfold.plans.gold import build_gold
 from trustfold.plans.trusted import build_trusted
+from trustfold.session import discard
 from trustfold.sinks.tables import publish_ledger, read_ledger, replace_table
 
 
@@ -74,12 +75,15 @@ def run_batch(
     root = out_root.rstrip("/")
     ledger = ledger_path or f"{root}/quarantine"
     trusted_paths: dict[str, str] = {}
-    rejects = []
+    rejects, scratch = [], []
     for name, src in sources.items():
         out = build_trusted(spark, list(src.paths), src.contract, run, unit=src.unit)
         trusted_paths[name] = replace_table(out.trusted, f"{root}/trusted/{name}")
         rejects.append(out.quarantine)
+        scratch.append(out.scratch)
     publish_ledger(union_all(rejects), ledger, run_id=run.run_id)
+    for folder in scratch:  # trusted rows and rejects are written
+        discard(spark, folder)
 
     gold_paths: dict[str, str] = {}
     for name, src in sources.items():

@@ -35,7 +35,7 @@ from trustfold.operators.quarantine import (
     union_all,
 )
 from trustfold.operators.strict_types import FAILED, tag_failures, typed_projection
-from trustfold.session import materialize, scratch_path
+from trustfold.session import discard, materialize, scratch_path
 from trustfold.sources.batches import ORIGIN, empty_batch, read_headers, read_layout
 
 
@@ -47,6 +47,7 @@ class TrustedOutput:
     file_errors: DataFrame  # source_file (file or folder), rule, column, header
     tagged: DataFrame  # materialised: distinct rows + __versions + __failed_rules
     raw: DataFrame  # accepted files as read (lazy; re-reads the files when used)
+    scratch: str  # folder of the tagged rows; discard it once both outputs are written
 
 
 def route_files(spark: SparkSession, paths: list[str], contract: Contract, unit: str = "file"):
@@ -96,6 +97,7 @@ def build_trusted(spark: SparkSession, paths: list[str], contract: Contract, run
     tagged = tag_failures(tagged, contract.types, int_policy=contract.int_policy,
                           prefix=contract.type_rule_prefix)
     tagged = materialize(tagged, path=f"{root}/tagged")
+    discard(spark, f"{root}/collapsed")  # all that follows reads the tagged rows
 
     cols = list(contract.columns) + [ORIGIN]
     single = F.col("__versions") == 1
@@ -111,4 +113,4 @@ def build_trusted(spark: SparkSession, paths: list[str], contract: Contract, run
     type_rejects = from_rows(bad_types, F.col("__rule"), run, key=contract.key, origin=ORIGIN)
     files = from_file_errors(file_errors, run)
     quarantine = union_all([files, conflicts, type_rejects])
-    return TrustedOutput(trusted, quarantine, verdicts, file_errors, tagged, raw)
+    return TrustedOutput(trusted, quarantine, verdicts, file_errors, tagged, raw, root)

@@ -50,6 +50,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([scratch_root(spark), *segments])
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more (through Hadoop's
+    file system, so on any store; a missing folder is fine)."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
