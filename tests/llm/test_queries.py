@@ -29,7 +29,8 @@ def test_every_row_comes_back(spark, sf, name):
     assert sorted(r[key] for r in out.select(key).collect()) == want
 
 
-def test_pipeline_stages(spark, sf):
+def test_pipeline_stages(spark):
+    sf = "/root/testdata/sf0.01"  # enough labels to tell toxic from clean
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     seen = [docs]
     for name, stage in corpus_pipeline.STAGES:

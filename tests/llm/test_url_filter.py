@@ -56,19 +56,17 @@ def test_edges_of_links_and_domains(spark):
 
 
 def walk(edges, seeds, rounds, damping):
-    rank = dict(seeds)
+    home = {h: (1 - damping) * s for h, s in seeds.items()}
+    rank = home
     for _ in range(rounds):
-        new = {}
+        new = dict(home)
         for h, r in rank.items():
             out = [(d, w) for (s, d), w in edges.items() if s == h]
             total = sum(w for _, w in out)
             for d, w in out:
                 new[d] = new.get(d, 0) + damping * r * w / total
-        back = 1 - sum(new.values())
-        for h, s in seeds.items():
-            new[h] = new.get(h, 0) + s * back
         rank = new
-    return rank
+    return {h: r / sum(rank.values()) for h, r in rank.items()}
 
 
 @pytest.mark.parametrize("rounds", [1, 7])

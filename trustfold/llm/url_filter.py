@@ -19,9 +19,9 @@ Hosts without a rule's word are judged by the graph of hosts:
 * a host is blocked when its distrust is at least ``ratio`` times its trust
   and at least ``floor`` times the mean over all hosts.
 
-The ranks are ``rounds`` rounds of joins and grouped sums over distinct
-edges, both walks in one frame (column ``walk``), with a checkpoint every
-few rounds.  A host with a third of all pages is one row after the first
+The ranks are ``rounds`` rounds of one join and one grouped sum over
+distinct edges, both walks in one frame (column ``walk``), each round
+checkpointed.  A host with a third of all pages is one row after the first
 grouped count, which is made before any shuffle.  DataFrame functions only.
 
 Cases: a null url or one without ``://`` has an empty host and path, fits no
@@ -108,29 +108,26 @@ def host_edges(pages: DataFrame, parent_weight: float) -> DataFrame:
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, rounds: int = 20, damping: float = 0.85, keep_every: int = 5) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, *, rounds: int = 20, damping: float = 0.85) -> DataFrame:
     """Personalised PageRank of both walks: (walk, host, rank); seeds are (walk, host, weight), summing to 1 a walk.
 
-    ``trust`` follows the edges, ``distrust`` goes against them.  What a host
-    without an edge of its walk would pass on returns to the seeds.
+    ``trust`` follows the edges, ``distrust`` goes against them.  A round is
+    ``(1 - damping) * seeds + damping * moved``; at the end each walk is
+    scaled to 1, which is where sending the rank of hosts without an edge
+    back to the seeds ends, too.  Each round is one join and one grouped sum,
+    checkpointed, so the plan stays small however many rounds there are.
     """
     steps = (edges.select(F.lit("trust").alias("walk"), "src", "dst", "weight")
              .union(edges.select(F.lit("distrust"), "dst", "src", "weight")))
     out = steps.groupBy("walk", "src").agg(F.sum("weight").alias("out"))
-    steps = checkpointed(steps.join(out, ["walk", "src"]).select("walk", "src", "dst", (F.col("weight") / F.col("out")).alias("share")))
-    seeds = checkpointed(seeds)
-    rank = seeds.select("walk", "host", F.col("weight").alias("rank"))
-    for i in range(rounds):
-        moved = (rank.withColumnRenamed("host", "src").join(steps, ["walk", "src"])
-                 .select("walk", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank")))
-        moved = moved.groupBy("walk", "host").agg(F.sum("rank").alias("rank"))
-        back = moved.groupBy("walk").agg((1 - F.sum("rank")).alias("back"))  # a row a walk
-        home = (seeds.join(back, "walk", "left")
-                .select("walk", "host", (F.col("weight") * F.coalesce("back", F.lit(1.0))).alias("rank")))
-        rank = moved.union(home).groupBy("walk", "host").agg(F.sum("rank").alias("rank"))
-        if (i + 1) % keep_every == 0 or i + 1 == rounds:
-            rank = checkpointed(rank)
-    return rank
+    steps = checkpointed(steps.join(out, ["walk", "src"]).select("walk", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out")).alias("share")))
+    home = checkpointed(seeds.select("walk", "host", (F.col("weight") * (1 - damping)).alias("rank")))
+    rank = home
+    for _ in range(rounds):
+        moved = rank.join(steps, ["walk", "host"]).select("walk", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"))
+        rank = checkpointed(moved.union(home).groupBy("walk", "host").agg(F.sum("rank").alias("rank")))
+    total = rank.groupBy("walk").agg(F.sum("rank").alias("total"))  # a row a walk
+    return rank.join(total, "walk").select("walk", "host", (F.col("rank") / F.col("total")).alias("rank"))
 
 
 def judge(pages: DataFrame, rules: DataFrame, *, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
