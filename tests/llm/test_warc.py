@@ -92,6 +92,31 @@ def test_members_are_ordinary_gzip_and_foreign_archives_are_read(spark, tmp_path
     assert [bytes(r["payload"]) for r in read().filter("record_type = 'warcinfo'").collect()] == [b"abc", b"abc"]
 
 
+def test_gzip_members_of_many_records_and_of_parts_of_records(spark, tmp_path):
+    records = [warc.record_bytes(row("revisit" if i % 5 == 4 else "response", i, os.urandom(i * 700) + b"\r\n\r\nWARC/1.1\r\n" * i)) for i in range(40)]
+    whole = b"".join(records)
+    blocks = [gzip.compress(whole[at : at + 3001]) for at in range(0, len(whole), 3001)] + [gzip.compress(b"")]
+    mixed = gzip.compress(b"".join(records[:7])) + b"".join(map(warc.gzip_member, records[7:20])) + gzip.compress(b"".join(records[20:])[:-4])
+    want = [warc.split_http(b, h) for _, h, b in warc._plain_records(io.BytesIO(whole), lambda r: True)]
+    for packed in (gzip.compress(whole), b"".join(blocks), mixed):
+        read = lambda wanted: [(r["record_id"], warc.split_http(b, h)) for r, h, b in warc._gzip_records(io.BytesIO(packed), wanted)]  # noqa: B023, E731
+        assert read(lambda r: True) == [(f"<urn:record:{i}>", w) for i, w in enumerate(want)]
+        assert read(lambda r: r["record_id"] == "<urn:record:33>") == [("<urn:record:33>", want[33])]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(whole))
+    warc.register(spark)
+    got = spark.read.format("warc").load(str(tmp_path)).filter("record_type = 'response'").select(F.octet_length("payload")).collect()
+    assert sorted(r[0] for r in got) == sorted(n for i, (n, _) in enumerate(want) if i % 5 != 4)
+
+
+def test_a_record_that_breaks_off_ends_with_its_member():
+    records = [warc.record_bytes(row("response", i, b"p" * 9000)) for i in range(3)]
+    packed = gzip.compress(records[0][:-1000]) + gzip.compress(records[1]) + gzip.compress(records[2][:30]) + gzip.compress(records[2])
+    got = [(r["record_id"], len(warc.split_http(b, h)[1])) for r, h, b in warc._gzip_records(io.BytesIO(packed), lambda r: True)]
+    assert got == [("<urn:record:0>", 8004), ("<urn:record:1>", 9000), ("<urn:record:2>", 9000)]
+    with pytest.raises(ValueError, match="no WARC record"):
+        list(warc._gzip_records(io.BytesIO(gzip.compress(records[0] + b"something else")), lambda r: True))
+
+
 def test_files_without_a_commit_are_not_read(spark, pages):
     warc.register(spark)
     path = scratch_path(spark, "warc")

@@ -12,9 +12,10 @@ Reading: the plan packs whole files into partitions of about
 date, digests, length) are pushed down.  Of each record only the headers
 are inflated and parsed first; a record that the filters refuse is stepped
 over without inflating its payload (by the length in the member's header, by
-Content-Length in plain files; foreign members are inflated to their end and
-thrown away).  Foreign archives (``.warc``, ``.warc.gz`` of any writer) need
-no manifest.
+Content-Length in plain files; in foreign members it is inflated and thrown
+away).  Foreign archives (``.warc``, ``.warc.gz`` of any writer) need no
+manifest; their gzip members may hold any number of records (``gzip
+file.warc`` makes one of all), or parts of records.
 
 A response record holds an HTTP message: its head, then the payload.  A
 revisit holds the head only (identical payload, WARC 1.1), which still tells
@@ -126,18 +127,29 @@ def split_http(block: bytes, headers: dict[str, str]) -> tuple[int, bytes]:
     return len(payload), payload
 
 
-class _Member:
-    """A gzip member read bit by bit: ``upto`` inflates only as far as asked."""
+class _Members:
+    """The gzip members of a file as one run of data, inflated only as far as asked; ``data`` is what comes next.
+
+    A member may hold any number of records, and a record may run on into
+    the next member.  It ends with its member, however short, if the next
+    one begins with a record.
+    """
 
     def __init__(self, file):
-        self.file, self.begin = file, file.tell()
+        self.file, self.data, self.ahead = file, bytearray(), bytearray()  # ahead: of the next member, behind a record that broke off
+        self.open()
+
+    def open(self) -> None:
+        """Read the header of the member that begins here."""
+        file = self.file
+        self.begin, self.total, self.inflate = file.tell(), None, zlib.decompressobj(-15)
         head = file.read(10)
         self.ended = len(head) < 10
         if self.ended:
             return
         if head[:3] != b"\x1f\x8b\x08":
             raise ValueError("not a gzip member")
-        self.total, flags = None, head[3]
+        flags = head[3]
         if flags & 4:
             extra = file.read(struct.unpack("<H", file.read(2))[0])
             while len(extra) >= 4:
@@ -151,46 +163,91 @@ class _Member:
                     pass
         if flags & 2:
             file.read(2)
-        self.inflate, self.data = zlib.decompressobj(-15), b""
+
+    def inflated(self, size: int) -> bytes:
+        """Some more of this member; nothing at its end."""
+        out = b""
+        while not out and not self.inflate.eof and (raw := self.file.read(size)):
+            out = self.inflate.decompress(raw)
+        return out
 
     def more(self, size: int = 4096) -> bool:
-        if self.inflate.eof:
+        """Inflate some more; False at the file's end and before a member that begins with a record."""
+        if self.ended or self.ahead:
             return False
-        raw = self.file.read(size)
-        if not raw:
+        if out := self.inflated(size):
+            self.data += out
+            return True
+        while not out:
+            self.file.seek(self.file.tell() - len(self.inflate.unused_data) + 8)
+            self.open()
+            if self.ended:
+                return False
+            out = self.inflated(size)
+        while len(out) < 5 and (added := self.inflated(size)):
+            out += added
+        if out[:5] == b"WARC/":
+            self.ahead += out
             return False
-        self.data += self.inflate.decompress(raw)
+        self.data += out
         return True
 
+    def record(self) -> bool:
+        """Go to where the next record begins; False if there is none."""
+        while True:
+            n = 0
+            while n < len(self.data) and self.data[n] in b"\r\n":
+                n += 1
+            del self.data[:n]
+            if len(self.data) >= 5 or not self.more():
+                if self.data or not self.ahead:
+                    break
+                self.data, self.ahead = self.ahead, bytearray()
+        if self.data[:5] != b"WARC/"[: len(self.data)]:
+            raise ValueError(f"no WARC record where one should begin, in the gzip member at {self.begin}")
+        return len(self.data) > 0
+
     def until(self, mark: bytes) -> int:
-        while (at := self.data.find(mark)) < 0 and self.more():
-            pass
+        begin = 0
+        while (at := self.data.find(mark, begin)) < 0:
+            begin = max(0, len(self.data) - len(mark) + 1)
+            if not self.more():
+                break
         return at
 
-    def upto(self, size: int) -> bytes:
-        while len(self.data) < size and self.more(1 << 16):
+    def upto(self, begin: int, end: int) -> bytes:
+        while len(self.data) < end and self.more(1 << 16):
             pass
-        return self.data[:size]
+        return bytes(memoryview(self.data)[begin:end])
 
-    def leave(self) -> None:
-        """Go to the next member, by this one's known length or by inflating the rest."""
-        if self.total is not None:
+    def leave(self, size: int) -> None:
+        """Step over a record's bytes: by the known length of a member of this writer, which holds one record, or by inflating them."""
+        if self.total is not None and not self.ahead:
             self.file.seek(self.begin + self.total)
+            self.data.clear()
+            self.open()
             return
-        while self.more(1 << 16):
-            self.data = b""
-        self.file.seek(self.file.tell() - len(self.inflate.unused_data) + 8)
+        while len(self.data) < size:
+            size -= len(self.data)
+            self.data.clear()
+            if not self.more(1 << 16):
+                return
+        del self.data[:size]
 
 
 def _gzip_records(file, wanted) -> Iterator[tuple[dict, dict, bytes]]:
-    while not (member := _Member(file)).ended:
-        end = member.until(b"\r\n\r\n")
-        if end >= 0:
-            headers = parse_headers(member.data[:end])
-            row = header_row(headers)
-            if wanted(row):
-                yield row, headers, member.upto(end + 4 + row["content_length"])[end + 4 :]
-        member.leave()
+    members = _Members(file)
+    while members.record():
+        end = members.until(b"\r\n\r\n")
+        if end < 0:  # broke off among its headers
+            members.leave(len(members.data))
+            continue
+        headers = parse_headers(bytes(members.data[:end]))
+        row = header_row(headers)
+        size = end + 4 + row["content_length"]
+        if wanted(row):
+            yield row, headers, members.upto(end + 4, size)
+        members.leave(size)
 
 
 def _plain_records(file, wanted) -> Iterator[tuple[dict, dict, bytes]]:
