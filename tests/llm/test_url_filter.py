@@ -29,6 +29,12 @@ def test_hosts_and_paths(spark):
     assert [(r["h"], r["p"]) for r in df.collect()] == [split(u) for u in URLS]
 
 
+def test_a_later_scheme_is_no_path(spark):
+    urls = ["http://x.net?to=a://b/es/1", "http://x.net#a://b/es/1", "http://x.net/?to=a://b/es/1", "http://?a://b/es/1"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string").select("u", host_of(spark_col("u")).alias("h"), path_of(spark_col("u")).alias("p"))
+    assert [(r["h"], r["p"]) for r in df.collect()] == [split(u) for u in urls] == [("x.net", ""), ("x.net", ""), ("x.net", "/"), ("", "")]
+
+
 def spark_col(name):
     from pyspark.sql import functions as F
 

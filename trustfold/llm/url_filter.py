@@ -72,7 +72,8 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    # the path may be empty, or the match would go on to a later ://
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*((?:/[^?#]*)?)", 1), F.lit(""))
 
 
 def suffixes(host: Column) -> Column:
