@@ -24,6 +24,17 @@ def test_features_of_small_texts():
     assert len(t.features("😀 " * 5, {})) == len(t.FEATURES)
 
 
+@pytest.mark.parametrize("text", ["i.d.i.o.t", "you i-d-i-o-t", "i*d*i*o*t", "s c u m!", "so d.u m-b"])
+def test_letters_apart_by_any_mark_are_seen(text):
+    f = named(text)
+    assert f["spaced_letters"] * len(t._WORD.findall(text)) > 0
+
+
+@pytest.mark.parametrize("text", ["a.b", "e.g. this", "well-known u.s. word", "a b c"])
+def test_few_letters_apart_are_none(text):
+    assert named(text)["spaced_letters"] == 0
+
+
 def test_reader_tells_the_same_with_a_full_memory(monkeypatch):
     texts = ["you idiot, you", "fine words here", "idiot", "you idiot, you"]
     free = t.Reader({})

@@ -87,7 +87,7 @@ class Reader:
         self.learned, self.tokens = learned, {}
 
     def _token(self, token: str) -> tuple:
-        """(words, letters in them, second person, seed, learned, weight, obfuscated, masked, single letter) of a lower-case token."""
+        """(words, letters in them, second person, seed, learned, weight, obfuscated, masked) of a lower-case token."""
         words = _WORD.findall(token)
         second = seed = known = obfuscated = masked = 0
         weight = 0.0
@@ -105,7 +105,7 @@ class Reader:
                 weight = max(weight, value)
             obfuscated += plain != w and bool(bad or value)
         told = (second, seed, known, weight, obfuscated, masked) if second or seed or known or masked else None
-        return len(words), sum(map(len, words)), told, len(token) == 1 and token.isalpha()
+        return len(words), sum(map(len, words)), told
 
     def __call__(self, text: str | None) -> list[float]:
         """The values of FEATURES for one whole text (null counts as empty)."""
@@ -119,7 +119,7 @@ class Reader:
         tokens = text.lower().split()
         counts = Counter(tokens)
         known = self.tokens
-        n = size = second = seed = shown = obfuscated = masked = single = 0
+        n = size = second = seed = shown = obfuscated = masked = 0
         weight = top = 0.0
         hot = False
         for token, c in counts.items():
@@ -130,7 +130,6 @@ class Reader:
                     known[token] = told
             n += c * told[0]
             size += c * told[1]
-            single += c if told[3] else 0
             if told[2]:
                 you, bad, value, w, hidden, mask = told[2]
                 second += c * you
@@ -144,7 +143,7 @@ class Reader:
         near = self._near(tokens) if hot and second else 0
         shout = sum(t.isupper() and len(t) > 2 for t in text.split()) if upper > 2 else 0
         chars, letters, n, m = len(text), max(1, lower + upper), max(1, n), max(1, len(tokens))
-        apart = len(_LETTERS.findall(text)) if single > 3 else 0
+        apart = len(_LETTERS.findall(text))
         return [seed / n, float(seed > 0), shown / n, float(shown > 0), weight / n, top, near / n, second / n,
                 upper / letters, shout / m, other / chars, digit / chars, text.count("!") / n, text.count("?") / n,
                 obfuscated / n, masked / n, apart / n, stretched / chars, max(counts.values(), default=0) / m, len(counts) / m,
