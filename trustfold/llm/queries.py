@@ -84,6 +84,29 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(documents(spark, sf_dir, "doc_id", "text"), items, window=10)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from trustfold.llm.sentencepieces import digests, pieces_and_texts
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return digests(pieces_and_texts(documents(spark, sf_dir, "doc_id", "text"), model))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.filter_audit import filter_audit
+
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return filter_audit(documents(spark, sf_dir, "doc_id", "text", "source"), labels)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trustfold.llm.merkle import audited
+
+    return audited(documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,5 +124,8 @@ QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op8_mixing": (op8_mixing, None),
     "op9_warc": (op9_warc, oracles.WARC),
     "op10_decontaminate": (op10_decontaminate, oracles.DECONTAMINATE),
+    "op11_sentencepiece": (op11_sentencepiece, None),
+    "op12_filter_audit": (op12_filter_audit, None),
+    "op13_merkle": (op13_merkle, None),
     "pipeline": (pipeline, None),
 }

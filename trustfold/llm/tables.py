@@ -43,6 +43,22 @@ def in_bitmap(bitmap: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
     return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
+def frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows of ``counts`` from some value of ``column`` (positive counts) on, so that there are at most ``most``.
+
+    The bound is found on a histogram of logarithmic steps, so nothing is sorted and no row goes to the driver.
+    """
+    step = F.floor(8 * F.log2(col(column))).cast("int")  # at most 8 * 63 steps
+    sizes = {r["step"]: r["c"] for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    least, room = max(sizes, default=0) + 1, most
+    for s in sorted(sizes, reverse=True):
+        room -= sizes[s]
+        if room < 0:
+            break
+        least = s
+    return counts.filter(step >= least)
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Components of the graph with ``edges`` (a, b): one row (node, root) per node that has an edge.
 
