@@ -13,9 +13,9 @@ each of the k! * k steps of all orders depends on the mask alone, so
 * the sum is unpacked.  A field counts documents of the part at most once,
   and Spark's counts are below 2**63, so no field runs into the next.
 
-Masks are computed by DataFrame functions, and equal (part, mask, marks) rows
-are counted before the integers are summed, so a part of any size reaches
-its task as at most 2**k * 4 rows.
+Masks are computed in one pass over the texts, and equal (part, mask, marks)
+rows are counted before the integers are summed, so a part of any size
+reaches its task as at most 2**k * 4 rows.
 
 Duplicates need no window over a group of equal texts: rows are counted by
 (text digest, part, mask, marks, id), then each text's smallest id is taken
@@ -30,30 +30,46 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable, Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trustfold.llm.tables import col
 
-_BLANK = " \t\n\x0b\f\r"
 KEPT, REMOVED, REDUNDANT, GOOD_LOST, TOXIC_LOST = range(5)
 _COUNTS = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
 
 
-def text_conditions(text: Column) -> dict[str, Column]:
-    """The failure conditions of filters A to D."""
-    inner = F.btrim(text, F.lit(_BLANK))
-    words = F.split(inner, "[ \\x09-\\x0D]+")
-    some = F.octet_length(inner) > 0
-    n = F.when(some, F.size(words)).otherwise(0)
-    distinct = F.when(some, F.size(F.array_distinct(words))).otherwise(0)
-    capitals = F.char_length(text) - F.char_length(F.regexp_replace(text, "[A-Z]+", ""))
-    return {"A": n < 50, "B": 100 * distinct < 65 * n, "C": 100 * capitals > 5 * F.char_length(text), "D": text.rlike("[#$%&*|]")}
+#: What filters C and D count, as bytes of UTF-8.
+_CAPITALS, _SYMBOLS = bytes(range(65, 91)), b"#$%&*|"
+
+
+def text_mask(text: str, raw: bytes) -> int:
+    """The failures of filters A to D (bits 0 to 3); ``raw`` is the text in UTF-8."""
+    words = raw.split()  # at ASCII white space: 0x20 and 0x09 to 0x0D
+    n = len(words)
+    capitals = len(raw) - len(raw.translate(None, _CAPITALS))
+    return ((n < 50) | (100 * len(set(words)) < 65 * n) << 1 | (100 * capitals > 5 * len(text)) << 2
+            | (len(raw.translate(None, _SYMBOLS)) < len(raw)) << 3)
+
+
+def _marked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, part, digest of the text, mask); one text at a time is held beside its batch."""
+    for b in batches:
+        keys, masks = [], []
+        for value in b.column(2):
+            text = value.as_py() or ""
+            raw = text.encode()
+            keys.append(hashlib.sha256(raw).digest())
+            masks.append(text_mask(text, raw))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.binary()), pa.array(masks, pa.int32())],
+                                         names=["id", "part", "text_key", "mask"])
 
 
 def orders_of(letters: str) -> list[str]:
@@ -125,11 +141,10 @@ def interactions(masks: DataFrame, letters: str) -> DataFrame:
 
 def failure_masks(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", part_column: str = "source") -> DataFrame:
     """(part, mask, good, toxic, n) of documents under the filters A to E (E: a copy of a smaller id's text)."""
-    text = F.coalesce(col(text_column).cast("string"), F.lit(""))
-    conditions = text_conditions(text)
-    mask = sum((c.cast("int") * (1 << i) for i, c in enumerate(conditions.values())), F.lit(0))
-    rows = docs.select(col(id_column).alias("id"), F.coalesce(col(part_column).cast("string"), F.lit("")).alias("part"),
-                       F.unhex(F.sha2(text, 256)).alias("text_key"), mask.alias("mask"))
+    texts = docs.select(col(id_column).alias("id"), F.coalesce(col(part_column).cast("string"), F.lit("")).alias("part"),
+                        col(text_column).cast("string").alias("text"))
+    rows = texts.mapInArrow(_marked, T.StructType([texts.schema["id"], T.StructField("part", T.StringType()), T.StructField("text_key", T.BinaryType()),
+                                                   T.StructField("mask", T.IntegerType())]))
     marks = (labels.filter(col(id_column).isNotNull()).groupBy(col(id_column).alias("id"))
              .agg(F.max(F.coalesce(col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(col("toxic") == 1, F.lit(False))).alias("toxic")))
     marked = rows.join(marks, "id", "left").fillna(False, ["good", "toxic"])
@@ -144,7 +159,7 @@ def failure_masks(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_i
     split = told.withColumn("own", own).select("part", "mask", "good", "toxic", F.explode(F.array(
         F.struct(F.lit(0).alias("copy"), F.col("own").alias("n")),
         F.struct(F.lit(1).alias("copy"), (F.col("n") - F.col("own")).alias("n")))).alias("x")).filter("x.n > 0")
-    return split.select("part", (F.col("mask") + F.col("x.copy") * (1 << len(conditions))).alias("mask"), "good", "toxic", F.col("x.n").alias("n"))
+    return split.select("part", (F.col("mask") + F.col("x.copy") * 16).alias("mask"), "good", "toxic", F.col("x.n").alias("n"))
 
 
 def filter_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
