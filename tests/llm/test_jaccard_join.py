@@ -3,8 +3,9 @@
 import random
 
 import numpy as np
+import pytest
 
-from trustfold.llm.jaccard_join import jaccard_components, links_between, one_of_each
+from trustfold.llm.jaccard_join import _cells, jaccard_components, links_between, one_of_each
 from trustfold.llm.tables import connected_components
 
 
@@ -99,3 +100,40 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(50)}}
+
+
+def copies_of_sets(cells, block):
+    return sum(r["size"] for r in cells.selectExpr("ceil(size / %d) as size" % block).collect())
+
+
+@pytest.mark.parametrize("quoted", [2, 3, 6])
+def test_a_chain_of_quotes_costs_in_proportion(spark, quoted):
+    """Document i holds passages i to i + quoted - 1, so all are connected but none are alike."""
+    cost = {}
+    for n in (400, 1600):
+        rows = [(i, i + j) for i in range(n) for j in range(quoted)]
+        member = spark.createDataFrame(rows, "node long, passage long").selectExpr("node", "explode(array(passage * 10, passage * 10 + 1)) as token")
+        cells = _cells(member, 64)
+        cost[n] = copies_of_sets(cells, 64)
+        inside = {}
+        for r in cells.collect():
+            inside.setdefault((r["kind"], r["cell"]), set()).add(r["node"])
+        groups = [set(range(max(0, p - quoted + 1), min(n - 1, p) + 1)) for p in range(n + quoted - 1)]
+        assert all(any(g <= c for c in inside.values()) for g in groups[:: n // 40] if len(g) > 1)
+    assert cost[1600] <= 4.5 * cost[400]
+
+
+def test_a_chain_of_quotes_and_its_copies_link_as_all_pairs_do(spark):
+    rng = random.Random(8)
+    passages = [" ".join(f"p{rng.randrange(400)}" for _ in range(12)) for _ in range(140)]
+    rows = [(i, passages[i] + " " + passages[i + 1]) for i in range(139)]
+    rows += [(1000 + i, rows[i][1].rsplit(" ", 1)[0] + " changed") for i in range(0, 139, 7)]
+    rows += [(2000 + i, " ".join(passages[:4]) + f" end{i}") for i in range(40)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=2, num=80, den=100, block=16)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == expected(rows, 2, 80, 100)
+
+
+def test_dense_groups_stay_one_cell(spark):
+    rows = [(n, t) for n in range(200) for t in range(30) if (n * 7 + t) % 11]
+    cells = _cells(spark.createDataFrame(rows, "node long, token long"), 64).collect()
+    assert len({(r["kind"], r["cell"]) for r in cells}) == 1 and len(cells) == 200

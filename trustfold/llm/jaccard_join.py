@@ -14,14 +14,24 @@ Candidates must share such a prefix shingle under three orders:
 2. order B, ascending hash, and order C, descending hash, need no counting.
 
 Documents with equal sets are one *node* from the start (64-bit digest of
-the set), so exact copies never multiply anything.  Nodes that share a
-prefix shingle under A are joined by stars (one edge to the smallest node
-of each shingle, never all pairs), and the components of these stars are
-the *cells*: every link lies in one cell.  Cells go to tasks in blocks of
-at most ``block`` nodes (larger cells as pairs of blocks), where the
-filters A, B and C are intersected before the exact comparison of whole
-sets; a block gives back a spanning forest of its links, at most one edge
-for each node.  The components of those edges are the result.
+the set), so exact copies never multiply anything.  The nodes that share a
+prefix shingle under A are that shingle's *group*; shingles with the same
+nodes (all those of one quoted passage, say) count as one group.  A pair
+that may link lies in some group, but sending every whole set to every
+group would copy the sets of near copies dozens of times, and taking
+connected groups together would compare documents that share nothing with
+each other.  So groups become *cells* by what costs fewer copies of sets
+(``_cells``): connected groups are one cell if they have few nodes, or if
+that is cheaper than a cell per group; else the small groups are cells of
+their own and the larger ones are looked at again without them.  Every
+group lies whole in some cell, so no pair is lost, and a chain of documents
+each quoting the next costs in proportion to its length.
+
+Cells go to tasks in blocks of at most ``block`` nodes (larger cells as pairs
+of blocks), where the filters A, B and C are intersected before the exact
+comparison of whole sets; a block gives back a spanning forest of its
+links, at most one edge for each node.  The components of those edges are
+the result.
 
 Cases: null or wordless texts have the empty set, n_shingles 0 and link
 with nothing.  A text of fewer words than the shingle length has one
@@ -216,7 +226,7 @@ def _verify(num: int, den: int):
     """Links within each cell block; input sorted by cell block, output a spanning forest of each."""
 
     def forest(key, nodes):
-        _, bi, bj = key
+        bi, bj = key[2:]
         first = [x for x in nodes if x[1] == bi]
         second = None if bi == bj else [x for x in nodes if x[1] == bj]
         if not first or second == []:
@@ -240,11 +250,11 @@ def _verify(num: int, den: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, out = None, {}, []
         for b in batches:
-            cols = [b.column(i) for i in range(5)]
-            keys = list(zip(*(c.to_pylist() for c in cols[:3])))
-            ids, blks = cols[3].to_pylist(), cols[4].to_pylist()
+            cols = [b.column(i) for i in range(6)]
+            keys = list(zip(*(c.to_pylist() for c in cols[:4])))
+            ids, blks = cols[4].to_pylist(), cols[5].to_pylist()
             lists = []
-            for i in (5, 6):
+            for i in (6, 7):
                 c = b.column(i)
                 lists.append((c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)))
             for r, k in enumerate(keys):
@@ -279,24 +289,50 @@ def links(texts: DataFrame, *, words: int, num: int, den: int, block: int = 256)
                 .filter("short + size(l) > 0")
                 .select("node", F.expr("slice(l, 1, least(short, 0) + size(l)).token").alias("prefix")))
     prefixes = stored(prefixes, "prefixes")
-    member = prefixes.select("node", F.explode("prefix").alias("token"))
-    star = member.groupBy("token").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("token", "b")
-    cells = connected_components(member.join(star, "token").select(F.col("node").alias("a"), "b").distinct())
-
-    sizes = cells.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    placed = (cells.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-              .select("node", "root", "blocks", F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("blk")))
-    placed = stored(placed.join(prefixes, "node"), "cells")
-    wanted, bits = _filter(placed)
+    cells = _cells(prefixes.select("node", F.explode("prefix").alias("token")), block)
+    placed = cells.withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    placed = placed.withColumn("blk", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    wanted, bits = _filter(cells.select("node").distinct())
     sets = texts.mapInArrow(_wanted_sets("text", words, wanted, bits), T.StructType([_long("node"), T.StructField("shingles", T.ArrayType(T.LongType()))]))
-    to_check = (sets.join(placed, "node")
+    whole = sets.join(prefixes, "node")
+    to_check = (whole.join(placed, "node")
                 .withColumn("pair", F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(x, blk) as bi, greatest(x, blk) as bj))")))
-                .select("root", "pair.bi", "pair.bj", "node", "blk", "shingles", "prefix"))
-    found = (to_check.repartition("root", "bi", "bj").sortWithinPartitions("root", "bi", "bj")
+                .select("kind", "cell", "pair.bi", "pair.bj", "node", "blk", "shingles", "prefix"))
+    found = (to_check.repartition("kind", "cell", "bi", "bj").sortWithinPartitions("kind", "cell", "bi", "bj")
              .mapInArrow(_verify(num, den), T.StructType([_long("a"), _long("b")])))
     return connected_components(found)
 
 
+def _cells(member: DataFrame, block: int) -> DataFrame:
+    """Stored (kind, cell, node, size): cells that hold every group of ``member`` (node, token) whole, none of one node.
+
+    Copies of whole sets that a cell of n nodes costs: n for each of its
+    blocks, ceil(n / block).
+    """
+    def copies(n: str):
+        return F.col(n) * F.ceil(F.col(n) / block)
+
+    groups = member.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.min("node").alias("least")).filter("g > 1")
+    same = groups.groupBy("g", "x", "y", "least").agg(F.min("token").alias("token"))  # one token for each set of nodes
+    member = stored(member.join(same.select("token", "g", "least"), "token"), "groups")
+    cells, small, kind = None, 1, 0
+    while True:
+        roots = connected_components(member.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct())
+        cost = (member.filter("node = least").join(roots, "node").groupBy("root").agg(F.sum(copies("g")).alias("apart")))
+        sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+        verdict = sizes.join(cost, "root").withColumn("whole", (F.col("size") <= block) | (copies("size") <= F.col("apart")))
+        judged = stored(roots.join(verdict.select("root", "size", "whole"), "root"), "judged")
+        found = judged.filter("whole").select(F.lit(kind).alias("kind"), F.col("root").alias("cell"), "node", "size")
+        rest = member.join(judged.filter("not whole").select("node"), "node")
+        small *= 4
+        found = found.union(rest.filter(F.col("g") <= small).select(F.lit(kind + 1), "token", "node", "g"))
+        cells = found if cells is None else cells.union(found)
+        member, kind = stored(rest.filter(F.col("g") > small), "groups"), kind + 2
+        if member.isEmpty():
+            return stored(cells, "cells")
+
+
 def _filter(nodes: DataFrame):
     """A broadcast bitmap of the nodes, and its bits: 16 a node, within fixed bounds."""
     bits = 1 << min(28, max(20, (16 * nodes.count()).bit_length()))
