@@ -3,10 +3,11 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 
-from trustfold.llm.sentencepieces import Segmenter, chunks_of, digests, pieces_and_texts
+from trustfold.llm.sentencepieces import Segmenter, _unzip, _zip, chunks_of, digests, pieces_and_texts
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -35,6 +36,20 @@ def test_documents(spark, docs, model, head):
     assert got == {i: (ids, library.decode(ids)) for i, ids in want.items()}
 
 
+def test_ids_of_any_type_and_small_batches(spark, model):
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    rng = random.Random(2)
+    rows = [(f"id{i % 50}", "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 30)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "`the id` string, text string").repartition(3)
+    got = sorted((r["the id"], r["ids"]) for r in pieces_and_texts(df, model, id_column="the id", head_size=10, batch_bytes=150).collect())
+    assert got == sorted((i, library.encode(t)) for i, t in rows)
+
+
+def test_numbers_survive_packing():
+    for values in ([], [0], [0, 255, 256, 2**24 + 1, 2**32 - 1]):
+        assert _unzip(_zip(np.array(values, np.int64))).tolist() == values
+
+
 def test_digests(spark, model):
     library = sentencepiece.SentencePieceProcessor(model_proto=model)
     df = spark.createDataFrame([(1, "two words"), (2, None)], "doc_id long, text string")
@@ -46,8 +61,8 @@ def test_digests(spark, model):
 def test_odd_rows(odd, nothing, model):
     library = sentencepiece.SentencePieceProcessor(model_proto=model)
     want = sorted(((r["doc_id"], library.encode(r["text"] or "")) for r in odd.collect()), key=str)
-    for head in (0, 2, 1000):
-        got = pieces_and_texts(odd, model, head_size=head)
+    for head, size in ((0, 1), (2, 100_000), (1000, 8 << 20)):
+        got = pieces_and_texts(odd, model, head_size=head, batch_bytes=size)
         assert got.columns == ["doc_id", "ids", "decoded"]
         assert sorted(((r["doc_id"], r["ids"]) for r in got.collect()), key=str) == want
     assert pieces_and_texts(nothing, model).count() == 0

@@ -9,14 +9,19 @@ distinct chunk has to be segmented only once:
 1. the most frequent chunks (``head_size`` at most) are segmented in tasks and
    broadcast.  Which ones they are is read off every eighth row of each
    partition; that decides only which chunks need no shuffle;
-2. a document becomes a *body*, the head numbers of its chunks with holes for
-   the others, and one row (document, position, chunk) for every hole;
-3. the holes' rows are shuffled and sorted by chunk, so each distinct chunk
-   is one run of rows: it is segmented once and its ids go to all of them;
-4. bodies and holes meet by document, sorted by position, and are read as a
-   stream: a task holds one document at a time.  The ids are put together by
+2. documents are packed in batches of about ``batch_bytes``: a *body*, for each
+   chunk in order its number in the head or its place in the list of the
+   batch's other distinct chunks, and that list, dealt to buckets by hash;
+3. a chunk's bucket is the same in every batch and lies in one task, so each
+   distinct chunk is segmented once there, and the ids go back to the
+   batches that asked, in the order of the question;
+4. body and answers of a batch meet in one task, the ids are put together by
    position and decoded by the library.
 
+What is shuffled are packed blocks, some two bytes a chunk; neither texts nor
+rows of single chunks are.  Tasks hold a batch at a time, and of a bucket's
+table at most ``KEEP`` chunks (beyond that it begins anew).
+
 The first chunk of a text begins with the marker that the model puts before
 every text, so a chunk is encoded by giving the library the chunk without
 its first marker.
@@ -31,25 +36,26 @@ cross markers, or that changes texts before cutting them, is refused.
 
 from __future__ import annotations
 
-import hashlib
+import json
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustfold.llm.tables import col, frequent
+from trustfold.llm.tables import col, frequent, stored
 
 MARK = "▁"
-#: Distinct chunks that a task counts before it hands them on.
+#: Distinct chunks that a task holds: counted before it hands them on, segmented before it forgets them.
 KEEP = 300_000
-#: Rows (and ids) of a result batch, about.
-BATCH_ROWS, BATCH_IDS = 2_000, 1_000_000
+#: Ids of a result batch, about.
+BATCH_IDS = 1_000_000
 _CHUNK = re.compile(" ( *[^ ]*)")
 _PROBE = " a  béﬁ①\t\x00\U0001f600 "
 
@@ -94,173 +100,221 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield emptied()
 
 
-def _packed(ids: list[list[int]]) -> pa.Array:
-    return pa.array([np.array(i, "<i4").tobytes() for i in ids], pa.binary())
-
-
 def _segmented(model):
-    """(chunk, ids) of distinct chunks."""
+    """(chunk, n, ids) of distinct chunks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(model.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), _packed(segmenter.ids(b.column(0).to_pylist()))], names=["chunk", "data"])
+            ids = [np.array(i, "<i4").tobytes() for i in segmenter.ids(b.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], names=["chunk", "n", "data"])
 
     return run
 
 
-def _text_key(text: str | None) -> int:
-    return int.from_bytes(hashlib.blake2b((text or "").encode(), digest_size=8).digest(), "little", signed=True)
+def _zip(values: np.ndarray) -> bytes:
+    """Small non-negative numbers, compressed byte plane by byte plane behind their count."""
+    planes = np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unzip(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
+def _batches(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list[list[str]], pa.DataType]]:
+    """(ids, chunks of each text, type of the ids) of about ``limit`` bytes of text at a time, or of one text."""
+    ids, texts, size, kind = [], [], 0, pa.null()
+    for b in batches:
+        kind = b.column(0).type
+        for i, text in zip(b.column(0), b.column(1)):
+            text = text.as_py()
+            ids.append(i.as_py())
+            texts.append(chunks_of(text))
+            size += len(text or "") + 16
+            if size >= limit:
+                yield ids, texts, kind
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts, kind
+
+
+_BODY, _ASK, _ANSWER = 0, 1, 2
 
 
-def _holes(head):
-    """(id, key, pos, chunk) of every chunk outside the head."""
+def _pack(head, buckets: int, limit: int):
+    """Blocks (kind, place, batch, bucket, ids, data): a body and its questions, one a bucket, of every batch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = head.value
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                rows, keys, places, found = [], [], [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    here = [(p, c) for p, c in enumerate(chunks_of(text)) if c not in known]
-                    if here:
-                        rows += [i] * len(here)
-                        keys += [_text_key(text)] * len(here)
-                        places += [p for p, _ in here]
-                        found += [c for _, c in here]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), pa.array(keys, pa.int64()),
-                                                  pa.array(places, pa.int32()), pa.array(found, pa.string())], names=["id", "key", "pos", "chunk"])
+        task = TaskContext.get().partitionId()
+        for number, (ids, texts, kind) in enumerate(_batches(batches, limit)):
+            batch = (task << 32) + number
+            others: dict[str, int] = {}
+            codes, open_ = [], []
+            for chunks in texts:
+                for c in chunks:
+                    at = known.get(c)
+                    if at is None:
+                        codes.append(0)
+                        open_.append(others.setdefault(c, len(others)))
+                    else:
+                        codes.append(at + 1)
+            asked: list[list[str]] = [[] for _ in range(buckets)]
+            places = np.zeros(len(others), np.int64)  # in the answers, bucket after bucket
+            where = [crc32(c.encode()) % buckets for c in others]
+            for c, k in zip(others, where):
+                asked[k].append(c)
+            starts = np.concatenate([[0], np.cumsum([len(q) for q in asked])])
+            seen = starts[:-1].copy()
+            for j, k in enumerate(where):
+                places[j] = seen[k]
+                seen[k] += 1
+            parts = [_zip(np.array([len(c) for c in texts], np.int64)), _zip(np.array(codes, np.int64)), _zip(places[np.array(open_, np.int64)])]
+            body = b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+            rows = [(_BODY, batch % buckets, batch, -1, ids, body)]
+            rows += [(_ASK, k, batch, k, None, _question(q)) for k, q in enumerate(asked) if q]
+            yield _blocks(rows, kind)
 
     return run
 
 
-def _filled(model):
-    """The holes with the ids of their chunks; input sorted by chunk, each distinct chunk is segmented once."""
+def _question(chunks: list[str]) -> bytes:
+    raw = json.dumps(chunks, ensure_ascii=False).encode()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(model.value)
-        last, data = None, b""
-        for b in batches:
-            chunks = b.column(3).to_pylist()
-            new = list(dict.fromkeys(c for c in chunks if c != last))
-            table = dict(zip(new, (np.array(i, "<i4").tobytes() for i in segmenter.ids(new))))
-            if last is not None:
-                table[last] = data
-            out = [table[c] for c in chunks]
-            if chunks:
-                last, data = chunks[-1], out[-1]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, pa.binary())], names=["id", "key", "pos", "data"])
 
-    return run
+def _blocks(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(id_type), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                      names=["kind", "place", "batch", "bucket", "ids", "data"])
 
 
-def _bodies(head):
-    """(id, key, -1, body): the head numbers of a document's chunks, compressed behind their count."""
+def _answered(model, buckets: int):
+    """Questions turned into answers, each distinct chunk of a bucket segmented once; bodies pass."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = head.value
+        segmenter = Segmenter(model.value)
+        table: dict[str, list[int]] = {}
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                keys, data = [], []
-                for text in part.column(1).to_pylist():
-                    chunks = chunks_of(text)
-                    numbers = np.fromiter(map(known.get, chunks, repeat(-1)), "<i4", len(chunks)).tobytes()
-                    keys.append(_text_key(text))
-                    data.append(len(chunks).to_bytes(8, "little") + pa.compress(numbers, codec="zstd", asbytes=True))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.int64()), pa.array([-1] * len(keys), pa.int32()),
-                                                  pa.array(data, pa.binary())], names=["id", "key", "pos", "data"])
+            for at in range(b.num_rows):
+                row = b.slice(at, 1)
+                if row.column(0)[0].as_py() == _BODY:
+                    yield row
+                    continue
+                data = row.column(5)[0].as_py()
+                asked = json.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True))
+                if len(table) > KEEP:
+                    table.clear()
+                new = [c for c in asked if c not in table]
+                table.update(zip(new, segmenter.ids(new)))
+                ids = [table[c] for c in asked]
+                sizes = _zip(np.array([len(i) for i in ids], np.int64))
+                flat = _zip(np.array([x for i in ids for x in i], np.int64))
+                batch, bucket = row.column(2)[0].as_py(), row.column(3)[0].as_py()
+                yield _blocks([(_ANSWER, batch % buckets, batch, bucket, None, len(sizes).to_bytes(8, "little") + sizes + flat)],
+                              b.column(4).type.value_type)
 
     return run
 
 
-def _whole(body: bytes, holes: list[bytes], bounds: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """All ids of a document: the head's by number, the holes' in the order of their positions."""
-    n = int.from_bytes(body[:8], "little")
-    numbers = np.frombuffer(pa.decompress(body[8:], 4 * n, codec="zstd", asbytes=True), "<i4")
-    open_ = numbers < 0
-    if int(open_.sum()) != len(holes):
-        raise RuntimeError("a document and the rows of its holes do not fit together")
-    size = bounds[numbers + 1] - bounds[numbers]  # (of a hole: set below)
-    size[open_] = [len(h) // 4 for h in holes]
+def _flat_ids(numbers: np.ndarray, places: np.ndarray, head: tuple, tail: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, their number for each chunk); ``numbers`` has 0 for an open chunk, whose place in ``tail`` is the next of ``places``.
+
+    ``head`` and ``tail`` are (bounds, flat ids) of chunks by number.
+    """
+    open_ = numbers == 0
+    size = np.zeros(len(numbers), np.int64)
+    start = np.zeros(len(numbers), np.int64)
+    for mask, at, (bounds, _) in ((~open_, numbers[~open_] - 1, head), (open_, places, tail)):
+        start[mask] = bounds[at]
+        size[mask] = bounds[at + 1] - bounds[at]
     ends = np.cumsum(size)
-    source = np.repeat(np.where(open_, 0, bounds[numbers]) - (ends - size), size) + np.arange(ends[-1] if n else 0)
+    source = np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
     gap = np.repeat(open_, size)
     out = np.empty(len(source), np.int32)
-    out[~gap] = flat[source[~gap]]
-    out[gap] = np.frombuffer(b"".join(holes), "<i4")
-    return out
+    out[~gap] = head[1][source[~gap]]
+    out[gap] = tail[1][source[gap]]
+    return out, size
 
 
 def _assembled(model, head_ids):
-    """(id, ids, decoded) of documents; input sorted by id, key and position, the body (position -1) first."""
+    """(id, ids, decoded) of documents; input sorted by batch and bucket, the body (bucket -1) first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = Segmenter(model.value).library
-        bounds, flat = head_ids.value
-        key, bodies, holes, last = None, [], [], None
-        done: list[tuple] = []
-        ready = 0
-
-        def finish() -> None:
-            nonlocal ready
-            if key is None:
-                return
-            # equal rows bring their holes as often as their bodies
-            ids = _whole(bodies[0], holes[:: len(bodies)], bounds, flat)
-            row = (key[0], ids, library.decode(ids.tolist()))
-            done.extend([row] * len(bodies))
-            ready += len(ids) * len(bodies)
-
-        def emptied(kind: pa.DataType) -> pa.RecordBatch:
-            nonlocal ready
-            cuts = np.concatenate([[0], np.cumsum([len(d[1]) for d in done])])
-            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate([d[1] for d in done] or [np.zeros(0, np.int32)])))
-            out = pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], kind), lists, pa.array([d[2] for d in done], pa.string())], names=["id", "ids", "decoded"])
-            done.clear()
-            ready = 0
-            return out
-
-        kind = None
+
+        def results(body: tuple, answers: list[bytes], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+            ids, data = body
+            parts, at = [], 0
+            for _ in range(3):
+                n = int.from_bytes(data[at : at + 8], "little")
+                parts.append(_unzip(data[at + 8 : at + 8 + n]))
+                at += 8 + n
+            lengths, numbers, places = parts
+            sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for a in answers:
+                n = int.from_bytes(a[:8], "little")
+                sizes.append(_unzip(a[8 : 8 + n]))
+                flat.append(_unzip(a[8 + n :]))
+            bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+            if len(places) and int(places.max()) >= len(bounds) - 1:
+                raise RuntimeError("answers to a batch of documents are missing")
+            every, per_chunk = _flat_ids(numbers, places, head_ids.value, (bounds, np.concatenate(flat)))
+            ends = np.concatenate([[0], np.cumsum(per_chunk)])[np.concatenate([[0], np.cumsum(lengths)])]
+            first = 0
+            while first < len(ids):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + BATCH_IDS, "right")) - 1)
+                last = min(last, len(ids))
+                mine = every[ends[first] : ends[last]]
+                cuts = ends[first : last + 1] - ends[first]
+                decoded = [library.decode(mine[x:y].tolist()) for x, y in zip(cuts, cuts[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[first:last], kind), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(mine)),
+                                                  pa.array(decoded, pa.string())], names=["id", "ids", "decoded"])
+                first = last
+
+        batch, body, answers, kind = None, None, [], pa.null()
         for b in batches:
-            kind = b.schema.types[0]
-            for now, place, data in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                if now != key:
-                    finish()
-                    key, bodies, holes = now, [], []
-                    if len(done) >= BATCH_ROWS or ready >= BATCH_IDS:
-                        yield emptied(kind)
-                if place < 0:
-                    bodies.append(data)
+            kind = b.column(4).type.value_type
+            for at in range(b.num_rows):
+                now, data = b.column(2)[at].as_py(), b.column(5)[at].as_py()
+                if now != batch:
+                    if body is not None:
+                        yield from results(body, answers, kind)
+                    batch, body, answers = now, None, []
+                if b.column(0)[at].as_py() == _BODY:
+                    body = (b.column(4)[at].as_py(), data)
                 else:
-                    holes.append(data)
-        finish()
-        if done:
-            yield emptied(kind)
+                    answers.append(data)
+        if body is not None:
+            yield from results(body, answers, kind)
 
     return run
 
 
-def pieces_and_texts(docs: DataFrame, model: bytes, *, id_column: str = "doc_id", text_column: str = "text", head_size: int = 750_000) -> DataFrame:
+def pieces_and_texts(docs: DataFrame, model: bytes, *, id_column: str = "doc_id", text_column: str = "text", head_size: int = 750_000,
+                     batch_bytes: int = 8 << 20) -> DataFrame:
     """Return per row of ``docs``: id, ids (array of int), decoded (text), for the serialized sentencepiece model ``model``."""
     spark = docs.sparkSession
     docs = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(model)
     sampled = docs.filter(F.monotonically_increasing_id() % 8 == 0).select("text")
-    counts = sampled.mapInArrow(_counted, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    top = frequent(counts, "n", head_size).select("chunk").mapInArrow(_segmented(shared), "chunk string, data binary").toArrow()
+    counts = stored(sampled.mapInArrow(_counted, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n")), "chunks")
+    top = (frequent(counts, "n", head_size).select("chunk", "n").mapInArrow(_segmented(shared), "chunk string, n long, data binary")
+           .toArrow().sort_by([("n", "descending"), ("chunk", "ascending")]))  # frequent chunks have small numbers
     data = top["data"].to_pylist()
     bounds = np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int64)
     head = spark.sparkContext.broadcast(dict(zip(top["chunk"].to_pylist(), range(len(data)))))
-    head_ids = spark.sparkContext.broadcast((np.append(bounds, bounds[-1]), np.frombuffer(b"".join(data), "<i4")))
-
-    key, pos = T.StructField("key", T.LongType()), T.StructField("pos", T.IntegerType())
-    packed = T.StructType([docs.schema["id"], key, pos, T.StructField("data", T.BinaryType())])
-    holes = (docs.mapInArrow(_holes(head), T.StructType([docs.schema["id"], key, pos, T.StructField("chunk", T.StringType())]))
-             .repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_filled(shared), packed))
-    parts = docs.mapInArrow(_bodies(head), packed).union(holes)
-    out = parts.repartition("id", "key").sortWithinPartitions("id", "key", "pos").mapInArrow(
+    head_ids = spark.sparkContext.broadcast((bounds, np.frombuffer(b"".join(data), "<i4") if data else np.zeros(0, np.int32)))
+
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("place", T.IntegerType()), T.StructField("batch", T.LongType()),
+                           T.StructField("bucket", T.IntegerType()), T.StructField("ids", T.ArrayType(docs.schema["id"].dataType)), T.StructField("data", T.BinaryType())])
+    blocks = docs.mapInArrow(_pack(head, buckets, batch_bytes), schema).repartition("place")
+    answers = blocks.mapInArrow(_answered(shared, buckets), schema)
+    out = answers.repartition("batch").sortWithinPartitions("batch", "bucket").mapInArrow(
         _assembled(shared, head_ids), T.StructType([docs.schema["id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]))
     return out.select(F.col("id").alias(id_column), "ids", "decoded")
 
