@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trustfold.operators import coverage, profile
 from trustfold.operators.quarantine import Run, from_rows
 from trustfold.operators.report import reconcile, rule_counts, table_counts
-from trustfold.sinks.tables import check_not_null, clear_run, publish_ledger, read_ledger, replace_table
+from trustfold.sinks.tables import check_not_null, clear_run, publish_ledger, read_ledger, read_table, replace_table
 
 
 def _rejects(spark, run, n, rule="r1"):
@@ -25,7 +25,7 @@ def test_ledger_rerun_replaces_only_its_slice(spark, tmp_path):
     publish_ledger(_rejects(spark, a, 3), path)
     publish_ledger(_rejects(spark, b, 5), path)
     publish_ledger(_rejects(spark, Run("B", "2026-08-10T05:00:00Z"), 4, "r2"), path)
-    led = spark.read.parquet(path)
+    led = read_ledger(spark, path)
     got = sorted((r.run_id, r.rule, r.n) for r in led.groupBy("run_id", "rule").agg(F.count("*").alias("n")).collect())
     assert got == [("A", "r1", 3), ("B", "r2", 4)]
     assert dict(led.dtypes)["original_record"] == "variant"
@@ -61,7 +61,7 @@ def test_null_in_not_null_column_fails_publish_and_keeps_ledger(spark, tmp_path)
     bad = _rejects(spark, run, 2).withColumn("rule", F.when(F.col("record_key") == "1", None).otherwise(F.col("rule")))
     with pytest.raises(Exception, match="NOT NULL: rule"):
         publish_ledger(bad, path)
-    assert spark.read.parquet(path).count() == 3
+    assert read_ledger(spark, path).count() == 3
 
 
 def test_invalid_json_fails_publish(spark, tmp_path):
@@ -74,7 +74,7 @@ def test_replace_table_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     for _ in range(3):
         replace_table(spark.range(10), path, files=2)
-    assert spark.read.parquet(path).count() == 10
+    assert read_table(spark, path).count() == 10
 
 
 def test_reports(spark):

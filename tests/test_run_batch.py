@@ -6,6 +6,7 @@ from trustfold.operators.contracts import Contract
 from trustfold.operators.features import Metric
 from trustfold.operators.quarantine import Run
 from trustfold.plans.batch import Source, run_batch
+from trustfold.sinks.tables import read_ledger, read_table
 
 BASE = Contract(columns=("id", "tenure", "label"), key="id", types={"tenure": "int"}, label="label")
 WEEKLY = Contract(columns=("id", "tenure", "batch_date"), key="id", types={"tenure": "int"})
@@ -33,11 +34,11 @@ def test_run_batch_end_to_end_and_rerun(spark, tmp_path):
         counts = {r.table_name: r.n_rows for r in out.summary.collect()}
         assert counts == {"trusted_base": 2, "trusted_weekly": 2, "gold_base": 2, "gold_weekly": 2,
                           "quarantine": 2}
-    gold = {r.id: r.n_calls for r in spark.read.parquet(out.gold["weekly"]).collect()}
+    gold = {r.id: r.n_calls for r in read_table(spark, out.gold["weekly"]).collect()}
     assert gold == {"a": 1, "d": 1}  # the 2026-07-20 call is outside the 7-day window
-    base_gold = spark.read.parquet(out.gold["base"])
+    base_gold = read_table(spark, out.gold["base"])
     assert base_gold.columns[:2] == ["id", "as_of"] and "label" in base_gold.columns
-    rules = sorted(r.rule for r in spark.read.parquet(out.ledger).collect())
+    rules = sorted(r.rule for r in read_ledger(spark, out.ledger).collect())
     assert rules == ["missing_column", "not_numeric_tenure"]
     totals = out.gold_totals["weekly"].first()
     assert (totals.n_rows, totals.sum_n_calls, totals.zero_n_calls) == (2, 2, 0)

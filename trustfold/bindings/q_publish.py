@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from trustfold.bindings.q_trusted import (
     RUN,
     _ROW_REJECTS_SQL,
     _file_rejects_sql,
+    _header_errors_sql,
     _typed_select_sql,
     trusted_run,
 )
@@ -20,10 +22,10 @@ from trustfold.bindings.registry import register
 from trustfold.bindings.usage import USAGE_METRICS, USAGE_RATIOS, WEEKLY_AS_OF, staged_events, table
 from trustfold.operators.contracts import Contract
 from trustfold.operators.quarantine import Run
-from trustfold.operators.report import profile_summary, rule_counts, table_counts
+from trustfold.operators.report import profile_summary, rejected_values, rule_counts, table_counts
 from trustfold.plans.batch import Source, run_batch
 from trustfold.session import scratch_path
-from trustfold.sinks.tables import publish_ledger, read_ledger, replace_table
+from trustfold.sinks.tables import publish_ledger, read_ledger, read_table, replace_table
 
 RUN_A = Run(run_id="run-A", started_at="2026-08-03T06:00:00Z")
 RUN_B = Run(run_id="run-B", started_at="2026-08-10T06:00:00Z")
@@ -92,6 +94,82 @@ register("ledger_rule_counts", f"{_ALL_REJECTS_SQL}\nSELECT rule, count(*) AS n_
          covers=("SNK-6", "SRT-2"))(ledger_rule_counts)
 
 
+def ledger_rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rejected records hold, read back out of the published VARIANT:
+    the failing value per typing rule, the two sides of a conflict, the names
+    of a rejected header."""
+    fields = {"not_numeric_o_custkey": ("o_custkey",), "not_numeric_o_totalprice": ("o_totalprice", "o_orderstatus"),
+              "conflicting_duplicate_key": ("o_orderpriority", "batch_date")}
+    return rejected_values(published_ledger(spark, sf_dir), fields, {"missing_column": "header", "repeated_header": "header"})
+
+
+def _values_sql() -> str:
+    picked = [("conflict", "conflicting_duplicate_key", "o_orderpriority", ""), ("conflict", "conflicting_duplicate_key", "batch_date", ""),
+              ("single", "not_numeric_o_custkey", "o_custkey", "WHERE TRY_CAST(o_custkey AS INTEGER) IS NULL"),
+              ("single", "not_numeric_o_totalprice", "o_totalprice", "WHERE TRY_CAST(o_totalprice AS DOUBLE) IS NULL"),
+              ("single", "not_numeric_o_totalprice", "o_orderstatus", "WHERE TRY_CAST(o_totalprice AS DOUBLE) IS NULL")]
+    parts = [f"SELECT '{rule}' AS rule, '{column}' AS column_name, {column} AS value FROM {source} {where}" for source, rule, column, where in picked]
+    headers = f"SELECT rule, 'header' AS column_name, unnest(CAST(json_extract(original_record, '$.header') AS VARCHAR[])) AS value FROM ({_header_errors_sql()}) h"
+    return " UNION ALL ".join([*parts, headers])
+
+
+register(
+    "ledger_rejected_values",
+    f"""{TRUST_CTES}
+SELECT rule, column_name, value, count(*) AS n_rows, count(TRY_CAST(value AS DOUBLE)) AS n_numbers
+FROM ({_values_sql()}) v GROUP BY rule, column_name, value""",
+    covers=("SNK-5", "fn: json"),
+)(ledger_rejected_values)
+
+
+def publish_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and ledger after publishes that went wrong: a table whose re-run
+    fails half-way keeps its rows, a ledger slice whose re-run fails keeps
+    its rows, and of two runs published at the same time both stand."""
+    table_path, ledger_path = scratch_path(spark, "recovery"), scratch_path(spark, "recovery_ledger")
+    rows = customer_batches(spark, sf_dir)
+    replace_table(rows, table_path)
+    broken = rows.withColumn("c_name", F.when(F.col("entity_id") % 10 == 0, F.raise_error(F.lit(_BROKEN))).otherwise(F.col("c_name")))
+    _must_fail(lambda: replace_table(broken, table_path))
+
+    led = published_ledger(spark, sf_dir).withColumn("original_record", F.to_json("original_record"))
+    run_a, run_b = (led.where(F.col("run_id") == r.run_id) for r in (RUN_A, RUN_B))
+    publish_ledger(run_a, ledger_path, run_id=RUN_A.run_id)
+    half = run_a.withColumn("rule", F.when(F.col("rule") == "conflicting_duplicate_key", F.raise_error(F.lit(_BROKEN))).otherwise(F.col("rule")))
+    _must_fail(lambda: publish_ledger(half, ledger_path, run_id=RUN_A.run_id))
+    with ThreadPoolExecutor(2) as both:
+        for done in [both.submit(publish_ledger, run_a, ledger_path, run_id=RUN_A.run_id),
+                     both.submit(publish_ledger, run_b, ledger_path, run_id=RUN_B.run_id)]:
+            done.result()
+    counts = table_counts({"table": read_table(spark, table_path)}).select(F.col("table_name").alias("name"), "n_rows")
+    for r in (RUN_A, RUN_B):
+        counts = counts.union(read_ledger(spark, ledger_path, run_id=r.run_id).agg(F.lit(r.run_id), F.count(F.lit(1))))
+    return counts
+
+
+_BROKEN = "a publish that fails half-way"
+
+
+def _must_fail(publish) -> None:
+    try:
+        publish()
+    except Exception as e:
+        if _BROKEN not in str(e):
+            raise
+    else:
+        raise RuntimeError("a publish with a failing row was committed")
+
+
+register(
+    "publish_recovery",
+    f"""{_ALL_REJECTS_SQL}
+SELECT 'table' AS name, count(*) AS n_rows FROM ({CUSTOMER_BATCHES_SQL}) b
+UNION ALL SELECT 'run-A', count(*) FROM rej WHERE batch <= '1999'
+UNION ALL SELECT 'run-B', count(*) FROM rej WHERE batch > '1999'""",
+    covers=("SNK-1", "SNK-2", "SNK-4"),
+)(publish_recovery)
+
+
 def table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish trusted rows, quarantine and gold with full replace (twice, to
     show the re-run does not append), re-read them and count."""
@@ -101,7 +179,7 @@ def table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         for name, df in frames.items():
             replace_table(df, f"{root}/{name}")
-    return table_counts({n: spark.read.parquet(f"{root}/{n}") for n in frames})
+    return table_counts({n: read_table(spark, f"{root}/{n}") for n in frames})
 
 
 register(
@@ -119,7 +197,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     event scan is not repeated for the summary)."""
     path = scratch_path(spark, "gold")
     replace_table(gold_profile(spark, sf_dir), path)
-    return profile_summary(spark.read.parquet(path), "n_calls", "gold")
+    return profile_summary(read_table(spark, path), "n_calls", "gold")
 
 
 register(
@@ -190,7 +268,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [out.summary.select(F.lit("rows").alias("part"), F.col("table_name").alias("name"), F.col("n_rows").cast("double").alias("value")),
              out.rejects.select(F.lit("rejects"), "rule", F.col("n_rows").cast("double"))]
     for source, path in out.gold.items():
-        totals = spark.read.parquet(path).agg(*[F.sum(m).cast("double").alias(m) for m in sums])
+        totals = read_table(spark, path).agg(*[F.sum(m).cast("double").alias(m) for m in sums])
         parts.append(totals.select(F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).alias("v")) for m in sums])).alias("x"))
                      .select(F.lit(f"gold_{source}"), "x.m", "x.v"))
     result = parts[0]

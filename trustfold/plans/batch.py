@@ -2,15 +2,17 @@
 gold profiles -> run summary.
 
 Per source (e.g. a labelled base and the weekly batches): the trust stage,
-the trusted table replaced in place, and its rejects published into the
+the trusted table replaced, and its rejects published into the
 ledger slice of this run.  Gold is built from the trusted table *as written*
 (read back: the trust stage's lineage is not recomputed, and a lost executor
 re-reads files), and the summary is computed from the written tables, so the
 event table is not scanned again for it.
 
 Every write is a full replace (tables) or a slice replace (ledger: the run's
-earlier slice goes even where the new one has no reject), so a re-run of the
-same run id leaves the outputs exactly as one run would.
+earlier slice goes even where the new one has no reject) behind one commit,
+so a re-run of the same run id leaves the outputs exactly as one run would, and
+a failed one leaves them as they were.  Outputs are read with ``read_table`` and
+``read_ledger``.
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trustfold.operators.contracts import Contract
 from trustfold.operators.features import Metric, Ratio
@@ -27,7 +28,7 @@ from trustfold.operators.report import profile_summary, rule_counts, table_count
 from trustfold.plans.gold import build_gold
 from trustfold.plans.trusted import build_trusted
 from trustfold.session import discard
-from trustfold.sinks.tables import publish_ledger, read_ledger, replace_table
+from trustfold.sinks.tables import publish_ledger, read_ledger, read_table, replace_table
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,7 @@ def run_batch(
 
     gold_paths: dict[str, str] = {}
     for name, src in sources.items():
-        trusted = spark.read.parquet(trusted_paths[name])
+        trusted = read_table(spark, trusted_paths[name])
         gold = build_gold(
             trusted, events, key=src.contract.key, event_key=event_key, day=day,
             as_of_date=src.as_of_date, as_of_column=src.as_of_column, horizon_days=horizon_days,
@@ -95,13 +96,13 @@ def run_batch(
         )
         gold_paths[name] = replace_table(gold, f"{root}/gold/{name}")
 
-    tables = {f"trusted_{n}": spark.read.parquet(p) for n, p in trusted_paths.items()}
-    tables.update({f"gold_{n}": spark.read.parquet(p) for n, p in gold_paths.items()})
+    tables = {f"trusted_{n}": read_table(spark, p) for n, p in trusted_paths.items()}
+    tables.update({f"gold_{n}": read_table(spark, p) for n, p in gold_paths.items()})
     # a clean run publishes no reject: read_ledger copes with a ledger without files
-    mine = read_ledger(spark, ledger).where(F.col("run_id") == run.run_id)
+    mine = read_ledger(spark, ledger, run_id=run.run_id)
     tables["quarantine"] = mine
     totals = {}
     if summary_metric:
-        totals = {n: profile_summary(spark.read.parquet(p), summary_metric, f"gold_{n}")
+        totals = {n: profile_summary(read_table(spark, p), summary_metric, f"gold_{n}")
                   for n, p in gold_paths.items()}
     return BatchOutputs(trusted_paths, gold_paths, ledger, table_counts(tables), totals, rule_counts(mine))

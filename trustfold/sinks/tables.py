@@ -1,24 +1,22 @@
-"""Idempotent publishing.
-
-* ``replace_table``: full replace of a table folder (re-running a job
-  replaces its output instead of appending to it).
-* ``replace_run_slice``: the shared quarantine ledger is partitioned by
-  (stage, run id); publishing a run overwrites only the partitions present
-  in the new rows (dynamic partition overwrite, set on the writer, not on
-  the session).  Other stages and runs are kept; partitions that the new
-  rows do not reach stay.
-* ``clear_run``: removes a run's slice (all stages, or the named ones).
-* ``publish_ledger``: refuses a slice with NULLs in NOT NULL columns and
-  stores the original record as VARIANT (``parse_json``: a record that is
-  not valid JSON fails the publish instead of landing as text); both checks
-  run inside the write job, and a failed job leaves the ledger as it was.
-  With ``run_id`` the run's slice becomes exactly the given rows: what an
-  earlier attempt of the run left in partitions that this one does not
-  write is removed, also when a corrected run rejects nothing.
-
-Unlike a warehouse transaction, a parquet overwrite is not atomic across
-partitions; readers may see a half-written slice while the job runs.  A
-publish that dies half-way is repaired by publishing the run again.
+"""Idempotent, all-or-nothing publishing.
+
+* ``replace_table`` / ``read_table``: full replace of a table.  Readers see the
+  former table whole until the new one is committed, also when the re-run
+  fails, and the new one whole from then on.
+* ``publish_ledger`` / ``read_ledger``: the shared quarantine ledger, partitioned
+  by (stage, run id).  Publishing a run replaces its slices in one commit;
+  other stages and runs are kept, also those published at the same time.
+  With ``run_id`` the run's rows become exactly the given ones: slices that an
+  earlier attempt left and this one does not write go in the same commit,
+  also when a corrected run rejects nothing.
+* ``clear_run``: removes a run's slices (all stages, or the named ones).
+
+A slice with NULLs in NOT NULL columns is refused, and the original record
+is stored as VARIANT (``parse_json``: a record that is not valid JSON fails the
+publish instead of landing as text).  Both checks run inside the write job,
+so a bad row fails the job before anything is committed.
+
+How commits work, and what they need from the store, is in ``commits``.
 """
 
 from __future__ import annotations
@@ -30,31 +28,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, VariantType
 
 from trustfold.operators.quarantine import LEDGER_COLUMNS, LEDGER_SCHEMA, NOT_NULL_COLUMNS, null_violations
+from trustfold.sinks.commits import Store
+from trustfold.sources.batches import literal_path
 
 LEDGER_PARTITIONS = ("stage", "run_id")
+#: The one slice of a table.
+_TABLE = ""
 
 
 def replace_table(df: DataFrame, path: str, *, files: int | None = None,
                   partition_by: list[str] | None = None, fmt: str = "parquet") -> str:
-    """Overwrite ``path`` with ``df``.  ``files`` caps the number of output
+    """Replace the table at ``path`` by ``df``.  ``files`` caps the number of output
     files with a final repartition (upstream stages keep their parallelism);
     leave it unset for large outputs."""
     out = df.repartition(files) if files else df
-    w = out.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
+    store = Store(df.sparkSession, path)
+    base, attempt = store.current(), store.attempt()
+    try:
+        w = out.write.format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.save(store.at(attempt))
+        store.commit(base, {_TABLE: attempt})
+    except BaseException:
+        store.abandon(attempt)
+        raise
     return path
 
 
-def replace_run_slice(df: DataFrame, path: str, partitions: tuple[str, ...] = LEDGER_PARTITIONS) -> str:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-    return path
+def read_table(spark: SparkSession, path: str, *, schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
+    """The committed table at ``path``; the files it is read from are fixed when this is called."""
+    store = Store(spark, path)
+    live = store.current().slices
+    if not live:
+        raise FileNotFoundError(f"no table was published at {path}")
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(literal_path(store.at(live[_TABLE])))
 
 
 def check_not_null(ledger: DataFrame) -> None:
@@ -73,46 +82,42 @@ def _guarded(c: str):
         .otherwise(F.col(c)).alias(c)
 
 
-def _slices(spark: SparkSession, path: str) -> list[tuple[str, str, object]]:
-    """(stage, run id, folder) of every partition of a published ledger (a
-    folder listing on the driver; one entry per stage and run)."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-
-    def named(where, column):
-        for status in fs.listStatus(where):
-            name = status.getPath().getName()
-            if status.isDirectory() and name.startswith(f"{column}="):
-                yield unquote(name.split("=", 1)[1]), status.getPath()
-
-    return [(stage, run, p) for stage, s in named(folder, "stage") for run, p in named(s, "run_id")]
+def _stage_and_run(name: str) -> tuple[str, str]:
+    """(stage, run id) of a slice named ``stage=x/run_id=y``."""
+    stage, run = (unquote(part.split("=", 1)[1]) for part in name.split("/"))
+    return stage, run
 
 
 def clear_run(spark: SparkSession, path: str, run_id: str, *, keep_stages: set[str] | frozenset[str] = frozenset()) -> int:
-    """Remove a run's slice from the ledger (but for ``keep_stages``); the number of partitions removed."""
-    gone = [p for stage, run, p in _slices(spark, path) if run == run_id and stage not in keep_stages]
-    for p in gone:
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """Remove a run's slices from the ledger (but for ``keep_stages``) in one commit; their number."""
+    store = Store(spark, path)
+    base = store.current()
+    gone = [n for n in base.slices if _stage_and_run(n)[1] == run_id and _stage_and_run(n)[0] not in keep_stages]
+    if gone:
+        store.commit(base, {}, lambda name: name in gone)
     return len(gone)
 
 
 def publish_ledger(ledger: DataFrame, path: str, *, run_id: str | None = None) -> str:
-    """Validate and publish one run's rejects into the shared ledger, in one
-    pass: the NOT NULL check and the JSON parse run inside the write, so a
-    bad row fails the job, and a failed dynamic-overwrite job commits no
-    partition (the ledger keeps its previous slice)."""
+    """Validate and publish rejects into the shared ledger in one pass and one commit.
+
+    The slices (stage, run) that the rows name are replaced; with ``run_id``
+    all slices of that run are."""
     typed = ledger.select(
         *[F.parse_json("original_record").alias("original_record") if c == "original_record" else _guarded(c)
           for c in LEDGER_COLUMNS]
     )
-    replace_run_slice(typed, path)
-    if run_id is not None:
-        spark = ledger.sparkSession
-        # this attempt's partitions were replaced whole; others of the run are of an earlier attempt
-        stages = {r["stage"] for r in ledger.where(F.col("run_id") == run_id).select("stage").distinct().collect()}
-        clear_run(spark, path, run_id, keep_stages=stages)
+    store = Store(ledger.sparkSession, path)
+    base, attempt = store.current(), store.attempt()
+    try:
+        typed.write.partitionBy(*LEDGER_PARTITIONS).parquet(store.at(attempt))
+        written = {name: f"{attempt}/{name}" for name in store.partitions(attempt, len(LEDGER_PARTITIONS))}
+        store.commit(base, written, lambda name: run_id is not None and _stage_and_run(name)[1] == run_id)
+    except BaseException:
+        store.abandon(attempt)
+        raise
+    if not written:
+        store.delete(attempt)
     return path
 
 
@@ -122,16 +127,13 @@ PUBLISHED_LEDGER_SCHEMA = StructType([
 ])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists (one file-system metadata call on the driver)."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
+def read_ledger(spark: SparkSession, path: str, *, run_id: str | None = None) -> DataFrame:
+    """The committed ledger with its fixed schema, or one run's part of it (only that run's folders are opened).
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The published ledger with its fixed schema.  A ledger that has only seen
-    clean runs has no data file (or no folder) yet: it reads as empty instead
-    of failing schema inference."""
-    if not _exists(spark, path):
+    A ledger that has only seen clean runs has no slice (or no folder) yet: it reads as empty."""
+    store = Store(spark, path)
+    live = [folder for name, folder in store.current().slices.items() if run_id is None or _stage_and_run(name)[1] == run_id]
+    if not live:
         return spark.createDataFrame([], PUBLISHED_LEDGER_SCHEMA)
-    return spark.read.schema(PUBLISHED_LEDGER_SCHEMA).parquet(path).select(*LEDGER_COLUMNS)
+    reader = spark.read.schema(PUBLISHED_LEDGER_SCHEMA).option("basePath", store.root)
+    return reader.parquet(*(literal_path(store.root) + "/" + folder for folder in sorted(live))).select(*LEDGER_COLUMNS)
