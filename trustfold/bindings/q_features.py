@@ -72,6 +72,26 @@ register(
     covers=("PRJ-3", "FLT-1", "JN-1", "JN-2", "AGG-1", "AGG-2", "AGG-3", "AGG-4", "AGG-18", "PRJ-5", "Q-20", "Q-25"),
 )(pit_usage_fixed)
 
+# ------------------------------------------------------ far apart snapshots
+
+# Two dates whose windows leave most of the month between them uncovered.
+FAR_AS_OF, FAR_DAYS = ("2024-01-05", "2024-01-29"), 3
+
+
+def pit_usage_far_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of every customer, weeks apart: only the days of the two windows are read."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity_id"))
+    snaps = customers.select("entity_id", F.explode(F.array(*(F.to_date(F.lit(d)) for d in FAR_AS_OF))).alias("as_of"))
+    return window_metrics(staged_events(spark, sf_dir), snaps, key="entity_id", day="day",
+                          as_of="as_of", horizon_days=FAR_DAYS, metrics=USAGE_METRICS, ratios=USAGE_RATIOS)
+
+
+register(
+    "pit_usage_far_apart",
+    usage_metrics_sql(" UNION ALL ".join(f"SELECT c_custkey AS entity_id, DATE '{d}' AS as_of FROM customer" for d in FAR_AS_OF), FAR_DAYS),
+    covers=("FLT-1", "JN-1"),
+)(pit_usage_far_apart)
+
 # ---------------------------------------------------------- per-row as-of
 
 

@@ -5,11 +5,12 @@ Nothing on or after the as-of day is visible, so features never leak the
 future.  All metrics are decomposable (conditional counts and sums), which
 is what lets the plan stay small at any scale:
 
-1. **Prune** the event scan to ``[min(as_of) - N, max(as_of))`` with scalar
-   subqueries over the snapshots; on a day-partitioned table they become
-   partition filters, so folders outside the range are never opened.  Events
-   of entities without a snapshot go by a semi join before anything is
-   summed (no hint: Spark broadcasts the keys when they are few).
+1. **Prune** the event scan to the days that some window covers: a semi join
+   with the distinct covered days (at most a calendar), which on a
+   day-partitioned table prunes partitions dynamically, so folders of other
+   days are never opened, also between far apart snapshots.  Events of
+   entities without a snapshot go by a semi join before anything is summed
+   (no hint: Spark broadcasts the keys when they are few).
 2. **Roll up per (entity, day)** with partial aggregation before the shuffle.
    However many events a hot entity has, it leaves at most one row per day,
    so no later group can grow with the event volume.
@@ -103,19 +104,34 @@ def _finish(df: DataFrame, key: str, as_of: str, metrics: list[Metric], ratios:
     return out
 
 
+def covered_days(snapshots: DataFrame, *, day: str, as_of: str, horizon_days: int) -> DataFrame:
+    """The distinct days that some snapshot's window covers: overlapping windows give a day once.
+
+    The calendar bounds it, not the number of snapshots.
+    """
+    dates = snapshots.select(as_of).distinct()
+    each = dates.select(F.explode(F.sequence(F.date_sub(as_of, horizon_days), F.date_sub(as_of, 1))).alias(day), as_of)
+    return each.where(F.col(day) < F.col(as_of)).select(day).distinct()
+
+
 def prune_to_snapshots(events: DataFrame, snapshots: DataFrame, *, day: str, as_of: str,
                        horizon_days: int) -> DataFrame:
-    """Keep events whose day can fall in some snapshot's window.
-
-    The bounds are scalar subqueries, not driver literals, so there is no
-    eager job; when the snapshot set is empty both bounds are NULL and the
-    filter keeps nothing.
+    """Keep events whose day lies in some snapshot's window.
+
+    Events are semi joined with the covered days, a broadcast of at most the
+    calendar's size.  On a day-partitioned table Spark turns that join into
+    dynamic partition pruning: of snapshots in January and December no
+    summer folder is opened.  The outer bounds stand beside it as scalar
+    subqueries, for tables without partitions, where they reach the parquet
+    scan's row groups.  There is no eager job, and without snapshots both
+    bounds are NULL and nothing is read.
     """
     # one subquery for both bounds: the snapshot source is aggregated once
     bounds = snapshots.select(
         F.struct(F.date_sub(F.min(as_of), horizon_days).alias("lo"), F.max(as_of).alias("hi"))
     ).scalar()
-    return events.where((F.col(day) >= bounds["lo"]) & (F.col(day) < bounds["hi"]))
+    inside = events.where((F.col(day) >= bounds["lo"]) & (F.col(day) < bounds["hi"]))
+    return inside.join(F.broadcast(covered_days(snapshots, day=day, as_of=as_of, horizon_days=horizon_days)), day, "left_semi")
 
 
 def _require_dates(df: DataFrame, column: str, what: str) -> None:
