@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from trustfold.operators.contracts import Contract
 from trustfold.operators.quarantine import LEDGER_COLUMNS, Run
-from trustfold.plans.trusted import build_trusted
+from trustfold.plans.trusted import build_trusted, read_accepted, route_files
 from trustfold.sources.batches import batch_paths, read_headers
 
 CONTRACT = Contract(columns=("id", "tenure", "charges"), key="id", types={"tenure": "int", "charges": "double"})
@@ -207,3 +207,50 @@ def test_gzipped_batch_files(spark, tmp_path):
     assert [(r.id, r.tenure, r.charges) for r in out.trusted.collect()] == [("a", 1, 2.5)]
     rules = sorted((r.rule, r.record_key) for r in out.quarantine.collect())
     assert rules == [("missing_column", None), ("not_numeric_tenure", "b")]
+
+
+def test_many_layouts_and_many_files_in_one_scan(spark, tmp_path):
+    """1,500 files in three layouts, a rejected one and empty ones: one reader, no file name on the driver."""
+    layouts = [["id", "tenure", "charges"], ["charges", "x", "ID", " tenure "], ["tenure", "id", "y", "z", "Charges"], ["id", "tenure"]]
+    for i in range(1500):
+        header = layouts[i % 4]
+        value = {"id": f"k{i}", "tenure": str(i), "charges": f"{i}.5"}
+        row = ",".join(value.get(h.strip().lower(), "?") for h in header)
+        (tmp_path / f"f{i}.csv").write_text("" if i % 500 == 7 else ",".join(header) + "\n" + row + "\n")
+    routing = route_files(spark, [str(tmp_path)], CONTRACT)
+    assert len(routing.layouts) == 3 and routing.routed.count() == 1500
+    raw = read_accepted(spark, [str(tmp_path)], routing, CONTRACT)
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [_c") == 1
+    good = [i for i in range(1500) if i % 4 != 3 and i % 500 != 7]
+    assert sorted((r.id, r.tenure, r.charges) for r in raw.collect()) == sorted((f"k{i}", str(i), f"{i}.5") for i in good)
+
+
+def test_a_data_row_equal_to_the_header_is_kept(spark, tmp_path):
+    out = _run(spark, tmp_path, {"a.csv": "id,tenure,charges\na,1,1\nid,tenure,charges\n"})
+    assert [r.id for r in out.trusted.collect()] == ["a"]
+    assert sorted(r.rule for r in out.quarantine.collect()) == ["not_numeric_charges", "not_numeric_tenure"]
+
+
+def test_a_file_that_comes_after_the_headers_fails_the_run(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "in").mkdir()
+    _write(tmp_path / "in" / "a.csv", "id,tenure,charges\na,1,1\n")
+    routing = route_files(spark, [str(tmp_path / "in")], CONTRACT)
+    _write(tmp_path / "in" / "b.csv", "tenure,id,charges\n1,b,1\n")
+    with pytest.raises(Exception, match="came after the headers"):
+        read_accepted(spark, [str(tmp_path / "in")], routing, CONTRACT).collect()
+
+
+def test_overlapping_paths_are_refused_and_equal_ones_read_once(spark, tmp_path):
+    import pytest
+
+    a = _write(tmp_path / "a.csv", "id,tenure,charges\na,1,1\n")
+    assert build_trusted(spark, [a, a], CONTRACT, RUN, scratch=str(tmp_path / "s")).trusted.count() == 1
+    with pytest.raises(ValueError, match="overlap"):
+        read_headers(spark, [a, str(tmp_path)])
+
+
+def test_no_paths(spark, tmp_path):
+    assert read_headers(spark, []).count() == 0

@@ -70,8 +70,7 @@ def csv_name_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staged_batches(spark, sf_dir)
     root = staged[0].rsplit("/", 1)[0]
     paths = batch_paths(root, [p.rsplit("batch=", 1)[1] for p in staged], "{root}/batch={batch}")
-    layouts, _, _ = route_files(spark, paths, ORDER_CONTRACT, unit="folder")
-    raw = read_accepted(spark, layouts, ORDER_CONTRACT)
+    raw = read_accepted(spark, paths, route_files(spark, paths, ORDER_CONTRACT, unit="folder"), ORDER_CONTRACT)
     return raw.select(batch_of().alias("batch"), *TEXT_COLUMNS)
 
 
@@ -119,7 +118,7 @@ UNION ALL SELECT 'raw', count(*) FROM raw""",
 def header_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File-level rejects: one row per rejected batch folder, header and rule
     (only the header check runs; no data row is read)."""
-    _, file_errors, _ = route_files(spark, staged_batches(spark, sf_dir), ORDER_CONTRACT, unit="folder")
+    file_errors = route_files(spark, staged_batches(spark, sf_dir), ORDER_CONTRACT, unit="folder").file_errors
     return file_errors.select(
         F.regexp_extract("source_file", r"batch=([^/]+)$", 1).alias("batch"), "rule",
         F.col("column").alias("column_name"),

@@ -3,18 +3,18 @@
 Order of the rules, per run:
 
 1. headers of every file (one job) checked against the contract; a file with
-   any header error is rejected whole and none of its rows is read;
-2. accepted files read by name, one reader per header layout, unioned;
+   any header error is rejected whole and none of its rows is used;
+2. accepted files read by name in one scan, each by its header layout;
 3. identical copies collapsed, conflicting versions of a key rejected;
 4. typed columns converted, rows with a NULL/bad value rejected (one reject
    per failing column); a conflicting key is only reported as a conflict;
 5. label mapped (when the contract has one), lineage stamped.
 
 The raw files are parsed once: the collapsed rows (step 3's first half) are
-written to the shared scratch folder, and the version count and its join
-read them back.  Steps 3-4 then produce one tagged frame, also written
-once; the trusted rows and the rejects are both read from it, so both
-outputs describe the same rows.
+written to the shared scratch folder, and so are the few conflicting keys.
+The trusted rows and the rejects are both computed from these two tables,
+so both outputs describe the same rows; converting the typed columns twice
+is cheaper than writing all rows a second time.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from trustfold.functions.text import parent_path
 from trustfold.operators.contracts import Contract, header_errors
-from trustfold.operators.dedup import collapse_identical, count_versions
+from trustfold.operators.dedup import collapse_identical, conflicting_keys, count_versions, numbered_files
 from trustfold.operators.lineage import map_label, stamp
 from trustfold.operators.quarantine import (
     Run,
@@ -35,8 +35,8 @@ from trustfold.operators.quarantine import (
     union_all,
 )
 from trustfold.operators.strict_types import FAILED, tag_failures, typed_projection
-from trustfold.session import discard, materialize, scratch_path
-from trustfold.sources.batches import ORIGIN, empty_batch, read_headers, read_layout
+from trustfold.session import materialize, scratch_path
+from trustfold.sources.batches import ORIGIN, read_by_layout, read_headers
 
 
 @dataclass
@@ -45,16 +45,25 @@ class TrustedOutput:
     quarantine: DataFrame
     verdicts: DataFrame  # source_file, header, errors (one row per file)
     file_errors: DataFrame  # source_file (file or folder), rule, column, header
-    tagged: DataFrame  # materialised: distinct rows + __versions + __failed_rules
+    tagged: DataFrame  # distinct rows + __versions + __failed_rules, computed from the scratch tables
     raw: DataFrame  # accepted files as read (lazy; re-reads the files when used)
-    scratch: str  # folder of the tagged rows; discard it once both outputs are written
+    scratch: str  # folder of the scratch tables; discard it once both outputs are written
 
 
-def route_files(spark: SparkSession, paths: list[str], contract: Contract, unit: str = "file"):
-    """Header verdict of every file, accepted files grouped by exact layout,
+@dataclass
+class Routing:
+    """Which layout each file is read by."""
+
+    layouts: dict[int, list[str]]  # number -> exact header, of the layouts that meet the contract
+    routed: DataFrame  # source_file, layout (NULL: rejected), one row per file
+    file_errors: DataFrame  # source_file (file or folder), rule, column, header
+    verdicts: DataFrame  # source_file, header, errors
+
+
+def route_files(spark: SparkSession, paths: list[str], contract: Contract, unit: str = "file") -> Routing:
+    """Header verdict of every file, the layout each accepted file is read by,
     and the file-level rejects.  The contract is checked once per layout; the
-    driver sees the distinct layouts and, of the accepted files, a name and a
-    layout number each.
+    driver sees the distinct layouts and no file name.
 
     With ``unit="folder"`` a folder is one batch drop: if any of its files
     fails the header check the whole folder is rejected (a partial batch
@@ -69,35 +78,31 @@ def route_files(spark: SparkSession, paths: list[str], contract: Contract, unit:
     verdicts = heads.join(F.broadcast(layouts), "header")  # one row a layout
     named = verdicts.withColumn("unit", F.col("source_file") if unit == "file" else parent_path("source_file"))
     bad = named.where(F.size("errors") > 0)
-    accepted = named.join(bad.select("unit").distinct(), "unit", "left_anti").select("source_file", "layout").collect()
-    files: dict[tuple[str, ...], list[str]] = {}
-    for r in accepted:
-        files.setdefault(tuple(checked[r["layout"]]["header"]), []).append(r["source_file"])
+    rejected = bad.select("unit").distinct().withColumn("rejected", F.lit(True))
+    routed = named.join(rejected, "unit", "left").select("source_file", F.when(F.col("rejected").isNull(), F.col("layout")).alias("layout"))
     file_errors = bad.select(F.col("unit").alias("source_file"), F.explode("errors").alias("e"), "header").select(
         "source_file", "e.rule", "e.column", "header").distinct()
-    return files, file_errors, verdicts.select("source_file", "header", "errors")
+    good = {i: list(r["header"]) for i, r in enumerate(checked) if not r["errors"]}
+    return Routing(good, routed, file_errors, verdicts.select("source_file", "header", "errors"))
 
 
-def read_accepted(spark: SparkSession, layouts: dict, contract: Contract) -> DataFrame:
-    parts = [read_layout(spark, files, list(h), contract.columns) for h, files in sorted(layouts.items())]
-    return union_all(parts) if parts else empty_batch(spark, contract.columns)
+def read_accepted(spark: SparkSession, paths: list[str], routing: Routing, contract: Contract) -> DataFrame:
+    return read_by_layout(spark, paths, routing.layouts, routing.routed, contract.columns)
 
 
 def build_trusted(spark: SparkSession, paths: list[str], contract: Contract, run: Run, *,
                   unit: str = "file", scratch: str | None = None) -> TrustedOutput:
-    layouts, file_errors, verdicts = route_files(spark, paths, contract, unit)
-    raw = read_accepted(spark, layouts, contract)
+    routing = route_files(spark, paths, contract, unit)
+    raw = read_accepted(spark, paths, routing, contract)
 
     root = scratch or scratch_path(spark, "trusted", run.run_id)
-    # the collapsed rows are written once: counting versions and joining the
-    # counts back both read that table (the version count only its unit and
-    # key columns) instead of parsing the raw files and shuffling them twice
-    collapsed = materialize(collapse_identical(raw, origin=ORIGIN, unit=unit), path=f"{root}/collapsed")
-    tagged = count_versions(collapsed, key=contract.key, origin=ORIGIN, unit=unit)
+    # the collapsed rows are written once: counting versions, the trusted rows and the rejects read that table
+    # (the count only its unit and key columns) instead of parsing the raw files and shuffling them again
+    collapsed = materialize(collapse_identical(raw, origin=ORIGIN, unit=unit, files=numbered_files(routing.routed, "source_file")), path=f"{root}/collapsed")
+    conflicts = materialize(conflicting_keys(collapsed, key=contract.key, origin=ORIGIN, unit=unit), path=f"{root}/conflicts")
+    tagged = count_versions(collapsed, key=contract.key, origin=ORIGIN, unit=unit, conflicts=conflicts)
     tagged = tag_failures(tagged, contract.types, int_policy=contract.int_policy,
                           prefix=contract.type_rule_prefix)
-    tagged = materialize(tagged, path=f"{root}/tagged")
-    discard(spark, f"{root}/collapsed")  # all that follows reads the tagged rows
 
     cols = list(contract.columns) + [ORIGIN]
     single = F.col("__versions") == 1
@@ -111,6 +116,6 @@ def build_trusted(spark: SparkSession, paths: list[str], contract: Contract, run
                           key=contract.key, origin=ORIGIN)
     bad_types = tagged.where(single & (F.size(FAILED) > 0)).select(*cols, F.explode(FAILED).alias("__rule"))
     type_rejects = from_rows(bad_types, F.col("__rule"), run, key=contract.key, origin=ORIGIN)
-    files = from_file_errors(file_errors, run)
+    files = from_file_errors(routing.file_errors, run)
     quarantine = union_all([files, conflicts, type_rejects])
-    return TrustedOutput(trusted, quarantine, verdicts, file_errors, tagged, raw, root)
+    return TrustedOutput(trusted, quarantine, routing.verdicts, routing.file_errors, tagged, raw, root)

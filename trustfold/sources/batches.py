@@ -2,9 +2,13 @@
 
 A batch is named explicitly (a date, a folder), never discovered by listing
 a whole bucket.  Every file is read as text only (no inference pass), and
-matched to the contract by column *name*: one CSV reader per distinct
-header layout, so files with different column orders are never read
-together (a shared reader would shift values between columns silently).
+matched to the contract by column *name*.
+
+All files are read by one positional reader, whatever their layouts: a row
+meets its file's layout number by a join on the file, and each contract
+column is picked from the position it has in that layout, so files with
+different column orders never shift values between columns.  The driver
+knows the distinct layouts; file names stay in DataFrames.
 """
 
 from __future__ import annotations
@@ -12,7 +16,6 @@ from __future__ import annotations
 import csv
 import re
 import sys
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from trustfold.operators.contracts import column_positions
-from trustfold.session import materialize, scratch_path
+from trustfold.session import scratch_path
 
 ORIGIN = "_source_file"
 
@@ -42,21 +45,8 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def as_read_path(uri: str) -> str:
-    """A ``_metadata.file_path`` URI turned back into a path a reader accepts
-    and takes literally."""
-    return literal_path(unquote(uri))
-
-
-def list_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Every data file under ``paths`` (taken literally), empty files
-    included, as URIs in the ``_metadata.file_path`` spelling.
-
-    Taken from the reader's file index (the listing Spark does for any
-    read): one name per file, bounded by the number of files, not their
-    content.  The names have to be known to give each file its reader.
-    """
-    return sorted({as_metadata_uri(u) for u in spark.read.text([literal_path(p) for p in paths]).inputFiles()})
+def _given(paths: list[str]) -> list[str]:
+    return [literal_path(p) for p in dict.fromkeys(paths)]
 
 
 #: A file is never split and never shares a task while its first line is read (bytes; above any file's size).
@@ -71,23 +61,40 @@ def _first_row(batches):
             return
 
 
-def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
-    """First line of each file: source_file, line (no row for an empty file).
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """First line of each file under ``paths`` (taken literally): source_file, line; an empty file has line NULL.
 
     Spark's own text reader opens the files, so every file system and codec
-    it knows works, and a read error fails the run.  Each file is one task
+    it knows works, and a read error fails the run.  Each file is a partition
     that stops after its first line, however long that line is: the cost is
-    a file opened, not a pass over the data.  The reader's split sizes belong
-    to a session of its own; the caller's settings stay as they are.
+    a file opened, not a pass over the data.  Partitions are read one after
+    the other in as many tasks as run at once, so the result has few files
+    however many were read.  The reader's split sizes belong to a session of
+    its own; the caller's settings stay as they are.
+
+    No scan returns an empty file, so those are found by counting: only if
+    the reader's listing has more files than gave a line are names compared.
     """
     own = spark.newSession()
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         own.conf.set(key, str(_WHOLE_FILE))
     own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    rows = own.read.text([as_read_path(f) for f in files]).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
+    files = own.read.text(_given(paths))
+    rows = files.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
     path = scratch_path(spark, "first_lines")
-    rows.mapInArrow(_first_row, rows.schema).write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    tasks = 2 * max(1, spark.sparkContext.defaultParallelism)
+    rows.mapInArrow(_first_row, rows.schema).coalesce(tasks).write.parquet(path)
+    found = spark.read.schema(rows.schema).parquet(path)
+    listed = files._jdf.inputFiles()  # stays in the JVM, where Spark keeps its listing anyway
+    n = found.count()
+    if n > len(listed):
+        raise ValueError("the given paths overlap: some file would be read twice")
+    if n < len(listed):
+        names = spark.createDataFrame(pa.table({"source_file": pa.array([as_metadata_uri(u) for u in listed], pa.string())}),
+                                      StructType([StructField("source_file", StringType())]))
+        empty = names.join(found.select("source_file"), "source_file", "left_anti")
+        found = found.union(empty.withColumn("line", F.lit(None).cast("string")))
+    return found
 
 
 def split_header(line: str | None) -> list[str]:
@@ -107,39 +114,85 @@ def read_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     line: they come back with an empty header, so every contract column is
     reported missing instead of failing the run.
     """
-    files = list_files(spark, paths)
-    names = StructType([StructField("source_file", StringType())])
-    listing = spark.createDataFrame(pa.table({"source_file": pa.array(files, pa.string())}), names)
-    if not files:
-        return listing.withColumn("header", F.array().cast("array<string>"))
-    first = first_lines(spark, files)
+    if not paths:
+        return spark.createDataFrame([], "source_file string, header array<string>")
+    first = first_lines(spark, paths)
     lines = [r["line"] for r in first.select("line").distinct().collect()]
     layouts = spark.createDataFrame(pa.table({"line": pa.array(lines, pa.string()), "header": pa.array([split_header(x) for x in lines], pa.list_(pa.string()))}),
                                     StructType([StructField("line", StringType()), StructField("header", ArrayType(StringType()))]))
-    found = listing.join(first, "source_file", "left").join(layouts, "line", "left")
-    return materialize(found.select("source_file", F.coalesce("header", F.array().cast("array<string>")).alias("header")), "headers")
+    found = first.join(F.broadcast(layouts), "line", "left")  # one row a distinct first line
+    return found.select("source_file", F.coalesce("header", F.array().cast("array<string>")).alias("header"))
+
 
+#: Files whose names and layouts are sent to every executor (some 200 bytes each); more are joined by a shuffle.
+MOST_SENT_FILES = 200_000
 
-def read_layout(spark: SparkSession, files: list[str], header: list[str],
-                expected: list[str] | tuple[str, ...]) -> DataFrame:
-    """Read files sharing one exact header; return the expected columns under
-    their canonical names, in contract order, plus the file URI.
 
-    The schema is positional (``_c0``, ``_c1`` ...) and all text, so neither
-    inference nor Spark's own header renaming is involved; the header line
-    of every file is skipped.  Extra columns are dropped.
+def read_by_layout(spark: SparkSession, paths: list[str], layouts: dict[int, list[str]], routed: DataFrame,
+                   expected: list[str] | tuple[str, ...]) -> DataFrame:
+    """Rows of all files under ``paths`` that ``routed`` (source_file, layout) gives one of
+    ``layouts`` (number -> exact header): the expected columns under their
+    canonical names, in contract order, plus the file URI.
+
+    Files with layout NULL give no row.  A file that ``routed`` does not know
+    (one that arrived after the headers were read) fails the run.  The
+    schema is positional (``_c0``, ``_c1`` ...), all text and no wider than the
+    last position any layout needs, so neither inference nor Spark's own
+    header renaming is involved; the header line of every file is skipped.
+    Extra columns are dropped.
+    """
+    if not layouts:
+        return empty_batch(spark, expected)
+    places = {i: column_positions(header, expected) for i, header in layouts.items()}
+    width = 1 + max(p for found in places.values() for p in found)
+    schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(width)])
+    rows = spark.read.csv(_given(paths), schema=schema, header=True, enforceSchema=True, mode="PERMISSIVE")
+    rows = rows.select(*schema.names, F.col("_metadata.file_path").alias(ORIGIN))
+    known = routed.select(F.col("source_file").alias(ORIGIN), F.col("layout").alias("__layout"), F.lit(True).alias("__known"))
+    if known.count() <= MOST_SENT_FILES:
+        known = F.broadcast(known)
+    unknown = F.raise_error(F.concat(F.lit("this file came after the headers were read: "), F.col(ORIGIN)))
+    kept = rows.join(known, ORIGIN, "left").where(F.when(F.col("__known").isNull(), unknown).otherwise(F.col("__layout").isNotNull()))
+
+    def pick(at: int):
+        by_place: dict[int, list[int]] = {}
+        for i, found in places.items():
+            by_place.setdefault(found[at], []).append(i)
+        (last, _), *others = sorted(by_place.items(), key=lambda x: -len(x[1]))
+        out = F.col(f"_c{last}")
+        for place, numbers in others:
+            out = F.when(F.col("__layout").isin(numbers), F.col(f"_c{place}")).otherwise(out)
+        return out
+
+    return kept.select(*(pick(i).alias(name) for i, name in enumerate(expected)), ORIGIN)
+
+
+#: Ends a line so that the number of its fields can be read off (no text file holds it).
+_LINE_END = "\u0001end\u0001"
+
+
+def ragged_rows(spark: SparkSession, paths: list[str], heads: DataFrame | None = None) -> DataFrame:
+    """Rows per file that have fewer or more fields than its header: source_file, n_rows, n_short, n_long.
+
+    Reading pads the ones and cuts the others without a word; this report
+    tells of them.  One scan of the lines: a mark is put behind each line, the
+    line is read by Spark's own CSV rules, quotes included, and the place of
+    the mark is the number of fields.  Blank lines are no rows, as for the
+    reader; a file whose first line is blank, or that has none, has no header
+    and is left out.
     """
-    schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(header))])
-    df = spark.read.csv([as_read_path(f) for f in files], schema=schema, header=True, enforceSchema=True,
-                        mode="PERMISSIVE")
-    opened = sorted(as_metadata_uri(u) for u in df.inputFiles())
-    if opened != sorted(files):
-        raise RuntimeError(f"the reader opened other files than were routed to it: {sorted(set(opened) ^ set(files))[:5]}")
-    pos = column_positions(header, expected)
-    return df.select(
-        *[F.col(f"_c{p}").alias(name) for p, name in zip(pos, expected)],
-        F.col("_metadata.file_path").alias(ORIGIN),
-    )
+    heads = read_headers(spark, paths) if heads is None else heads
+    widths = heads.select("source_file", F.size("header").alias("width")).where("width > 0")
+    most = widths.agg(F.max("width")).first()[0] or 0
+    fields = StructType([StructField(f"_c{i}", StringType(), True) for i in range(most + 2)])
+    lines = spark.read.text(_given(paths)).select(F.col("_metadata.file_path").alias("source_file"), F.col("value"))
+    marked = lines.where(F.length(F.trim("value")) > 0).select("source_file", F.from_csv(F.concat("value", F.lit("," + _LINE_END)), fields.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")).alias("f"))
+    place = F.array_position(F.array(*(F.col(f"f._c{i}") for i in range(most + 2))), _LINE_END)
+    # 0: the mark lies beyond the widest header
+    n = marked.select("source_file", F.when(place > 0, place - 1).otherwise(most + 2).alias("n"))
+    met = n.join(F.broadcast(widths) if widths.count() <= MOST_SENT_FILES else widths, "source_file")
+    return met.groupBy("source_file").agg((F.count(F.lit(1)) - 1).alias("n_rows"), F.count_if(F.col("n") < F.col("width")).alias("n_short"),
+                                          F.count_if(F.col("n") > F.col("width")).alias("n_long"))
 
 
 def empty_batch(spark: SparkSession, expected: list[str] | tuple[str, ...]) -> DataFrame:
