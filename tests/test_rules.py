@@ -14,11 +14,11 @@ from trustfold.operators.quarantine import LEDGER_COLUMNS, LEDGER_SCHEMA, Run, f
 from trustfold.operators.strict_types import split_castable
 
 RUN = Run(run_id="r1", started_at="2026-08-03T10:00:00Z")
-TYPES = {"tenure": "int", "charges": "double"}
+TYPES = {"weeks": "int", "fee": "double"}
 
 
 def _raw(spark, rows):
-    return spark.createDataFrame(rows, "id string, tenure string, charges string, _source_file string")
+    return spark.createDataFrame(rows, "id string, weeks string, fee string, _source_file string")
 
 
 # ---------------------------------------------------------------- casting
@@ -55,36 +55,36 @@ def _errors(spark, header, expected):
 
 
 def test_header_ok_any_order_case_and_spaces(spark):
-    assert _errors(spark, [" TENURE ", "Id", "charges", "extra"], ["id", "tenure", "charges"]) == []
+    assert _errors(spark, [" WEEKS ", "Id", "fee", "extra"], ["id", "weeks", "fee"]) == []
 
 
 def test_header_blanks_are_stripped_like_python_strip(spark):
     from trustfold.operators.contracts import column_positions
 
-    header = ["ID\t", "\u3000tenure\u00a0", "charges\r", "\ttenure "]
+    header = ["ID\t", "\u3000weeks\u00a0", "fee\r", "\tweeks "]
     # the same normalisation on both sides: Spark finds the repeat, Python the positions
-    assert _errors(spark, header, ["id", "tenure", "charges"]) == [("repeated_header", "tenure")]
-    assert _errors(spark, header[:3], ["id", "tenure", "charges"]) == []
-    assert column_positions(header[:3], ["id", "tenure", "charges"]) == [0, 1, 2]
+    assert _errors(spark, header, ["id", "weeks", "fee"]) == [("repeated_header", "weeks")]
+    assert _errors(spark, header[:3], ["id", "weeks", "fee"]) == []
+    assert column_positions(header[:3], ["id", "weeks", "fee"]) == [0, 1, 2]
 
 
 def test_header_missing_in_contract_order(spark):
-    assert _errors(spark, ["charges"], ["id", "tenure", "charges"]) == [
-        ("missing_column", "id"), ("missing_column", "tenure")]
+    assert _errors(spark, ["fee"], ["id", "weeks", "fee"]) == [
+        ("missing_column", "id"), ("missing_column", "weeks")]
 
 
 def test_header_repeated_once_per_name_first_appearance(spark):
-    got = _errors(spark, ["id", "tenure", "TENURE", " Tenure ", "charges", "id"], ["id", "tenure", "charges"])
-    assert got == [("repeated_header", "id"), ("repeated_header", "tenure")]
+    got = _errors(spark, ["id", "weeks", "WEEKS", " Weeks ", "fee", "id"], ["id", "weeks", "fee"])
+    assert got == [("repeated_header", "id"), ("repeated_header", "weeks")]
 
 
 def test_header_repeated_and_missing_both_reported(spark):
-    got = _errors(spark, ["id", "ID"], ["id", "tenure"])
-    assert got == [("repeated_header", "id"), ("missing_column", "tenure")]
+    got = _errors(spark, ["id", "ID"], ["id", "weeks"])
+    assert got == [("repeated_header", "id"), ("missing_column", "weeks")]
 
 
 def test_header_empty_reports_every_column(spark):
-    assert _errors(spark, [], ["id", "tenure"]) == [("missing_column", "id"), ("missing_column", "tenure")]
+    assert _errors(spark, [], ["id", "weeks"]) == [("missing_column", "id"), ("missing_column", "weeks")]
 
 
 def test_contract_validates_columns():
@@ -105,7 +105,7 @@ def test_envelope_schema_and_fixed_values(spark):
     assert (r.stage, r.rule, r.severity, r.run_id, r.record_key, r.source_file) == (
         "trusted", "some_rule", "blocking", "r1", "c1", "file:/d/a.csv")
     # NULLs kept, lineage columns (leading underscore) left out
-    assert json.loads(r.original_record) == {"id": "c1", "tenure": None, "charges": "x"}
+    assert json.loads(r.original_record) == {"id": "c1", "weeks": None, "fee": "x"}
 
 
 # ------------------------------------------------------------- duplicates
@@ -156,20 +156,20 @@ def test_folder_unit_collapses_copies_across_part_files(spark):
 # ----------------------------------------------------------------- typing
 
 def test_typing_ok_rows_typed_and_ordered(spark):
-    ok, bad = split_castable(_raw(spark, [("a", " 12 ", "70.35", "f")]), TYPES)
-    assert ok.columns == ["id", "tenure", "charges", "_source_file"]
-    assert dict(ok.dtypes)["tenure"] == "int" and dict(ok.dtypes)["charges"] == "double"
-    assert tuple(ok.first()) == ("a", 12, 70.35, "f") and bad.count() == 0
+    ok, bad = split_castable(_raw(spark, [("a", " 12 ", "41.25", "f")]), TYPES)
+    assert ok.columns == ["id", "weeks", "fee", "_source_file"]
+    assert dict(ok.dtypes)["weeks"] == "int" and dict(ok.dtypes)["fee"] == "double"
+    assert tuple(ok.first()) == ("a", 12, 41.25, "f") and bad.count() == 0
 
 
 def test_typing_one_reject_per_failing_column(spark):
     ok, bad = split_castable(_raw(spark, [("a", None, " ", "f"), ("b", "1", "abc", "f"), ("c", "2", "3", "f")]), TYPES)
     assert [r.id for r in ok.collect()] == ["c"]
     rules = sorted((r.id, r._rule) for r in bad.collect())
-    assert rules == [("a", "not_numeric_charges"), ("a", "not_numeric_tenure"), ("b", "not_numeric_charges")]
+    assert rules == [("a", "not_numeric_fee"), ("a", "not_numeric_weeks"), ("b", "not_numeric_fee")]
     # the reject keeps the untyped original
     q = from_rows(bad, F.col("_rule"), RUN, key="id").where("record_key = 'b'").first()
-    assert json.loads(q.original_record) == {"id": "b", "tenure": "1", "charges": "abc"}
+    assert json.loads(q.original_record) == {"id": "b", "weeks": "1", "fee": "abc"}
 
 
 def test_typing_without_typed_columns_keeps_everything(spark):

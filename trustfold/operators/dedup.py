@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trustfold.functions.text import parent_path
+from trustfold.functions.text import parent_path, quoted
 
 UNITS = ("file", "folder")
 
@@ -36,31 +36,48 @@ def _unit_col(origin: str, unit: str):
     return F.col(origin) if unit == "file" else parent_path(origin)
 
 
-def collapse_identical(df: DataFrame, *, origin: str = "_source_file", unit: str = "file") -> DataFrame:
+def numbered_files(files: DataFrame, column: str) -> DataFrame:
+    """The distinct files of a listing (one row per file or more) with numbers in the order of their names: file, number.
+
+    Numbered in one task: one short row per file, whatever the files hold.
+    """
+    return files.select(F.col(column).alias("__file")).distinct().select("__file", F.expr("row_number() over (order by __file)").alias("__number"))
+
+
+def collapse_identical(df: DataFrame, *, origin: str = "_source_file", unit: str = "file", files: DataFrame | None = None) -> DataFrame:
     """One row per distinct record and unit; column order kept.
 
     With ``unit="folder"`` copies in different part files of one folder are
-    identical too; the surviving row keeps the smallest file URI.
+    identical too; the surviving row keeps the smallest file URI.  Files are
+    compared by their number (``numbered_files``; of ``files`` if the listing
+    is known, else of ``df``), so the minimum is one of numbers and the
+    aggregate stays a hash aggregate; the names come back by a join.
     """
     if unit == "file":
         return df.dropDuplicates()
+    names = numbered_files(df, origin) if files is None else files
     rest = [c for c in df.columns if c != origin]
-    return (
-        df.withColumn("__unit", _unit_col(origin, unit))
-        .groupBy("__unit", *rest).agg(F.min(origin).alias(origin))
-        .select(*df.columns)
-    )
+    found = df.join(names, df[origin].eqNullSafe(names["__file"])).withColumn("__unit", _unit_col(origin, unit))
+    least = found.groupBy("__unit", *(quoted(c) for c in rest)).agg(F.min("__number").alias("__number"))
+    return least.join(names, "__number").select(*(F.col("__file" if c == origin else quoted(c)).alias(c) for c in df.columns))
+
+
+def conflicting_keys(collapsed: DataFrame, *, key: str, origin: str = "_source_file", unit: str = "file",
+                     name: str = "__versions") -> DataFrame:
+    """(unit, key, versions) of the keys with more than one version in a unit; ``collapsed`` has one row per distinct record and unit."""
+    d = collapsed.withColumn("__unit", _unit_col(origin, unit))
+    return d.groupBy("__unit", F.col(quoted(key)).alias("__key")).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
 
 
 def count_versions(collapsed: DataFrame, *, key: str, origin: str = "_source_file", unit: str = "file",
-                   name: str = "__versions") -> DataFrame:
+                   name: str = "__versions", conflicts: DataFrame | None = None) -> DataFrame:
     """Add the number of versions of each row's key within its unit to rows
-    that are already collapsed (one row per distinct record and unit)."""
-    d = collapsed.withColumn("__unit", _unit_col(origin, unit))
-    counts = d.groupBy("__unit", key).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
-    l, r = d.alias("l"), counts.alias("r")
-    cond = F.col("l.__unit").eqNullSafe(F.col("r.__unit")) & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
-    return l.join(r, cond, "left").select(*[F.col(f"l.{c}") for c in collapsed.columns],
+    that are already collapsed (one row per distinct record and unit).
+    ``conflicts`` are their ``conflicting_keys``, where these are stored already."""
+    counts = conflicting_keys(collapsed, key=key, origin=origin, unit=unit, name=name) if conflicts is None else conflicts
+    l, r = collapsed.withColumn("__unit", _unit_col(origin, unit)).alias("l"), counts.alias("r")
+    cond = F.col("l.__unit").eqNullSafe(F.col("r.__unit")) & F.col(f"l.{quoted(key)}").eqNullSafe(F.col("r.__key"))
+    return l.join(r, cond, "left").select(*[F.col(f"l.{quoted(c)}") for c in collapsed.columns],
                                           F.coalesce(F.col(f"r.{name}"), F.lit(1).cast("bigint")).alias(name))
 
 
@@ -76,6 +93,6 @@ def split_conflicts(df: DataFrame, *, key: str, origin: str = "_source_file",
                     unit: str = "file") -> tuple[DataFrame, DataFrame]:
     """(kept, conflicting): both with the input's columns and order."""
     t = tag_versions(df, key=key, origin=origin, unit=unit)
-    ok = t.where(F.col("__versions") == 1).select(*df.columns)
-    bad = t.where(F.col("__versions") > 1).select(*df.columns)
+    ok = t.where(F.col("__versions") == 1).select(*map(quoted, df.columns))
+    bad = t.where(F.col("__versions") > 1).select(*map(quoted, df.columns))
     return ok, bad

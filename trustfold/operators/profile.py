@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trustfold.functions.casting import is_blank, is_dirty, uncastable
-
+from trustfold.functions.text import quoted, row_digest
 
 
 # ------------------------------------------------------------ schema/headers
@@ -46,7 +46,7 @@ def top_values_per_column(df: DataFrame, cols: list[str], k: int = 20) -> DataFr
     filter keeps at most k rows per column and task before any shuffle."""
     cols = [c for c in cols if c in df.columns]
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols
+        F.struct(F.lit(c).alias("column_name"), F.col(quoted(c)).cast("string").alias("value")) for c in cols
     ])).alias("kv")).select("kv.*")
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
     w = Window.partitionBy("column_name").orderBy(F.desc("n_rows"), F.asc_nulls_first("value"))
@@ -78,8 +78,8 @@ def nulls_and_blanks(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols or [c for c in df.columns if not c.startswith("_")]
     aggs = []
     for i, c in enumerate(cols):
-        aggs.append(F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}"))
-        blank = is_blank(F.col(c).cast("string")) if dict(df.dtypes)[c] == "string" else F.lit(False)
+        aggs.append(F.count(F.when(F.col(quoted(c)).isNull(), 1)).alias(f"n{i}"))
+        blank = is_blank(F.col(quoted(c)).cast("string")) if dict(df.dtypes)[c] == "string" else F.lit(False)
         aggs.append(F.count(F.when(blank, 1)).alias(f"b{i}"))
     wide = df.agg(*aggs)
     return wide.select(F.explode(F.array(*[
@@ -221,14 +221,14 @@ def duplicate_rows(df: DataFrame, *, unit: str, key: str) -> DataFrame:
 
 def duplicate_kind(df: DataFrame, *, unit: str, key: str, cols: list[str] | None = None) -> DataFrame:
     """Per duplicated (unit, key): rows, distinct versions, and whether all
-    copies are identical.  Versions are counted as distinct row structs, so
-    rows holding NULLs are counted too."""
+    copies are identical.  Versions are told by a 128-bit digest of the row
+    that sees NULLs, so rows holding NULLs are counted too."""
     cols = cols or [c for c in df.columns if c not in (unit,)]
-    dup = duplicate_rows(df, unit=unit, key=key)
-    return dup.groupBy(unit, key).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(F.struct(*cols)).alias("n_versions"),
-    ).withColumn("identical", F.col("n_versions") == 1)
+    rows = df.select(quoted(unit), quoted(key), row_digest(cols).alias("__digest"))
+    # rows shrink to their digests before the shuffle, and equal ones are counted there
+    versions = rows.groupBy(quoted(unit), quoted(key), "__digest").agg(F.count(F.lit(1)).alias("n"))
+    return versions.groupBy(quoted(unit), quoted(key)).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_versions")).where(
+        "n_rows > 1").withColumn("identical", F.col("n_versions") == 1)
 
 
 def dirty_duplicates(flagged: DataFrame, *, unit: str, key: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from trustfold.functions.text import record_json
+from trustfold.functions.text import quoted, record_json
 
 LEDGER_SCHEMA = StructType(
     [
@@ -82,8 +82,8 @@ def from_rows(df: DataFrame, rule: str | Column, run: Run, *, key: str,
         F.lit(run.stage).alias("stage"),
         rule_col.cast("string").alias("rule"),
         F.lit(run.severity).alias("severity"),
-        F.col(origin).cast("string").alias("source_file"),
-        F.col(key).cast("string").alias("record_key"),
+        F.col(quoted(origin)).cast("string").alias("source_file"),
+        F.col(quoted(key)).cast("string").alias("record_key"),
         F.lit(run.run_id).alias("run_id"),
         payload.alias("original_record"),
     )
