@@ -125,7 +125,7 @@ QUERIES: dict[str, tuple[Builder, str | None]] = {
     "op9_warc": (op9_warc, oracles.WARC),
     "op10_decontaminate": (op10_decontaminate, oracles.DECONTAMINATE),
     "op11_sentencepiece": (op11_sentencepiece, None),
-    "op12_filter_audit": (op12_filter_audit, None),
-    "op13_merkle": (op13_merkle, None),
+    "op12_filter_audit": (op12_filter_audit, oracles.FILTER_AUDIT),
+    "op13_merkle": (op13_merkle, oracles.MERKLE),
     "pipeline": (pipeline, None),
 }
