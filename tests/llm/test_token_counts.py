@@ -5,7 +5,8 @@ import random
 import pytest
 from tokenizers import Tokenizer
 
-from trustfold.llm.token_counts import PreTokenizer, _head, token_counts
+from trustfold.llm.tables import frequent
+from trustfold.llm.token_counts import PreTokenizer, token_counts
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -37,10 +38,10 @@ def test_documents(spark, docs, definition, head):
 
 
 def test_head_is_bounded_and_frequent(spark):
-    df = spark.createDataFrame([(f"p{i}", i, 1) for i in range(1, 200)], "pretoken string, n long, pieces int")
-    got = _head(df, 50)
+    df = spark.createDataFrame([(f"p{i}", i) for i in range(1, 200)], "pretoken string, n long")
+    got = {r.pretoken for r in frequent(df, "n", 50).collect()}
     assert 0 < len(got) <= 50 and min(int(p[1:]) for p in got) > max(i for i in range(1, 200) if f"p{i}" not in got)
-    assert _head(df.limit(0), 50) == {}
+    assert frequent(df.limit(0), "n", 50).count() == 0
 
 
 def test_odd_rows(odd, nothing, definition):

@@ -3,14 +3,16 @@
 A byte-level BPE tokenizer cuts a text at its special strings, then into
 pre-tokens, and each pre-token into pieces that depend on nothing else.  So
 
-1. one pass counts pre-tokens over all documents (per task, then one row per
-   distinct pre-token), and the tokenizer's own model says how many pieces
-   each distinct one has, once;
-2. a second pass makes the pre-token frequencies of every document.  The
-   most frequent pre-tokens (``head_size`` at most, broadcast) are
-   looked up on the spot, which leaves one partial sum per document; the
-   others, the long tail, are joined to the table of pieces;
-3. sums of frequency times pieces per document.  No token ids are made.
+1. the most frequent pre-tokens (``head_size`` at most) are counted in pieces
+   and broadcast.  Which ones they are is read off every eighth row of each
+   partition; that decides only which pre-tokens need no shuffle;
+2. one pass makes the pre-token frequencies of every document.  Those in the
+   head are looked up on the spot, which leaves one partial sum a
+   document; the others, the long tail, become rows of their own;
+3. the tail rows are shuffled and sorted by pre-token, so each distinct one
+   is one run of rows: the tokenizer's own model says once how many pieces
+   it has, and all rows of the run take that;
+4. sums of frequency times pieces per document.  No token ids are made.
 
 Cutting: a boundary always lies before a space that follows a character
 other than white space, so a text is first split there, and the tokenizer's
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustfold.llm.tables import col, stored
+from trustfold.llm.tables import col, frequent
 
 #: Distinct units (and pre-tokens) that a task keeps at most.
 KEEP = 300_000
@@ -151,8 +153,28 @@ def _pieces(definition):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = PreTokenizer(definition.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([read.pieces(p) for p in b.column(0).to_pylist()], pa.int32())],
-                                             names=["pretoken", "n", "pieces"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([read.pieces(p) for p in b.column(0).to_pylist()], pa.int32())],
+                                             names=["pretoken", "pieces"])
+
+    return run
+
+
+def _tokens(definition):
+    """Tokens of every row; input sorted by pre-token, each distinct one is cut into pieces once.  Rows with n_bytes are sums already."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = PreTokenizer(definition.value)
+        last, pieces = None, 0
+        for b in batches:
+            out = []
+            for word, n, summed in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).is_valid().to_pylist()):
+                if summed:
+                    out.append(n)
+                    continue
+                if word != last:
+                    last, pieces = word, read.pieces(word)
+                out.append(n * pieces)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int64()), b.column(4)], names=["id", "text_key", "n_tokens", "n_bytes"])
 
     return run
 
@@ -206,9 +228,10 @@ def token_counts(docs: DataFrame, definition: str, *, id_column: str = "doc_id",
     spark = docs.sparkSession
     docs = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(definition)
-    vocabulary = docs.select("text").mapInArrow(_vocabulary(shared), "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
-    pieces = stored(vocabulary.mapInArrow(_pieces(shared), "pretoken string, n long, pieces int"), "pieces")
-    head = spark.sparkContext.broadcast(_head(pieces, head_size))
+    sampled = docs.filter(F.monotonically_increasing_id() % 8 == 0).select("text")
+    vocabulary = sampled.mapInArrow(_vocabulary(shared), "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
+    top = frequent(vocabulary, "n", head_size).select("pretoken").mapInArrow(_pieces(shared), "pretoken string, pieces int").toArrow()
+    head = spark.sparkContext.broadcast(dict(zip(top["pretoken"].to_pylist(), top["pieces"].to_pylist())))
     tail_type = T.ArrayType(T.StructType([T.StructField("pretoken", T.StringType()), T.StructField("n", T.LongType())]))
     long = T.LongType()
     rows = docs.mapInArrow(_per_document(shared, head), T.StructType(
@@ -217,31 +240,12 @@ def token_counts(docs: DataFrame, definition: str, *, id_column: str = "doc_id",
     exploded = rows.select("id", "text_key", F.explode(F.concat(
         F.array(F.struct(F.lit(None).cast("string").alias("pretoken"), F.col("n_tokens").alias("n"), F.col("n_bytes").alias("n_bytes"))),
         F.transform("tail", lambda t: F.struct(t["pretoken"].alias("pretoken"), t["n"].alias("n"), F.lit(None).cast("long").alias("n_bytes"))))).alias("x"))
-    return _summed(exploded, pieces, id_column, limit)
-
-
-def _head(pieces: DataFrame, most: int) -> dict[str, int]:
-    """Pieces of the most frequent pre-tokens: all from a frequency on, so that there are at most ``most``."""
-    step = F.floor(8 * F.log2(F.col("n"))).cast("int")  # at most 8 * 63 steps
-    sizes = {r["step"]: r["c"] for r in pieces.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c")).collect()}
-    least, room = max(sizes, default=0) + 1, most
-    for s in sorted(sizes, reverse=True):
-        room -= sizes[s]
-        if room < 0:
-            break
-        least = s
-    top = pieces.filter(step >= least).select("pretoken", "pieces").toArrow()
-    return dict(zip(top["pretoken"].to_pylist(), top["pieces"].to_pylist()))
-
-
-def _summed(exploded: DataFrame, pieces: DataFrame, id_column: str, limit: int) -> DataFrame:
-    """Join the tail rows to their pieces and add all up; head rows meet no pre-token and are spread by a key of their own."""
-    keyed = exploded.select("id", "text_key", F.col("x.n").alias("n"), F.col("x.n_bytes").alias("n_bytes"),
-                            F.coalesce("x.pretoken", F.concat(F.lit("\n"), F.col("text_key").cast("string"))).alias("pretoken"))
-    joined = keyed.join(pieces.select("pretoken", "pieces"), "pretoken", "left")
-    sums = joined.groupBy("id", "text_key").agg(
-        F.max("n_bytes").alias("n_bytes"), F.sum(F.when(F.col("n_bytes").isNotNull(), F.col("n")).otherwise(F.col("n") * F.col("pieces"))).alias("n_tokens"),
-        F.count("n_bytes").alias("rows"))
+    # sums meet no pre-token and are spread by a key of their own
+    keyed = exploded.select("id", "text_key", F.coalesce("x.pretoken", F.concat(F.lit("\n"), F.col("text_key").cast("string"))).alias("pretoken"),
+                            F.col("x.n").alias("n"), F.col("x.n_bytes").alias("n_bytes"))
+    each = keyed.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(_tokens(shared), T.StructType(
+        [docs.schema["id"], T.StructField("text_key", long), T.StructField("n_tokens", long), T.StructField("n_bytes", long)]))
+    sums = each.groupBy("id", "text_key").agg(F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"), F.count("n_bytes").alias("rows"))
     # equal rows (same id, same text) were summed together
-    each = sums.withColumn("n_tokens", F.expr("n_tokens div rows")).withColumn("copy", F.explode(F.expr("sequence(1, rows)")))
-    return each.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    alone = sums.withColumn("n_tokens", F.expr("n_tokens div rows")).withColumn("copy", F.explode(F.expr("sequence(1, rows)")))
+    return alone.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
