@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from trustfold.llm.licenses import NOTICES, PHRASES, scan, template_grams
+from trustfold.llm.licenses import NOTICES, PHRASES, TEXTS, scan, template_grams, template_table
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -32,9 +32,63 @@ def test_all_places_of_phrases(spark):
     assert all(set(r["base_labels"].split(",")) <= set(r["labels"].split(",")) for r in got if r["base_labels"])
 
 
-@pytest.mark.parametrize("notice", list(NOTICES))
-def test_every_notice_gives_its_label(notice):
-    assert len(notice.split()) >= 3
+def test_every_notice_and_text_gives_its_label(spark):
+    wanted = {**NOTICES, **TEXTS}
+    rows = [(i, f"Some words before: {t.upper()}. And {i} behind") for i, t in enumerate(wanted)]
+    got = {r["doc_id"]: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (t, label) in enumerate(wanted.items()):
+        assert label in got[i]["labels"].split(","), t
+        assert (label, 3, 3 + len(t.split()), 1.0) in [tuple(s) for s in got[i]["spans"]] and got[i]["score"] == 1
+
+
+def verified(text, templates, k=3, shift=2, cover=0.9):
+    """Spans of every template by plain Python: votes by diagonal, neighbours merged, the share of words they cover."""
+    words, out = (text or "").lower().split(), []
+    for t, label, _ in templates:
+        tw = t.split()
+        diagonals = {}
+        for i in range(len(words) - k + 1):
+            for j in range(len(tw) - k + 1):
+                if words[i : i + k] == tw[j : j + k]:
+                    diagonals.setdefault(i - j, set()).add(j)
+        run, last = [], None
+        for d in [*sorted(diagonals), None]:
+            if run and (d is None or d - last > shift):
+                votes = set().union(*(diagonals[x] for x in run))
+                covered = len({j + o for j in votes for o in range(k)}) / len(tw)
+                if covered >= cover:
+                    out.append((label, min(x + min(diagonals[x]) for x in run), max(x + max(diagonals[x]) for x in run) + k, covered))
+                run = []
+            if d is not None:
+                run.append(d)
+                last = d
+    return sorted(out)
+
+
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_a_large_template_table_against_plain_python(spark, monkeypatch, sent):
+    """200 templates of 60 words, sent or joined by a shuffle, in texts with words changed, dropped and added."""
+    import trustfold.llm.licenses as module
+
+    monkeypatch.setattr(module, "SENT_GRAMS", sent)
+    rng = random.Random(3)
+    templates = [(" ".join(f"w{rng.randrange(300)}" for _ in range(60)), f"l{i % 40}", False) for i in range(200)] + [("w1 w2 w3", "p", True)]
+    rows = []
+    for d in range(25):
+        words = []
+        for _ in range(3):
+            t = rng.choice(templates)[0].split()
+            for _ in range(rng.choice([0, 1, 3])):
+                at = rng.randrange(len(t))
+                t[at : at + rng.choice([0, 1])] = rng.choice([[], ["new"]])
+            words += [*t, "between"]
+        rows.append((d, " ".join(words)))
+    table = spark.createDataFrame(templates, "text string, label string, phrase boolean")
+    got = scan(spark.createDataFrame(rows, "doc_id long, text string"), table).collect()
+    want = {d: verified(t, templates) for d, t in rows}
+    assert sum(map(len, want.values())) > 40
+    for r in got:
+        assert [(s["label"], s["from"], s["to"], round(s["cover"], 9)) for s in r["spans"]] == [(*w[:3], round(w[3], 9)) for w in want[r["doc_id"]]]
 
 
 def test_notices_with_a_word_more_or_less(spark):
@@ -50,7 +104,7 @@ def test_notices_with_a_word_more_or_less(spark):
 
 def test_short_templates_are_refused(spark):
     with pytest.raises(ValueError):
-        template_grams(spark, ["too short"], 3)
+        template_grams(template_table(spark, {}, {"too short": "x"}), 3)
 
 
 def test_odd_rows(odd, nothing):
