@@ -19,7 +19,8 @@ def odd(spark):
             (3, "", "s2", ""), (4, long, "s2", "y"), (None, "the mit license", None, "z"), (5, " \t\n", "s1", "w"),
             (6, "Ünïcode wörds Ünd EMOJI 😀 mixed", "s3", None), (7, "alpha beta gamma delta epsilon zeta", "s4", "v")]
     return spark.createDataFrame(rows, "doc_id long, text string, source string, node string").selectExpr(
-        "doc_id", "text", "source", "node", "node as `range`", "1 as id", "'a' as token", "0 as n", "2 as size", "'k' as key", "0.5 as score")
+        "doc_id", "text", "source", "node", "node as `range`", "1 as id", "'a' as token", "0 as n", "2 as size", "'k' as key", "0.5 as score",
+        "'q' as `a.b`", "'r' as `back``tick`", "1.5 as `two words`")
 
 
 @pytest.fixture

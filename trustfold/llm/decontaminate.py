@@ -13,9 +13,11 @@ hold one, so neither takes part in the suffix order.  This loses nothing
 and keeps the index small where documents and benchmark differ.
 
 The benchmark is a query set: it goes to the tasks in blocks of at most
-``block_bytes`` of text (one block unless it is larger); each block makes a
-pass over the documents, and the passes' hits are merged per document.  No
-shuffle of texts takes place with one block.
+``block_bytes`` of text (one block unless it is larger).  Only one block is
+held at a time, on the driver and in the tasks: each makes a pass of its
+own, whose result is written before the next block is read, and the passes'
+hits are merged per document.  No shuffle of texts takes place with one
+block.
 
 Cases: null or wordless texts have no words and no hits; null or wordless
 items have no window.  Items with equal texts all count.  A null item_id
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trustfold.llm.fm_index import FMIndex
-from trustfold.llm.tables import col, fresh
+from trustfold.llm.tables import col, fresh, stored
 from trustfold.llm.textarrays import ALNUM, Chunk, Words, chunk_of, slices, words_of
 
 SHARD_BYTES = 4 << 20
@@ -72,7 +74,7 @@ def phrases_of(items: list[tuple[str | None, str | None]], window: int) -> Phras
             if at == len(holders):
                 holders.append({})
             holders[at][i] = None
-    rows = np.zeros((len(index), window), np.int64)
+    rows = np.zeros((len(index), window), np.int32)
     for key, at in index.items():
         rows[at, : len(key)] = key
     return Phrases(words, rows, (rows > 0).sum(1), np.concatenate([[0], np.cumsum([len(h) for h in holders])]).astype(np.int64),
@@ -137,15 +139,29 @@ def hits_of(chunk: Chunk, phrases: Phrases) -> Hits:
     return Hits(words, np.cumsum(cover[:-1]) > 0, items)
 
 
-def item_blocks(spark, items: DataFrame, id_column: str, text_column: str, window: int, block_bytes: int):
-    """Broadcast phrases block by block; a block holds at most about ``block_bytes`` of item text, or one item."""
-    items = items.select(col(id_column).cast("string").alias("item"), col(text_column).cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    parts = 1 + int(total) // block_bytes
-    for part in range(parts):
-        mine = items if parts == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
+#: Text of the items that are held as phrases at a time (a distinct window costs some 300 bytes while they are made).
+BLOCK_BYTES = 4 << 20
+
+
+@dataclass
+class Blocks:
+    """The items of a benchmark in parts of about ``block_bytes`` of text (or one item)."""
+
+    items: DataFrame
+    parts: int
+    window: int
+
+    @classmethod
+    def of(cls, items: DataFrame, id_column: str, text_column: str, window: int, block_bytes: int) -> Blocks:
+        named = items.select(col(id_column).cast("string").alias("item"), col(text_column).cast("string").alias("text"))
+        total = named.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+        return cls(named, 1 + int(total) // block_bytes, window)
+
+    def phrases(self, part: int):
+        """The broadcast phrases of one part."""
+        mine = self.items if self.parts == 1 else self.items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(self.parts)) == part)
         rows = [(r["item"], r["text"]) for r in mine.toLocalIterator()]
-        yield spark.sparkContext.broadcast(phrases_of(rows, window))
+        return self.items.sparkSession.sparkContext.broadcast(phrases_of(rows, self.window))
 
 
 def _digest(ids: Iterable[str]) -> tuple[int, str]:
@@ -181,21 +197,22 @@ def _merged(spans: str) -> str:
 
 def contamination(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
                   item_column: str = "item_id", item_text: str = "text", window: int = 10,
-                  block_bytes: int = 16 << 20) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Return per row of ``docs``: id, n_words, spans (merged, in words), items (sorted distinct item ids)."""
-    spark = docs.sparkSession
     docs = docs.select(col(id_column).alias("id"), col(text_column).cast("string").alias("text"))
     schema = T.StructType([docs.schema["id"], T.StructField("n_words", T.LongType()), T.StructField("spans", _SPANS),
                            T.StructField("items", T.ArrayType(T.StringType()))])
-    blocks = list(item_blocks(spark, items, item_column, item_text, window, block_bytes))
-    if len(blocks) == 1:
-        return docs.mapInArrow(_hit_rows(blocks[0]), schema)
+    blocks = Blocks.of(items, item_column, item_text, window, block_bytes)
+    if blocks.parts == 1:
+        return docs.mapInArrow(_hit_rows(blocks.phrases(0)), schema)
     keyed = docs.withColumn("id", F.struct("id", F.sha2(F.coalesce("text", F.lit("\0")), 256).alias("sha")))
     wide = T.StructType([keyed.schema["id"], *schema.fields[1:]])
-    parts = [keyed.mapInArrow(_hit_rows(b), wide).withColumn("block", F.lit(i)) for i, b in enumerate(blocks)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
+    every = None
+    for i in range(blocks.parts):
+        phrases = blocks.phrases(i)
+        part = stored(keyed.mapInArrow(_hit_rows(phrases), wide).withColumn("block", F.lit(i)), "hits")
+        phrases.destroy()
+        every = part if every is None else every.union(part)
     rows = (every.groupBy("id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_set("spans")).alias("spans"),
                                     F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
                                     F.sum((F.col("block") == 0).cast("int")).alias("copies")))
@@ -238,38 +255,50 @@ def _cut(texts: list[str], phrases: Phrases) -> list[str]:
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, *, text_column: str = "text", item_column: str = "item_id",
-                 item_text: str = "text", window: int = 10, block_bytes: int = 16 << 20) -> DataFrame:
+                 item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with every occurrence of a window cut out of the text; all columns and all rows stay.
 
     Texts without an occurrence, null and empty ones included, are unchanged.
-    With several blocks of items the blocks cut one after the other, and the
-    whole set of blocks runs until a document holds no window of any of them.
+    With several blocks of items one block cuts after the other, each in a
+    pass of its own over what the one before it wrote, and all of them again
+    until a whole round cuts nothing: a cut can join a window of another block.
     """
-    spark = docs.sparkSession
-    blocks = list(item_blocks(spark, items, item_column, item_text, window, block_bytes))
+    blocks = Blocks.of(items, item_column, item_text, window, block_bytes)
     at = docs.columns.index(text_column)
+    names = docs.columns
+    rows = docs.toDF(*(f"_{i}" for i in range(len(names))))  # names of any kind: Arrow functions resolve them as text
+    if blocks.parts == 1:
+        return rows.mapInArrow(_cut_rows(blocks.phrases(0), at, False), rows.schema).toDF(*names)
+    flagged = T.StructType([*rows.schema.fields, T.StructField("cut", T.BooleanType())])
+    changed = True
+    while changed:
+        changed = False
+        for i in range(blocks.parts):
+            phrases = blocks.phrases(i)
+            out = stored(rows.mapInArrow(_cut_rows(phrases, at, True), flagged), "cut_texts")
+            phrases.destroy()
+            changed = changed or not out.filter("cut").isEmpty()
+            rows = out.drop("cut")
+    return rows.toDF(*names)
+
+
+def _cut_rows(phrases, at: int, flag: bool):
+    """Rows with the texts of column ``at`` cut (``flag``: and whether they were)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = [b.value for b in blocks]
-        for b in slices(batches, text_column, SHARD_BYTES):
+        p = phrases.value
+        for b in slices(batches, f"_{at}", SHARD_BYTES):
             column = b.column(at)
-            found = {}
-            changed = True
-            while changed:  # another block's cut may have joined a window of an earlier block
-                changed = False
-                for p in every:
-                    now = column if not found else pa.array([found.get(i, t) for i, t in enumerate(column.to_pylist())], pa.string())
-                    h = hits_of(chunk_of(now), p)
-                    hit = [i for i, own in enumerate(h.items) if own]
-                    if hit:
-                        texts = now.to_pylist()
-                        found.update(zip(hit, _cut([texts[i] for i in hit], p)))
-                        changed = len(every) > 1
-            if found:
-                column = pa.array([found.get(i, t) for i, t in enumerate(column.to_pylist())], column.type)
-            yield b.set_column(at, b.schema.field(at), column)
-
-    return docs.mapInArrow(run, docs.schema)
+            hit = [i for i, own in enumerate(hits_of(chunk_of(column), p).items) if own]
+            if hit:
+                texts = column.to_pylist()
+                for i, text in zip(hit, _cut([texts[i] for i in hit], p)):
+                    texts[i] = text
+                column = pa.array(texts, column.type)
+            out = b.set_column(at, b.schema.field(at), column)
+            yield out.append_column("cut", pa.array(np.isin(np.arange(b.num_rows), hit))) if flag else out
+
+    return run
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, *, text_column: str = "text", length_column: str | None = "n_chars", **options) -> DataFrame:

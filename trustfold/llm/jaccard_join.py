@@ -385,9 +385,9 @@ def one_of_each(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     copies = base.filter("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("node")
     wanted, bits = _filter(copies.union(roots.select("node")).distinct())
     at = docs.columns.index(text_column)
-    alone = docs.mapInArrow(_tagged(at, text_column, words, wanted, bits, False), docs.schema)
     row = F.struct(*(F.col(f"_{i}") for i in range(len(docs.columns))))
-    renamed = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
+    renamed = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))  # names of any kind: Arrow functions resolve them as text
+    alone = renamed.mapInArrow(_tagged(at, f"_{at}", words, wanted, bits, False), renamed.schema).toDF(*docs.columns)
     rank = F.struct(F.col(f"_{docs.columns.index(id_column)}").isNull(), F.col(f"_{docs.columns.index(id_column)}"), F.col(f"_{at}"))
     company = renamed.mapInArrow(_tagged(at, f"_{at}", words, wanted, bits, True), T.StructType([*renamed.schema.fields, _long("node")]))
     best = (company.groupBy("node").agg(F.min_by(F.struct(rank.alias("rank"), row.alias("row")), rank).alias("x"))
