@@ -99,6 +99,7 @@ def host_edges(pages: DataFrame, parent_weight: float) -> DataFrame:
               .select("host", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)),
                                                                        lambda h: F.translate(h, _UPPER, _LOWER)))).alias("dst"))
               .filter("host <> dst and dst <> ''").groupBy(F.col("host").alias("src"), "dst").agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    linked = stored(linked, "links")  # used three times; the html is read and matched once
     named = linked.select("src").union(linked.select("dst")).union(pages.filter("host <> ''").select("host")).distinct()
     chain = suffixes(F.col("src"))
     steps = (named.withColumn("chain", F.filter(chain, lambda h: F.instr(h, ".") > 0)).filter("size(chain) > 1")
