@@ -11,7 +11,8 @@
   documents on both sides never enters.
 * Labels are split by crc32 of the id as text: remainder 0 modulo 5 is held
   out and never read by fitting; remainder 4 fits the calibration; 1 to 3
-  fit lexicon and trees.  Fitting takes at most ``max_fit_rows`` labelled
+  fit lexicon and trees, the trees on features whose lexicon was learned
+  without the row's own remainder.  Fitting takes at most ``max_fit_rows`` labelled
   documents (those with the smallest seeded hash); scoring takes all rows.
 * Scores are the trees' probabilities through an isotonic (monotone)
   regression on the calibration rows, so 0.5 means that.
@@ -274,12 +275,16 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_fit_rows: int):
     wanted = (labels.filter("toxic is not null and id is not null").select("id", F.col("toxic").cast("int").alias("toxic"), fold(F.col("id")).alias("fold"))
               .filter("fold <> 0"))
     wanted = wanted.orderBy(F.xxhash64(F.lit(11), "id"), "id", "toxic").limit(max_fit_rows)
-    rows = stored(docs.select("id", "text").join(wanted, "id").select("toxic", "fold", "text"), "toxicity_fit")
-    lexicon = learn_lexicon(rows.filter("fold <> 4"))
-    shared = spark.sparkContext.broadcast(lexicon)
+    # at most max_fit_rows short rows are sent, so that no text is shuffled to find its label
+    rows = stored(docs.select("id", "text").join(F.broadcast(wanted), "id").select("toxic", "fold", "text"), "toxicity_fit")
+    shared = spark.sparkContext.broadcast(learn_lexicon(rows.filter("fold <> 4")))
     schema = T.StructType([T.StructField("toxic", T.IntegerType()), rows.schema["fold"], T.StructField("features", T.ArrayType(T.DoubleType()))])
-    featured = stored(rows.mapInArrow(_score_features(shared), schema), "toxicity_features")
-    return shared, fit(featured)
+    # rows that grow the trees meet a lexicon learned without their fold, as any other text meets one learned without it
+    featured = rows.filter("fold = 4").mapInArrow(_score_features(shared), schema)
+    for f in (1, 2, 3):
+        others = spark.sparkContext.broadcast(learn_lexicon(rows.filter(~F.col("fold").isin(f, 4))))
+        featured = featured.union(rows.filter(F.col("fold") == f).mapInArrow(_score_features(others), schema))
+    return shared, fit(stored(featured, "toxicity_features"))
 
 
 def _plain(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str):
