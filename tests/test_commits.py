@@ -6,7 +6,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from trustfold.operators.quarantine import Run, from_rows
+from trustfold.operators.quarantine import Run, from_file_errors, from_rows
 from trustfold.operators.report import rejected_values
 from trustfold.sinks.commits import ConcurrentPublish, Store, Version
 from trustfold.sinks.tables import clear_run, publish_ledger, read_ledger, read_table, replace_table
@@ -192,3 +192,12 @@ def test_values_of_rejected_records(spark, tmp_path):
     got = sorted(map(tuple, rejected_values(read_ledger(spark, path), {"typed": ("it's", "dotted", "gone")}).collect()), key=str)
     assert got == sorted([("typed", "it's", "abc", 2, 0), ("typed", "it's", "99", 1, 1), ("typed", "dotted", "a.b", 2, 0), ("typed", "dotted", None, 1, 0),
                           ("typed", "gone", None, 3, 0)], key=str)
+
+
+def test_names_of_rejected_headers(spark, tmp_path):
+    path = str(tmp_path / "l")
+    heads = spark.createDataFrame([("f1", "missing_column", "x", ["id", "7", " A"]), ("f2", "missing_column", "x", ["id"])],
+                                  "source_file string, rule string, column string, header array<string>")
+    publish_ledger(from_file_errors(heads, Run("A", "2026-08-03T00:00:00Z")), path)
+    got = sorted(map(tuple, rejected_values(read_ledger(spark, path), {}, {"missing_column": "header"}).collect()))
+    assert got == [("missing_column", "header", " A", 1, 0), ("missing_column", "header", "7", 1, 1), ("missing_column", "header", "id", 2, 0)]

@@ -69,13 +69,15 @@ def rejected_values(ledger: DataFrame, fields: dict[str, tuple[str, ...]], lists
         return F.array(*(F.struct(F.lit(c).alias("column_name"), record_field(c).alias("value"), record_field(c, "double").isNotNull().alias("number"))
                          for c in columns))
 
+    def names(column: str) -> Column:
+        return F.transform(record_field(column, "array<string>"), lambda n: F.struct(
+            F.lit(column).alias("column_name"), n.alias("value"), n.try_cast("double").isNotNull().alias("number")))
+
     found = F.lit(None)
     for rule, columns in fields.items():
         found = F.when(F.col("rule") == rule, rows(rule, tuple(columns))).otherwise(found)
     for rule, column in (lists or {}).items():
-        names = F.transform(record_field(column, "array<string>"), lambda n, c=column: F.struct(
-            F.lit(c).alias("column_name"), n.alias("value"), n.try_cast("double").isNotNull().alias("number")))
-        found = F.when(F.col("rule") == rule, names).otherwise(found)
+        found = F.when(F.col("rule") == rule, names(column)).otherwise(found)
     each = ledger.filter(F.col("rule").isin([*fields, *(lists or {})])).select("rule", F.explode(found).alias("x"))
     return each.groupBy("rule", "x.column_name", "x.value").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("x.number").alias("n_numbers"))
 
