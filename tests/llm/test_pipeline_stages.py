@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
 from test_decontaminate import words
 from test_jaccard_join import expected, near_copies
 from test_sharding import plain_shard
@@ -84,3 +85,20 @@ def test_rows_of_the_stages_match_plain_python(spark, tmp_path):
     for r in got:
         slots[r["shard"]].append(r["slot"])
     assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_stages_take_odd_rows_and_columns_of_any_name(spark, sf, odd, nothing):
+    """Dotted, spaced and quoted names, nulls, repeated rows, no rows: every stage keeps the columns, none crashes."""
+    for table in (odd, nothing):
+        docs = table.withColumns({"lang": F.lit("en"), "n_chars": F.length("text").cast("long")})
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, sf)
+            rows = out.collect()
+            if name != "sharding":
+                assert out.columns == docs.columns, name
+            if table is nothing:
+                assert rows == [], name
+            elif name == "toxicity":
+                assert len(rows) == docs.count()
+            elif name == "near_duplicates":
+                assert sorted((r["doc_id"] is None, r["doc_id"]) for r in rows) == [(False, i) for i in (1, 2, 3, 4, 5, 6)] + [(True, None)]
