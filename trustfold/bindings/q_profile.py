@@ -30,7 +30,7 @@ from trustfold.bindings.registry import register
 from trustfold.bindings.usage import USAGE_EVENTS_SQL, staged_events, table, usage_events
 from trustfold.operators import coverage, profile
 from trustfold.session import scratch_path
-from trustfold.sources.batches import read_headers
+from trustfold.sources.batches import ragged_rows, read_headers
 
 _lock = threading.Lock()
 _staged: dict[tuple[str, str, str], str] = {}
@@ -123,10 +123,12 @@ def _lines_sql(body: str) -> str:
 # =============================================================== headers
 
 def headers_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column count and exact header of every batch folder's files."""
-    h = profile.headers_per_file(read_headers(spark, staged_batches(spark, sf_dir)))
-    return h.select(F.regexp_extract("source_file", r"batch=([^/]+)", 1).alias("batch"),
-                    "n_columns", F.to_json(F.col("header")).alias("header")).distinct()
+    """Column count, exact header and data rows of every batch folder's files, with how many rows do not fit the header."""
+    paths = staged_batches(spark, sf_dir)
+    heads = read_headers(spark, paths)
+    h = profile.headers_per_file(heads).join(ragged_rows(spark, paths, heads), "source_file")
+    return (h.groupBy(F.regexp_extract("source_file", r"batch=([^/]+)", 1).alias("batch"), "n_columns", F.to_json(F.col("header")).alias("header"))
+            .agg(F.sum("n_rows").alias("n_rows"), F.sum(F.col("n_short") + F.col("n_long")).alias("n_ragged")))
 
 
 def _headers_sql() -> str:
@@ -134,7 +136,8 @@ def _headers_sql() -> str:
     vals = ", ".join(
         f"('{b}', {len(lay)}, '{json.dumps(lay, separators=(',', ':'))}')" for b, lay in sorted(BATCH_LAYOUTS.items())
     )
-    return f"SELECT batch, CAST(n_columns AS INTEGER) AS n_columns, header FROM (VALUES {vals}) t(batch, n_columns, header)"
+    return (f"WITH {RAW_TEXT_CTE.strip()}\nSELECT t.batch, CAST(n_columns AS INTEGER) AS n_columns, header, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_ragged "
+            f"FROM (VALUES {vals}) t(batch, n_columns, header) JOIN raw ON raw.batch = t.batch GROUP BY ALL")
 
 
 register("headers_per_file", _headers_sql(), covers=("SRC-9", "SRC-2"))(headers_per_file)
@@ -142,16 +145,20 @@ register("headers_per_file", _headers_sql(), covers=("SRC-9", "SRC-2"))(headers_
 
 def event_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema of the day-partitioned event table as discovered on read (the
-    partition column comes back as a date)."""
-    return profile.schema_rows(spark, staged_events(spark, sf_dir).schema)
+    partition column comes back as a date), and how many NULLs each column holds."""
+    ev = staged_events(spark, sf_dir)
+    held = profile.nulls_and_blanks(ev, ev.columns).select("column_name", "n_null")
+    return profile.schema_rows(spark, ev.schema).join(held, "column_name").select(
+        "position", "column_name", "data_type", "nullable", "n_null")
+
 
+_EVENT_COLUMNS = {"entity_id": "bigint", "event_ts": "timestamp_ntz", "kind": "string", "duration_s": "int", "mb": "float", "dropped": "boolean", "day": "date"}
 
 register(
     "event_schema",
-    """SELECT * FROM (VALUES (0, 'entity_id', 'bigint', true), (1, 'event_ts', 'timestamp_ntz', true),
-      (2, 'kind', 'string', true), (3, 'duration_s', 'int', true), (4, 'mb', 'float', true),
-      (5, 'dropped', 'boolean', true), (6, 'day', 'date', true))
-      t(position, column_name, data_type, nullable)""",
+    f"WITH ev AS ({USAGE_EVENTS_SQL})\n" + " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, '{t}' AS data_type, true AS nullable, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM ev"
+        for i, (c, t) in enumerate(_EVENT_COLUMNS.items())),
     covers=("SRC-10", "SRC-4"),
 )(event_schema)
 
