@@ -1,6 +1,7 @@
 """Rules, host edges and the two walks against plain Python."""
 
 import random
+import re
 
 import pytest
 
@@ -99,6 +100,56 @@ def test_neighbours_of_blocked_hosts_are_blocked(spark):
                            (7, None, "block"), (7, None, "block")]
 
 
+def expected_verdicts(pages):
+    """Verdict of each (id, url, html) by plain Python: rules, link graph, both walks, thresholds."""
+    placed = {i: split(u) for i, u, _ in pages}
+    links, hosts = {}, set()
+    for i, _, html in pages:
+        host = placed[i][0]
+        hosts.add(host)
+        for to in set(re.findall(r'href="http://([^/"]*)', html)):
+            if to != host:
+                links[host, to] = links.get((host, to), 0) + 1.0
+                hosts.add(to)
+    edges = dict(links)
+    steps = set()
+    for h in hosts:
+        chain = [s for s in (h.split(".", i)[-1] for i in range(h.count(".") + 1)) if "." in s]
+        steps |= set(zip(chain, chain[1:]))
+    for a, b in steps:
+        for e in ((a, b), (b, a)):
+            edges[e] = edges.get(e, 0) + 0.5
+    share = {}
+    for host, path in placed.values():
+        r = best_rule(host, path)
+        n, allow, block = share.get(host, (0, 0, 0))
+        share[host] = (n + 1, allow + (r is not None and r.verdict == "allow"), block + (r is not None and r.verdict == "block"))
+    ranks = {}
+    for name, at, graph in (("trust", 1, edges), ("distrust", 2, {(b, a): w for (a, b), w in edges.items()})):
+        seeds = {h: v[at] / v[0] for h, v in share.items() if v[at]}
+        total = sum(seeds.values())
+        ranks[name] = walk(graph, {h: s / total for h, s in seeds.items()}, 20, 0.85)
+    every = set(ranks["trust"]) | set(ranks["distrust"])
+    out = {}
+    for i, (host, path) in placed.items():
+        r = best_rule(host, path)
+        t, d = ranks["trust"].get(host, 0.0), ranks["distrust"].get(host, 0.0)
+        out[i] = r.verdict if r else "block" if host in every and d >= t and d * len(every) >= 0.25 else "allow"
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_verdicts_of_a_random_crawl(spark, seed):
+    rng = random.Random(seed)
+    names = [f"{a}{b}.{c}" for a in ("", "www.") for b in ("a", "b", "example", "d", "e") for c in ("com", "net", "org", "co.uk")]
+    pages = [(i, f"http://{rng.choice(names)}/{rng.choice(['en', 'es', 'fr', 'x'])}/{i}",
+              "".join(f'<a href="http://{rng.choice(names)}/p">' for _ in range(rng.randint(0, 3)))) for i in range(150)]
+    got = {r["page_id"]: r["verdict"] for r in judge(spark.createDataFrame(pages, "page_id long, url string, html string"), rules_table(spark, LIST)).collect()}
+    want = expected_verdicts(pages)
+    by_walk = {i for i, u, _ in pages if best_rule(*split(u)) is None}
+    assert got == want and {want[i] for i in by_walk} == {"allow", "block"}
+
+
 def test_odd_tables(spark):
     rows = [(None, None, None, "h", 1.0), (1, "x", "<a href=", "h", 2.0), (2, "http://a.net/es/", "", None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, host string, trust double")
