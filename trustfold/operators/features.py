@@ -23,9 +23,9 @@ is what lets the plan stay small at any scale:
 
    Strategy ``"join"`` is the interval-join form: every snapshot expanded to
    the N days of its window, equi-joined to the daily rows on (entity, day),
-   summed per snapshot and left joined back for zero-fill.  No side is
-   broadcast by hint; AQE may turn the join into a broadcast from the
-   measured size.
+   summed per snapshot and left joined back for zero-fill.  The expanded
+   snapshots are hinted to a sort-merge join: their size before the expansion
+   would make them a broadcast that the driver cannot hold.
 
 Entity keys of the two sides may differ in type (raw batches are text):
 events are read in the snapshots' type, so every snapshot key stays as it is
@@ -226,11 +226,15 @@ def window_days(snapshots: DataFrame, *, key: str, as_of: str, day: str, horizon
     Joining on (key, day) is then an exact equi-join: no range predicate,
     no candidate pairs per entity, and the join keys spread a busy entity
     over its days.  The expansion is N rows per snapshot (N fixed).
+
+    Spark sizes an explode by its input, so it would take the N-fold table
+    for a small one and collect it in the driver, for a broadcast join or to
+    prune partitions.  The hint keeps it a shuffled join that spills.
     """
     return snapshots.select(
         key, as_of,
         F.explode(F.sequence(F.date_sub(F.col(as_of), horizon_days), F.date_sub(F.col(as_of), 1))).alias(day),
-    )
+    ).hint("merge")
 
 
 def events_in_window(events: DataFrame, snapshots: DataFrame, *, key: str, day: str, as_of: str,
