@@ -64,3 +64,24 @@ def test_scratch_path_keeps_uri_roots_and_drops_empty_parts():
     s = _Session("yarn", {"spark.checkpoint.dir": "s3a://bucket/ck"})
     p = scratch_path(s, "/a/", "", "b")
     assert p.startswith("s3a://bucket/ck/trustfold/a/b/") and "//" not in p[len("s3a://"):]
+
+
+def test_a_partitioned_write_without_a_sort_keeps_the_callers_settings(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from trustfold.bindings.q_profile import lineitem_text
+    from trustfold.session import OPEN_FILES, unsorted_writer
+
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    zone, before = spark.conf.get("spark.sql.session.timeZone"), spark.conf.get(key)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        own = unsorted_writer(spark)
+        assert own.conf.get(key) == str(OPEN_FILES) and spark.conf.get(key) == before
+        assert own.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        df = own.range(3000).select("id", (F.col("id") % (2 * OPEN_FILES)).alias("folder"))  # more folders than files held open
+        df.write.partitionBy("folder").csv(str(tmp_path / "t"))
+        back = spark.read.csv(str(tmp_path / "t"), schema="id long, folder long")
+        assert {(r.id, r.folder) for r in back.collect()} == {(i, i % (2 * OPEN_FILES)) for i in range(3000)} and back.count() == 3000
+        assert lineitem_text(own, "/root/testdata/sf0.001").sparkSession.conf.get(key) == str(OPEN_FILES)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -29,7 +29,7 @@ from trustfold.bindings.q_trusted import staged_batches
 from trustfold.bindings.registry import register
 from trustfold.bindings.usage import USAGE_EVENTS_SQL, staged_events, table, usage_events
 from trustfold.operators import coverage, profile
-from trustfold.session import scratch_path
+from trustfold.session import scratch_path, unsorted_writer
 from trustfold.sources.batches import ragged_rows, read_headers
 
 _lock = threading.Lock()
@@ -105,7 +105,7 @@ def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     multi-file, all-text CSV scan (the folder name becomes ``file``)."""
     def make() -> str:
         root = scratch_path(spark, "lineitem_csv")
-        (lineitem_text(spark, sf_dir).write.partitionBy("file").option("header", True)
+        (lineitem_text(unsorted_writer(spark), sf_dir).write.partitionBy("file").option("header", True)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))
         return root
     root = _once(spark, sf_dir, "lines", make)

@@ -20,7 +20,7 @@ from trustfold.bindings.order_batches import (
 from trustfold.bindings.registry import register
 from trustfold.operators.quarantine import Run
 from trustfold.plans.trusted import TrustedOutput, build_trusted, read_accepted, route_files
-from trustfold.session import scratch_path
+from trustfold.session import scratch_path, unsorted_writer
 from trustfold.sources.batches import batch_paths
 
 RUN = Run(run_id="run-2026-08-31", started_at="2026-08-31T06:00:00Z")
@@ -39,7 +39,7 @@ def staged_batches(spark: SparkSession, sf_dir: str) -> list[str]:
     with _lock:
         if key not in _staged:
             root = scratch_path(spark, "order_batches")
-            _staged[key] = write_batches(order_text(spark, sf_dir), root)
+            _staged[key] = write_batches(order_text(unsorted_writer(spark), sf_dir), root)
         return _staged[key]
 
 

@@ -70,3 +70,21 @@ def materialize(df: DataFrame, name: str = "table", path: str | None = None) ->
     target = path or scratch_path(spark, "materialized", name)
     df.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
+
+
+#: Files one task holds open at once while it writes a partitioned CSV (each a small buffer); a task with more folders sorts the rest.
+OPEN_FILES = 64
+
+
+def unsorted_writer(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings whose partitioned writes keep a file open per folder.
+
+    By default a task sorts all its rows by folder first and holds them in
+    memory until it spills.  The caller's own settings stay as they are.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+    return own
