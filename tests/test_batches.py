@@ -254,3 +254,22 @@ def test_overlapping_paths_are_refused_and_equal_ones_read_once(spark, tmp_path)
 
 def test_no_paths(spark, tmp_path):
     assert read_headers(spark, []).count() == 0
+
+
+def test_a_task_reads_the_first_line_of_one_file(spark, tmp_path):
+    """A Python worker that stops early lives until its task ends: many files in one task would be as many workers."""
+    from trustfold.sources.batches import first_lines
+
+    n = 5 * spark.sparkContext.defaultParallelism
+    for i in range(n):
+        (tmp_path / f"{i}.csv").write_text(f"a,b{i}\n1,2\n3,4\n")
+    sc = spark.sparkContext
+    sc.setJobGroup("first-lines", "first lines")
+    try:
+        got = first_lines(spark, [str(tmp_path)])
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r["line"] for r in got.collect()) == sorted(f"a,b{i}" for i in range(n))
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("first-lines") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) == n

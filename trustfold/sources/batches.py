@@ -67,10 +67,11 @@ def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     Spark's own text reader opens the files, so every file system and codec
     it knows works, and a read error fails the run.  Each file is a partition
     that stops after its first line, however long that line is: the cost is
-    a file opened, not a pass over the data.  Partitions are read one after
-    the other in as many tasks as run at once, so the result has few files
-    however many were read.  The reader's split sizes belong to a session of
-    its own; the caller's settings stay as they are.
+    a file opened, not a pass over the data.  Each file is a task, too: a
+    Python worker that stopped early lives until its task ends, so a task of
+    many files would hold as many workers.  A shuffle of the lines keeps the
+    result's files few however many were read.  The reader's split sizes
+    belong to a session of its own; the caller's settings stay as they are.
 
     No scan returns an empty file, so those are found by counting: only if
     the reader's listing has more files than gave a line are names compared.
@@ -83,7 +84,7 @@ def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     rows = files.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
     path = scratch_path(spark, "first_lines")
     tasks = 2 * max(1, spark.sparkContext.defaultParallelism)
-    rows.mapInArrow(_first_row, rows.schema).coalesce(tasks).write.parquet(path)
+    rows.mapInArrow(_first_row, rows.schema).repartition(tasks).write.parquet(path)
     found = spark.read.schema(rows.schema).parquet(path)
     listed = files._jdf.inputFiles()  # stays in the JVM, where Spark keeps its listing anyway
     n = found.count()
