@@ -32,6 +32,15 @@ def test_all_places_of_phrases(spark):
     assert all(set(r["base_labels"].split(",")) <= set(r["labels"].split(",")) for r in got if r["base_labels"])
 
 
+def test_the_phrase_of_the_contract(spark):
+    """The base phrase is "under the mit license"; "the mit license" alone is a label of the method and no base place."""
+    rows = [(1, "Under THE mit-license, under the MIT License."), (2, "the mit license"), (3, "x under the the mit license under the mit"), (4, "The MIT license; under the mit license")]
+    got = {r["doc_id"]: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels")
+    assert [tuple(got[i][c] for c in names) for i in (1, 2, 3, 4)] == [
+        (8, 2, 0, 4, "mit", "mit"), (3, 0, None, None, "", "mit"), (9, 0, None, None, "", "mit"), (7, 1, 3, 3, "mit", "mit")]
+
+
 def test_every_notice_and_text_gives_its_label(spark):
     wanted = {**NOTICES, **TEXTS}
     rows = [(i, f"Some words before: {t.upper()}. And {i} behind") for i, t in enumerate(wanted)]

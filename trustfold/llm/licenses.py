@@ -44,10 +44,11 @@ from trustfold.llm.textarrays import ALNUM, Chunk, chunk_of, gram_hashes, list_a
 SENT_GRAMS = 100_000
 
 #: Phrases of which all places count (fixed values).
-PHRASES = {"the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 #: License notices and the labels they give (fixed values).
 NOTICES = {
+    "the mit license": "mit",
     "released under the mit license": "mit",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files": "mit",
     "licensed under the apache license version 2 0": "apache-2",
