@@ -273,3 +273,25 @@ def test_a_task_reads_the_first_line_of_one_file(spark, tmp_path):
     tracker = sc.statusTracker()
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("first-lines") for s in tracker.getJobInfo(j).stageIds]
     assert max(s.numTasks for s in stages if s) == n
+
+
+def test_headers_are_read_without_python_workers(spark, tmp_path):
+    """The plans of the header step hold no Python node and no rows that were pickled by Python."""
+    for i in range(6):
+        (tmp_path / f"{i}.csv").write_text(f"id,tenure,charges\nk{i},1,2\n" if i % 2 else f"charges,id,tenure\n2,k{i},1\n")
+    from trustfold.sources.batches import first_lines
+
+    plans = [first_lines(spark, [str(tmp_path)]), route_files(spark, [str(tmp_path)], CONTRACT).routed]
+    assert all("Python" not in p._jdf.queryExecution().toString() and "MapInArrow" not in p._jdf.queryExecution().toString()
+               and "ExistingRDD" not in p._jdf.queryExecution().toString() for p in plans)
+
+
+def test_the_first_line_of_a_file_of_several_splits(spark, tmp_path, monkeypatch):
+    """Large files are read by several tasks; only the split that begins a file has its first line."""
+    from trustfold.sources import batches
+
+    monkeypatch.setattr(batches, "_SPLIT", 1 << 10)
+    for name, long in (("a", 20), ("b", 3000)):
+        (tmp_path / f"{name}.csv").write_text(f"id,{name * long}\n" + "".join(f"{i},x\n" for i in range(2000)))
+    got = {r["line"] for r in batches.first_lines(spark, [str(tmp_path)]).collect()}
+    assert got == {"id," + "a" * 20, "id," + "b" * 3000} and batches.first_lines(spark, [str(tmp_path)]).count() == 2

@@ -91,13 +91,17 @@ def order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("note "), k.cast("string")).alias("o_comment"),
         k.alias("__k"),
     )
-    copies = base.where(F.col("__k") % 50 == 0)
-    versions = base.where(F.col("__k") % 71 == 0).withColumn("o_orderpriority", F.lit("CHANGED"))
+    # a key's records side by side: one scan, and one file a task and folder where they are written
+    key = F.col("__k")
+    records = base.withColumn("__record", F.explode(F.array_compact(F.array(
+        F.lit("row"), F.when(key % 50 == 0, F.lit("copy")), F.when(key % 71 == 0, F.lit("version")), F.when(key % 60 == 0, F.lit("later"))))))
+    version, later = F.col("__record") == "version", F.col("__record") == "later"
     nxt = (F.col("batch").cast("int") + 1).cast("string")
-    later = base.where(F.col("__k") % 60 == 0).withColumns(
-        {"batch": nxt, "batch_date": F.concat(nxt, F.lit("-01-01"))}
-    )
-    return base.unionByName(copies).unionByName(versions).unionByName(later).drop("__k")
+    return records.withColumns({
+        "o_orderpriority": F.when(version, F.lit("CHANGED")).otherwise(F.col("o_orderpriority")),
+        "batch_date": F.when(later, F.concat(nxt, F.lit("-01-01"))).otherwise(F.col("batch_date")),
+        "batch": F.when(later, nxt).otherwise(F.col("batch")),
+    }).drop("__k", "__record")
 
 
 def _text_sql() -> str:

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,8 +74,11 @@ def route_files(spark: SparkSession, paths: list[str], contract: Contract, unit:
     heads = read_headers(spark, paths)
     distinct = heads.select("header").distinct().withColumn("source_file", F.lit(""))
     checked = header_errors(distinct, contract.columns).select("header", "errors").collect()
-    kind = "header array<string>, errors array<struct<rule:string,column:string>>, layout int"
-    layouts = spark.createDataFrame([(r["header"], r["errors"], i) for i, r in enumerate(checked)], kind)
+    error = pa.struct([("rule", pa.string()), ("column", pa.string())])
+    layouts = spark.createDataFrame(pa.table({  # an Arrow table reaches the tasks without a Python worker
+        "header": pa.array([r["header"] for r in checked], pa.list_(pa.string())),
+        "errors": pa.array([[e.asDict() for e in r["errors"]] for r in checked], pa.list_(error)),
+        "layout": pa.array(range(len(checked)), pa.int32())}))
     verdicts = heads.join(F.broadcast(layouts), "header")  # one row a layout
     named = verdicts.withColumn("unit", F.col("source_file") if unit == "file" else parent_path("source_file"))
     bad = named.where(F.size("errors") > 0)

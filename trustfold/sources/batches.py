@@ -49,43 +49,38 @@ def _given(paths: list[str]) -> list[str]:
     return [literal_path(p) for p in dict.fromkeys(paths)]
 
 
-#: A file is never split and never shares a task while its first line is read (bytes; above any file's size).
-_WHOLE_FILE = 1 << 40
-
-
-def _first_row(batches):
-    """The first row of a task's rows; the rest of the file is not asked for."""
-    for b in batches:
-        if b.num_rows:
-            yield b.slice(0, 1)
-            return
+#: Bytes of a file one task reads for its first line; a larger file is several tasks (Spark's own default).
+_SPLIT = 128 << 20
 
 
 def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """First line of each file under ``paths`` (taken literally): source_file, line; an empty file has line NULL.
 
     Spark's own text reader opens the files, so every file system and codec
-    it knows works, and a read error fails the run.  Each file is a partition
-    that stops after its first line, however long that line is: the cost is
-    a file opened, not a pass over the data.  Each file is a task, too: a
-    Python worker that stopped early lives until its task ends, so a task of
-    many files would hold as many workers.  A shuffle of the lines keeps the
-    result's files few however many were read.  The reader's split sizes
-    belong to a session of its own; the caller's settings stay as they are.
+    it knows works, and a read error fails the run.  A task is one file, or
+    one split of a large file: the first row of the split that begins the
+    file is its first line, however long that line is.  No Python worker
+    runs: one that stopped early would hold its memory until it is gone, and
+    many files would be many of them.  The price is a pass over the lines as
+    text.  A shuffle of the found lines keeps the result's files few however
+    many were read.  The reader's split sizes belong to a session of its own;
+    the caller's settings stay as they are.
 
     No scan returns an empty file, so those are found by counting: only if
     the reader's listing has more files than gave a line are names compared.
     """
     own = spark.newSession()
-    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
-        own.conf.set(key, str(_WHOLE_FILE))
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):  # so a second split never fits
+        own.conf.set(key, str(_SPLIT))
     files = own.read.text(_given(paths))
-    rows = files.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
+    in_split = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the lower 33 bits number a task's rows
+    rows = files.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"),
+                        F.col("_metadata.file_block_start").alias("start"), in_split.alias("row"))
+    first = rows.where("start = 0 and row = 0").select("source_file", "line")
     path = scratch_path(spark, "first_lines")
     tasks = 2 * max(1, spark.sparkContext.defaultParallelism)
-    rows.mapInArrow(_first_row, rows.schema).repartition(tasks).write.parquet(path)
-    found = spark.read.schema(rows.schema).parquet(path)
+    first.repartition(tasks).write.parquet(path)
+    found = spark.read.schema(first.schema).parquet(path)
     listed = files._jdf.inputFiles()  # stays in the JVM, where Spark keeps its listing anyway
     n = found.count()
     if n > len(listed):
