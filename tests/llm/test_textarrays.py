@@ -39,3 +39,26 @@ def test_slices_bound_bytes_and_keep_every_row():
     assert [t for p in parts for t in p.column(0).to_pylist()] == batch.column(0).to_pylist()
     assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(0).to_pylist()) <= 4 for p in parts)
     assert np.all(chunk_of(parts[1].column(0)).offsets >= 0)
+
+
+def test_a_chunk_of_many_texts_takes_little_memory_and_hashes_as_one_text_does():
+    """Texts of 4 MB in all, cut as the operators cut them: the peak of numpy's memory is a few MB, the hashes are those of single texts."""
+    import tracemalloc
+
+    from trustfold.llm.textarrays import SPACED, chunk_of, slices, words_of
+
+    texts = [f"word{i} " * 50 + "end" for i in range(8_000)]
+    batch = pa.record_batch({"text": pa.array(texts)})
+    words_of(chunk_of(pa.array(["a"])), SPACED)
+    tracemalloc.start()
+    try:
+        seen = 0
+        for b in slices([batch], "text"):
+            words = words_of(chunk_of(b.column(0)), SPACED)
+            alone = words_of(chunk_of(b.column(0).slice(b.num_rows - 1)), SPACED)
+            assert words.hash[words.bounds[-2] :].tolist() == alone.hash.tolist()
+            seen += b.num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert seen == len(texts) and peak < 40 << 20, peak

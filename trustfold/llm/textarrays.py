@@ -37,8 +37,10 @@ ALNUM[0x30:0x3A] = True
 ALNUM[0x61:0x7B] = True
 ALNUM[0x80:] = True
 
-#: Bytes of text worked on at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text worked on at once; a longer text is a chunk of its own.  Hashing takes some 50 bytes a byte of text in every Python worker.
+CHUNK_BYTES = 256 << 10
+#: Powers kept from chunk to chunk, at most (8 bytes each, twice); those of longer texts are computed when needed.
+_KEPT_POWERS = 4 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,11 +59,11 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     name = "inverse" if inverse else "base"
     have = _powers.get(name)
     if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        size = max(n, CHUNK_BYTES + 1, 0 if have is None else min(2 * len(have), _KEPT_POWERS))
         table = np.full(size, _BASE_INV if inverse else _BASE, dtype=np.uint64)
         table[0] = 1
         have = np.multiply.accumulate(table)
-        if size <= 2 * CHUNK_BYTES:
+        if size <= _KEPT_POWERS:
             _powers[name] = have
     return have[:n]
 
