@@ -110,6 +110,10 @@ def host_edges(pages: DataFrame, parent_weight: float) -> DataFrame:
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
+#: Edges one task moves rank along in a round; a graph of fewer is one task's work.
+EDGES_A_TASK = 250_000
+
+
 def propagate(edges: DataFrame, seeds: DataFrame, *, rounds: int = 20, damping: float = 0.85) -> DataFrame:
     """Personalised PageRank of both walks: (walk, host, rank); seeds are (walk, host, weight), summing to 1 a walk.
 
@@ -117,17 +121,20 @@ def propagate(edges: DataFrame, seeds: DataFrame, *, rounds: int = 20, damping:
     ``(1 - damping) * seeds + damping * moved``; at the end each walk is
     scaled to 1, which is where sending the rank of hosts without an edge
     back to the seeds ends, too.  Each round is one join and one grouped sum,
-    checkpointed, so the plan stays small however many rounds there are.
+    checkpointed, so the plan stays small however many rounds there are.  A
+    round is as many tasks as its edges fill (at most the session's shuffle
+    partitions), so a small graph does not write a file per partition and round.
     """
     steps = (edges.select(F.lit("trust").alias("walk"), "src", "dst", "weight")
              .union(edges.select(F.lit("distrust"), "dst", "src", "weight")))
     out = steps.groupBy("walk", "src").agg(F.sum("weight").alias("out"))
-    steps = checkpointed(steps.join(out, ["walk", "src"]).select("walk", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out")).alias("share")))
-    home = checkpointed(seeds.select("walk", "host", (F.col("weight") * (1 - damping)).alias("rank")))
+    tasks = 1 + 2 * edges.count() // EDGES_A_TASK
+    steps = checkpointed(steps.join(out, ["walk", "src"]).select("walk", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out")).alias("share")).coalesce(tasks))
+    home = checkpointed(seeds.select("walk", "host", (F.col("weight") * (1 - damping)).alias("rank")).coalesce(tasks))
     rank = home
     for _ in range(rounds):
         moved = rank.join(steps, ["walk", "host"]).select("walk", F.col("dst").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"))
-        rank = checkpointed(moved.union(home).groupBy("walk", "host").agg(F.sum("rank").alias("rank")))
+        rank = checkpointed(moved.union(home).groupBy("walk", "host").agg(F.sum("rank").alias("rank")).coalesce(tasks))
     total = rank.groupBy("walk").agg(F.sum("rank").alias("total"))  # a row a walk
     return rank.join(total, "walk").select("walk", "host", (F.col("rank") / F.col("total")).alias("rank"))
 
