@@ -7,6 +7,7 @@ import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 
+from trustfold.llm import textarrays as ta
 from trustfold.llm.textarrays import ALNUM, SPACED, chunk_of, gram_hashes, run_hash, slices, words_of
 
 CLASSES = [(SPACED, re.compile(rb"[^\x20\x09-\x0D]+")), (ALNUM, re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))]
@@ -62,3 +63,31 @@ def test_a_chunk_of_many_texts_takes_little_memory_and_hashes_as_one_text_does()
     finally:
         tracemalloc.stop()
     assert seen == len(texts) and peak < 40 << 20, peak
+
+
+def test_words_of_a_large_chunk_take_little_memory_and_are_the_same(monkeypatch):
+    import tracemalloc
+
+    texts = ["", None, "ends in a word", "word begins", " \t", "Ünd " * 30, *("some words here " * (i % 40) for i in range(9000)), "x" * 300_000, "last"]
+    chunk = ta.chunk_of(pa.array(texts))
+    assert len(chunk.data) > 10 * ta.CHUNK_BYTES
+    monkeypatch.setattr(ta, "_powers", {})
+    tracemalloc.start()
+    got = ta.words_of(chunk, ta.SPACED)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    held = sum(x.nbytes for x in (got.start, got.end, got.text, got.bounds, got.hash))
+    assert peak - 2 * held < 6 * len(chunk.data)
+    assert max(map(len, ta._powers.values())) < 600_000
+    monkeypatch.setattr(ta, "CHUNK_BYTES", 1 << 30)
+    monkeypatch.setattr(ta, "powers", lambda n, inverse=False, table={}: table.setdefault(inverse, whole(len(chunk.data) + 1, inverse))[:n])
+    once = ta.words_of(chunk, ta.SPACED)
+    for name in ("start", "end", "text", "bounds", "hash"):
+        assert np.array_equal(getattr(got, name), getattr(once, name))
+    assert np.array_equal(ta.words_of(chunk, ta.SPACED, hashes=False).start, once.start)
+
+
+def whole(n, inverse):
+    table = np.full(n, ta._BASE_INV if inverse else ta._BASE, dtype=np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)

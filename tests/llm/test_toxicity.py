@@ -2,6 +2,7 @@
 
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +85,28 @@ def test_odd_rows(spark, odd, nothing):
     assert t.toxicity_scores(odd, labels.limit(0)).filter("score = 0 and predicted = 0").count() == odd.count()
     kept = t.drop_toxic(odd, labels.limit(0))
     assert kept.columns == odd.columns and kept.count() == odd.count()
+
+
+def test_a_text_goes_to_python_once(spark, odd, monkeypatch):
+    sent, real = [], type(odd).mapInArrow
+    monkeypatch.setattr(type(odd), "mapInArrow", lambda self, *a, **k: sent.append(self.schema) or real(self, *a, **k))
+    labels = spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
+    kept = t.drop_toxic(odd, labels, reject_from=2.0)
+    assert [f.dataType for f in sent[-1]] == [f.dataType for f in odd.schema]
+    plain = lambda df: sorted(map(repr, df.collect()))
+    assert kept.schema.names == odd.schema.names and plain(kept) == plain(odd)
+    numbers = odd.withColumn("text", F.length("text"))  # a text column of another type, named in another case
+    assert plain(t.drop_toxic(numbers, labels, text_column="TEXT", reject_from=2.0)) == plain(numbers)
+
+
+def test_words_are_sent_on_within_a_batch(monkeypatch):
+    rows = [(i % 3 == 0, f"word{i} common w{i % 50}") for i in range(400)] + [(None, None), (1, "")]
+    batch = pa.RecordBatch.from_arrays([pa.array([None if x is None else int(x) for x, _ in rows], pa.int32()), pa.array([x for _, x in rows])], names=["toxic", "text"])
+    monkeypatch.setattr(t, "COUNTED_WORDS", 60)
+    out = list(t._document_words([batch]))
+    assert len(out) > 4 and max(b.num_rows for b in out) < 70
+    got = {}
+    for word, bad, good in (r.values() for b in out for r in b.to_pylist()):
+        x, y = got.get(word, (0, 0))
+        got[word] = (x + bad, y + good)
+    assert got["common"] == (sum(bool(x) for x, _ in rows[:400]), sum(not x for x, _ in rows[:400])) and len(got) == 451

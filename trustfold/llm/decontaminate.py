@@ -41,7 +41,8 @@ from trustfold.llm.fm_index import FMIndex
 from trustfold.llm.tables import col, fresh, stored
 from trustfold.llm.textarrays import ALNUM, Chunk, Words, chunk_of, slices, words_of
 
-SHARD_BYTES = 4 << 20
+#: Text indexed at once; words, index and hits take some 30 bytes a byte of it in every Python worker.
+SHARD_BYTES = 1 << 20
 
 
 @dataclass

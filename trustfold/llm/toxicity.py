@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trustfold.llm.tables import col, fresh, stored
+from trustfold.llm.tables import col, stored
 
 #: Words of abuse to start from (fixed values); the labels add what they show.
 SEEDS = frozenset("""
@@ -82,7 +82,7 @@ def words_in(text: str) -> list[str]:
 class Reader:
     """Features of texts under one learned lexicon; what a token says is worked out once and kept (``KEEP`` tokens at most)."""
 
-    KEEP = 200_000
+    KEEP = 50_000
 
     def __init__(self, learned: dict[str, float]):
         self.learned, self.tokens = learned, {}
@@ -166,38 +166,46 @@ def features(text: str | None, learned: dict[str, float]) -> list[float]:
     return Reader(learned)(text)
 
 
-def _score_features(learned):
+def _score_features(learned, at: int | None = None):
+    """Features behind the columns of each row; its text is column ``at``, or else the last one, which goes."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader(learned.value)
         for b in batches:
-            texts = b.column(b.num_columns - 1)
-            for at in range(0, b.num_rows, 256):
-                rows = [read(t.as_py()) for t in texts[at : at + 256]]
+            for start in range(0, b.num_rows, 256):
+                part = b.slice(start, 256)
+                rows = [read(t.as_py()) for t in part.column(b.num_columns - 1 if at is None else at)]
                 flat = pa.array([x for r in rows for x in r], pa.float64())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, len(FEATURES), dtype=np.int32)), flat)
-                part = b.slice(at, len(rows))
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(b.num_columns - 1)), lists],
-                                                 names=[*b.schema.names[:-1], "features"])
+                kept = b.num_columns - (at is None)
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], lists], names=[*b.schema.names[:kept], "features"])
 
     return run
 
 
+#: Words that a task counts before it sends their counts on (some 150 bytes each).
+COUNTED_WORDS = 100_000
+_TOXIC = 1 << 32
+
+
 def _document_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each labelled text, counted over the task: (word, toxic documents, clean documents)."""
-    total: dict[str, list[int]] = {}
+    total: dict[str, int] = {}  # toxic documents in the upper 32 bits, clean ones in the lower
     for b in batches:
-        for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for w in set(words_in(text or "")):
-                total.setdefault(w, [0, 0])[0 if label else 1] += 1
-        if len(total) > 500_000:
-            yield _counted(total)
-            total = {}
+        for label, text in zip(b.column(0), b.column(1)):
+            one = _TOXIC if label.as_py() else 1
+            for w in set(words_in(text.as_py() or "")):
+                total[w] = total.get(w, 0) + one
+            if len(total) > COUNTED_WORDS:
+                yield _counted(total)
+                total = {}
     yield _counted(total)
 
 
-def _counted(total: dict[str, list[int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([v[0] for v in total.values()], pa.int64()),
-                                       pa.array([v[1] for v in total.values()], pa.int64())], names=["word", "toxic", "clean"])
+def _counted(total: dict[str, int]) -> pa.RecordBatch:
+    counts = np.fromiter(total.values(), np.int64, len(total))
+    return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(counts >> 32), pa.array(counts & (_TOXIC - 1))],
+                                      names=["word", "toxic", "clean"])
 
 
 def fold(id_column: Column) -> Column:
@@ -305,11 +313,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text",
                reject_from: float = 0.5, max_fit_rows: int = 20_000) -> DataFrame:
-    """The rows of ``docs`` that score below ``reject_from``, all columns kept; nothing is shuffled for it."""
+    """The rows of ``docs`` that score below ``reject_from``, all columns kept; nothing is shuffled for it, and each text goes to Python once."""
     plain, marks = _plain(docs, labels, id_column, text_column)
     lexicon, scorer = _fitted(plain, marks, max_fit_rows)
-    name = fresh(docs, "toxicity_row")
-    whole = docs.select(F.struct(*(col(c) for c in docs.columns)).alias(name), col(text_column).cast("string").alias("text"))
-    schema = T.StructType([whole.schema[name], T.StructField("features", T.ArrayType(T.DoubleType()))])
-    scored = scorer.score(whole.mapInArrow(_score_features(lexicon), schema))
-    return scored.filter(F.col("score") < reject_from).select(F.col(name)).select(*(F.col(name).getField(c).alias(c) for c in docs.columns))
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)  # names of any kind: Arrow functions resolve them as text
+    at = docs.columns.index(text_column) if text_column in docs.columns else -1
+    if at < 0 or rows.schema[at].dataType != T.StringType():
+        at, rows = len(names), docs.select("*", col(text_column).cast("string")).toDF(*names, "text")
+    schema = T.StructType([*rows.schema.fields, T.StructField("features", T.ArrayType(T.DoubleType()))])
+    scored = scorer.score(rows.mapInArrow(_score_features(lexicon, at), schema))
+    return scored.filter(F.col("score") < reject_from).select(*(F.col(x).alias(c) for x, c in zip(names, docs.columns)))
